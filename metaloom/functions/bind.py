@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -14,3 +14,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     grows with every level of nesting. As the element of a one-element array it is evaluated once and then named.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row, whatever is done with them later.
+
+    A filter on a computed column is pushed below the projection that made it, and takes a copy of the whole
+    expression along. The columns here come from a generator, which nothing is pushed through.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(row)))

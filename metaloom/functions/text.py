@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from metaloom.functions.bind import once
 from metaloom.functions.variants import kind, strict_json, strip
 
 # Substrings that mark a failure, matched in lower case.
@@ -68,25 +69,23 @@ def cut_json(text: Column) -> Column:
     )
 
 
-def with_reply_json(df, reply: str):
-    """Add `text` (the JSON cut from column `reply`, or what is left of it) and `kind`.
+def with_reply_json(df: DataFrame, reply: str) -> DataFrame:
+    """Add `text` (the JSON cut from column `reply`, or what is left of it), `kind` and `v`.
 
-    `kind` is `object`, `array` or `text`. Each step is its own projection, so that the cut and the
-    parse are computed once.
+    `kind` is `object`, `array` or `text`; `v` is the parsed text. A list of several objects is cut at its braces,
+    which breaks it; the text that is left is then read as a whole.
     """
-    return (
-        df.withColumn("_open", unfence(F.col(reply)))
-        .withColumn("_cut", cut_json(F.col("_open")))
-        .withColumn("_kind", kind(strict_json(F.col("_cut"))))
-        .withColumn(
-            "kind",
-            F.when(F.col("_kind") == "OBJECT", F.lit("object"))
-            .when(F.col("_kind") == "ARRAY", F.lit("array"))
-            .otherwise(F.lit("text")),
-        )
-        .withColumn("text", F.when(F.col("kind") == "text", F.col("_open")).otherwise(F.col("_cut")))
-        .drop("_open", "_cut", "_kind")
-    )
+    opened = once(df, _open=unfence(F.col(reply)))
+    cut = once(opened, _cut=cut_json(F.col("_open")))
+    parsed = once(cut, _v=strict_json(F.col("_cut")))
+    found = F.col("_v").isNotNull()
+    kinds = F.when(found, F.when(kind(F.col("_v")) == "OBJECT", F.lit("object")).otherwise(F.lit("array")))
+    return once(
+        parsed,
+        kind=F.coalesce(kinds, F.lit("text")),
+        text=F.when(found, F.col("_cut")).otherwise(F.col("_open")),
+        v=F.when(found, F.col("_v")).otherwise(strict_json(F.col("_open"))),
+    ).drop("_open", "_cut", "_v")
 
 
 def folder_name(name: Column) -> Column:
@@ -167,3 +166,11 @@ def retry_delay(message: Column) -> Column:
 
 def reason_title(reason: Column) -> Column:
     return F.initcap(F.replace(reason, F.lit("_"), F.lit(" ")))
+
+
+def sitemap_time(lastmod: Column) -> Column:
+    """A sitemap date or time as TIMESTAMP; one without a zone is read as UTC, whatever the session's zone."""
+    text = F.trim(lastmod)
+    zoned = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & F.contains(text, F.lit("T"))
+    whole = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(text, F.lit("T00:00:00"))).otherwise(text)
+    return F.try_to_timestamp(F.when(zoned, text).otherwise(F.concat(whole, F.lit("Z"))))

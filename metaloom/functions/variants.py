@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from metaloom.functions.bind import once
 
 # The white space that a Unicode-aware strip removes.
 WHITE_SPACE = (
@@ -27,6 +29,11 @@ def strict_json(text: Column) -> Column:
     return F.when(inside_array.isNotNull(), F.try_variant_get(inside_object, "$.x", "variant"))
 
 
+def with_value(docs: DataFrame, raw: str = "raw") -> DataFrame:
+    """Add `v`, the parsed text of each document, unless it is there already."""
+    return docs if "v" in docs.columns else once(docs, v=strict_json(F.col(raw)))
+
+
 def child(value: Column, path: str) -> Column:
     """The node at `path` as VARIANT; NULL only where the key is missing."""
     return F.try_variant_get(value, path, "variant")

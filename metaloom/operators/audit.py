@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from metaloom.functions.bind import once
 from metaloom.functions.normalise import ORIGIN_COMMENT, SHORT_ORIGIN_COMMENT
 from metaloom.functions.variants import (
     any_text,
@@ -13,7 +14,7 @@ from metaloom.functions.variants import (
     has_key,
     is_truthy,
     kind,
-    strict_json,
+    with_value,
 )
 
 # Review warnings.
@@ -40,10 +41,10 @@ def looks_like_code(name: Column) -> Column:
     )
 
 
-def document_codes(doc: Column) -> Column:
-    """Lower-case alternate names of the listed variables."""
+def _codes(listed: Column) -> Column:
+    """Lower-case alternate names of listed variables."""
     names = F.transform(
-        F.filter(array_at(doc, "$.variableMeasured"), lambda item: kind(item) == "OBJECT"),
+        F.filter(listed, lambda item: kind(item) == "OBJECT"),
         lambda item: child(item, "$.alternateName"),
     )
     return F.transform(F.filter(names, is_truthy), lambda n: F.lower(any_text(n)))
@@ -61,13 +62,9 @@ def content_urls(doc: Column, coerce_single: bool = False) -> Column:
     )
 
 
-def _with_values(docs: DataFrame, raw: str) -> DataFrame:
-    return docs if "v" in docs.columns else docs.withColumn("v", strict_json(F.col(raw)))
-
-
 def variable_names(docs: DataFrame, key: str = "doc_id", raw: str = "raw") -> DataFrame:
     """Listed variables whose name looks like a code or a range: key, idx, name."""
-    items = _with_values(docs, raw).select(
+    items = with_value(docs, raw).select(
         key, F.posexplode(array_at(F.col("v"), "$.variableMeasured")).alias("idx", "_item")
     )
     return items.select(
@@ -75,118 +72,113 @@ def variable_names(docs: DataFrame, key: str = "doc_id", raw: str = "raw") -> Da
     ).filter(looks_like_code(F.col("name")))
 
 
-def with_sets(
-    docs: DataFrame, sets: DataFrame, key: str, set_key: str, raw: str = "raw"
+def document_features(
+    docs: DataFrame, key: str = "doc_id", raw: str = "raw", coerce_single: bool = False
 ) -> DataFrame:
-    """Documents next to the code and link sets of their source page; an unknown page has none.
+    """What the audit needs to know of each parsed document, and nothing else of it.
 
-    One join on a unique page key; the html stays behind, only the two sets come along.
+    is_object, lists_variables, head and inner (warnings that need no source page), codes, urls, n_citations.
+    The document itself stays behind, so the join with the source facts moves small rows.
     """
-    empty = F.array().cast("array<string>")
-    pages = sets.select(
-        F.col(set_key).alias("_page"), F.col("codes").alias("_codes"), F.col("hrefs").alias("_hrefs")
-    )
-    return (
-        _with_values(docs, raw)
-        .join(pages, F.col(key) == F.col("_page"), "left")
-        .withColumn("codes", F.coalesce("_codes", empty))
-        .withColumn("hrefs", F.coalesce("_hrefs", empty))
-        .drop("_page", "_codes", "_hrefs")
+    none = F.array().cast("array<string>")
+    v = F.col("v")
+    parsed = with_value(docs, raw).filter(v.isNotNull()).select(key, "v")
+    listed = F.when(
+        F.lit(coerce_single) | (kind(child(v, "$.variableMeasured")) == "ARRAY"),
+        as_array(v, "$.variableMeasured"),
     )
+    rows = once(parsed, _listed=listed)
+    citation = child(v, "$.citation")
+    text_citation = F.exists(array_at(v, "$.citation"), lambda c: kind(c) == "STRING")
+    return once(
+        rows,
+        is_object=F.coalesce(kind(v) == "OBJECT", F.lit(False)),
+        lists_variables=F.col("_listed").isNotNull(),
+        head=_texts(
+            F.when(kind(citation) == "STRING", F.lit(CITATION_IS_TEXT)).when(
+                text_citation, F.lit(CITATION_HAS_TEXT)
+            ),
+            F.when(kind(child(v, "$.variableMeasured")) == "STRING", F.lit(VARIABLES_ARE_TEXT)),
+        ),
+        inner=F.coalesce(F.flatten(F.transform("_listed", _variable_warnings)), none),
+        doc_codes=F.coalesce(_codes(F.col("_listed")), none),
+        urls=content_urls(v, coerce_single),
+        n_citations=F.coalesce(F.size(array_at(v, "$.citation")), F.lit(0)),
+    ).drop("v", "_listed")
 
 
-def missing_codes(docs_with_sets: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Codes the page lists and the document lacks, sorted, for documents that list variables."""
-    found = docs_with_sets.filter(
-        kind(child(F.col("v"), "$.variableMeasured")) == "ARRAY"
-    ).select(
-        key, F.array_sort(F.array_except("codes", document_codes(F.col("v")))).alias("codes")
-    )
-    return found.filter(F.size("codes") > 0)
+def _texts(*items: Column) -> Column:
+    return F.array_compact(F.array(*items))
 
 
-def download_match(docs_with_sets: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Whether a document names any exact data link of its page; pages without such links are left out."""
-    return docs_with_sets.filter(
-        (F.size("hrefs") > 0) & (kind(F.col("v")) == "OBJECT")
-    ).select(key, F.arrays_overlap(content_urls(F.col("v")), F.col("hrefs")).alias("matched"))
+def _variable_warnings(item: Column, i: Column) -> Column:
+    at = F.concat(F.lit("variableMeasured["), i.cast("string"), F.lit("]"))
+    return F.when(
+        kind(item) == "OBJECT",
+        _texts(
+            F.when(
+                looks_like_code(any_text(child(item, "$.name"))),
+                F.concat(at, F.lit(".name looks like a code or lumped range")),
+            ),
+            F.when(
+                ~has_key(item, "$.temporalCoverage"),
+                F.concat(at, F.lit(" is missing temporalCoverage")),
+            ),
+            F.when(
+                ~has_key(item, "$.spatialCoverage"),
+                F.concat(at, F.lit(" is missing spatialCoverage")),
+            ),
+        ),
+    ).otherwise(F.array().cast("array<string>"))
 
 
-def audit_documents(
-    docs_with_sets: DataFrame, key: str = "doc_id", coerce_single: bool = False
-) -> DataFrame:
-    """All review warnings of each parsed document, in order: key, warnings.
+def with_sets(features: DataFrame, sets: DataFrame, key: str, set_key: str) -> DataFrame:
+    """Document features next to the code and link sets of their source page; an unknown page has none.
 
-    Everything is array work inside the row.
+    One join on a unique page key. Adds lacking (codes of the page that the document does not list) and hrefs.
     """
-    none = F.array().cast("array<string>")
-    v = F.col("v")
+    empty = F.array().cast("array<string>")
+    pages = sets.select(
+        F.col(set_key).alias("_page"), F.col("codes").alias("_codes"), F.col("hrefs").alias("_hrefs")
+    )
+    joined = features.join(pages, F.col(key) == F.col("_page"), "left")
+    return once(
+        joined,
+        lacking=F.array_sort(F.array_except(F.coalesce("_codes", empty), F.col("doc_codes"))),
+        hrefs=F.coalesce("_hrefs", empty),
+    ).drop("_page", "_codes", "_hrefs")
 
-    def texts(*items: Column) -> Column:
-        return F.array_compact(F.array(*items))
-
-    def variable_warnings(item: Column, i: Column) -> Column:
-        at = F.concat(F.lit("variableMeasured["), i.cast("string"), F.lit("]"))
-        return F.when(
-            kind(item) == "OBJECT",
-            texts(
-                F.when(
-                    looks_like_code(any_text(child(item, "$.name"))),
-                    F.concat(at, F.lit(".name looks like a code or lumped range")),
-                ),
-                F.when(
-                    ~has_key(item, "$.temporalCoverage"),
-                    F.concat(at, F.lit(" is missing temporalCoverage")),
-                ),
-                F.when(
-                    ~has_key(item, "$.spatialCoverage"),
-                    F.concat(at, F.lit(" is missing spatialCoverage")),
-                ),
-            ),
-        ).otherwise(none)
 
-    citation = child(v, "$.citation")
-    text_citation = F.exists(
-        F.try_variant_get(citation, "$", "array<variant>"), lambda c: kind(c) == "STRING"
-    )
-    variables = child(v, "$.variableMeasured")
-    listed = (
-        F.when(F.lit(coerce_single), as_array(v, "$.variableMeasured"))
-        .when(kind(variables) == "ARRAY", array_at(v, "$.variableMeasured"))
+def missing_codes(featured: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Codes the page lists and the document lacks, sorted, for documents that list variables."""
+    return featured.filter(F.col("lists_variables") & (F.size("lacking") > 0)).select(
+        key, F.col("lacking").alias("codes")
     )
-    staged = (
-        docs_with_sets.filter(v.isNotNull())
-        .withColumn("_listed", listed)
-        .withColumn(
-            "_lacking",
-            F.when(
-                F.col("_listed").isNotNull(),
-                F.array_sort(F.array_except("codes", document_codes(v))),
-            ).otherwise(none),
-        )
-        .withColumn("_urls", content_urls(v, coerce_single))
+
+
+def download_match(featured: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Whether a document names any exact data link of its page; pages without such links are left out."""
+    return featured.filter((F.size("hrefs") > 0) & F.col("is_object")).select(
+        key, F.arrays_overlap("urls", "hrefs").alias("matched")
     )
+
+
+def audit_documents(featured: DataFrame, key: str = "doc_id") -> DataFrame:
+    """All review warnings of each document, in order: key, warnings."""
     warnings = F.concat(
-        texts(
-            F.when(kind(citation) == "STRING", F.lit(CITATION_IS_TEXT)).when(
-                (kind(citation) == "ARRAY") & text_citation, F.lit(CITATION_HAS_TEXT)
-            ),
-            F.when(kind(variables) == "STRING", F.lit(VARIABLES_ARE_TEXT)),
-        ),
-        F.coalesce(F.flatten(F.transform("_listed", variable_warnings)), none),
-        texts(
+        "head",
+        "inner",
+        _texts(
             F.when(
-                F.size("_lacking") > 0,
-                F.concat(F.lit(MISSING_CODES), F.array_join("_lacking", ", ")),
-            ),
-            F.when(
-                (F.size("hrefs") > 0) & ~F.arrays_overlap("_urls", "hrefs"), F.lit(NO_DOWNLOAD)
+                F.col("lists_variables") & (F.size("lacking") > 0),
+                F.concat(F.lit(MISSING_CODES), F.array_join("lacking", ", ")),
             ),
+            F.when((F.size("hrefs") > 0) & ~F.arrays_overlap("urls", "hrefs"), F.lit(NO_DOWNLOAD)),
         ),
     )
-    return staged.select(
+    return featured.select(
         key,
-        F.when(kind(v) == "OBJECT", warnings)
+        F.when(F.col("is_object"), warnings)
         .otherwise(F.array(F.lit(NOT_AN_OBJECT)))
         .alias("warnings"),
     )
@@ -198,7 +190,7 @@ def warning_rows(audited: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def variable_coverage(docs: DataFrame, key: str = "doc_id", raw: str = "raw") -> DataFrame:
     """Listed variables with their coverages; missing ones take the agreed defaults."""
-    items = _with_values(docs, raw).select(
+    items = with_value(docs, raw).select(
         key, F.posexplode(array_at(F.col("v"), "$.variableMeasured")).alias("idx", "_item")
     )
     item = F.col("_item")
@@ -213,7 +205,7 @@ def variable_coverage(docs: DataFrame, key: str = "doc_id", raw: str = "raw") ->
 
 def temporal_texts(docs: DataFrame, key: str = "doc_id", raw: str = "raw") -> DataFrame:
     """Every temporal coverage of every listed variable, lists opened: key, idx, part, text."""
-    items = _with_values(docs, raw).select(
+    items = with_value(docs, raw).select(
         key, F.posexplode(array_at(F.col("v"), "$.variableMeasured")).alias("idx", "_item")
     )
     return items.select(
@@ -274,7 +266,7 @@ def check_contract(
     docs: DataFrame, issues_url: str, key: str = "doc_id", raw: str = "raw"
 ) -> DataFrame:
     """Each rule's outcome for each document that is an object: key, rule, ok."""
-    parsed = _with_values(docs, raw).filter(kind(F.col("v")) == "OBJECT")
+    parsed = with_value(docs, raw).filter(kind(F.col("v")) == "OBJECT")
     rows = F.array(
         *[
             F.struct(F.lit(name).alias("rule"), F.coalesce(rule, F.lit(False)).alias("ok"))
@@ -284,28 +276,17 @@ def check_contract(
     return parsed.select(key, F.inline(rows))
 
 
-def check_plan(
-    docs_with_sets: DataFrame, citation_counts: DataFrame, key: str = "doc_id"
-) -> DataFrame:
+def check_plan(featured: DataFrame, citation_counts: DataFrame, key: str = "doc_id") -> DataFrame:
     """Source fidelity: all listed variables, all citations, an exact data link: key, rule, ok.
 
     `citation_counts` has the key and `n_citations`, the citations shown by the source page.
     """
-    v = F.col("v")
-    shown = citation_counts.select(F.col(key).alias("_page"), "n_citations")
-    joined = docs_with_sets.filter(kind(v) == "OBJECT").join(
-        shown, F.col(key) == F.col("_page"), "left"
-    )
-    n_citations = F.coalesce(F.size(array_at(v, "$.citation")), F.lit(0))
+    shown = citation_counts.select(F.col(key).alias("_page"), F.col("n_citations").alias("_shown"))
+    joined = featured.filter("is_object").join(shown, F.col(key) == F.col("_page"), "left")
     rules = {
-        "variables": F.size(
-            F.array_except(
-                "codes", F.coalesce(document_codes(v), F.array().cast("array<string>"))
-            )
-        )
-        == 0,
-        "citations": n_citations >= F.coalesce("n_citations", F.lit(0)),
-        "download": (F.size("hrefs") == 0) | F.arrays_overlap(content_urls(v), F.col("hrefs")),
+        "variables": F.size("lacking") == 0,
+        "citations": F.col("n_citations") >= F.coalesce("_shown", F.lit(0)),
+        "download": (F.size("hrefs") == 0) | F.arrays_overlap("urls", "hrefs"),
     }
     rows = F.array(
         *[F.struct(F.lit(n).alias("rule"), rule.alias("ok")) for n, rule in rules.items()]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from metaloom.functions.text import sitemap_time
 from metaloom.functions.variants import any_text, array_at, as_array, child, kind
 
 
@@ -130,10 +131,8 @@ def reconcile(listed: DataFrame, present: DataFrame) -> DataFrame:
 
 def changed_since(entries: DataFrame, last_run: str, lastmod: str = "lastmod") -> DataFrame:
     """Entries changed after the last run; an entry without a readable date counts as changed."""
-    time = F.try_to_timestamp(F.col(lastmod))
-    return entries.filter(
-        F.coalesce(time > F.to_timestamp(F.lit(last_run)), F.lit(True))
-    )
+    time = sitemap_time(F.col(lastmod))
+    return entries.filter(F.coalesce(time > sitemap_time(F.lit(last_run)), F.lit(True)))
 
 
 def union_sitemaps(*sitemaps: DataFrame) -> DataFrame:

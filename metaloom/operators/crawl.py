@@ -39,6 +39,8 @@ def crawl(
     if domains:
         links = links.filter(urls.in_domains(F.col("dst"), domains))
 
+    # Read by every level: written once, so that no level repeats the work that made the links.
+    links = cut_lineage(links)
     start = seeds.select("url").distinct().withColumn("depth", F.lit(0))
     if ordered:
         start = start.withColumn("path", F.array(F.lit(0)))

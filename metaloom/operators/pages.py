@@ -8,8 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from metaloom.functions import urls
+from metaloom.functions.bind import once
 from metaloom.functions.markup import ld_json_texts, with_page_parts
-from metaloom.functions.variants import strict_json, strip
+from metaloom.functions.variants import strip, with_value
 from metaloom.shipping import ship_by_value
 
 ship_by_value(__name__)
@@ -33,9 +34,7 @@ def page_links(pages: DataFrame, key: str = "page_id", *keep: str) -> DataFrame:
 
 def resolved_links(pages: DataFrame, key: str = "page_id", base: str = "url") -> DataFrame:
     """Links with their absolute address as `target`."""
-    return page_links(pages, key, base).withColumn(
-        "target", urls.resolve(F.col(base), F.col("href"))
-    )
+    return once(page_links(pages, key, base), target=urls.resolve(F.col(base), F.col("href")))
 
 
 def distinct_links(links: DataFrame, key: str = "page_id", href: str = "href") -> DataFrame:
@@ -88,42 +87,50 @@ def _field(value: Column | None, name: str) -> Column:
     return (F.lit(None).cast("string") if value is None else value).alias(name)
 
 
-def with_facts(pages: DataFrame, key: str = "page_id", base: str = "base_url") -> DataFrame:
-    """Candidate facts of each page as three arrays: links, cited and variables.
+FACT_KINDS = ("links", "cited", "variables")
+_PARTS_OF_KIND = {"links": ["anchors"], "cited": ["lines"], "variables": ["lines", "rows"]}
+
+
+def with_facts(
+    pages: DataFrame,
+    key: str = "page_id",
+    base: str = "base_url",
+    kinds: tuple[str, ...] = FACT_KINDS,
+) -> DataFrame:
+    """Candidate facts of each page as arrays: links, cited and variables, or only the given kinds.
 
     The html is read once, in one Python pass; everything else is array work inside the row, so nothing is
     shuffled. Repeats are still there: what follows drops them by key or by value.
     """
-    following = F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))
-    parts = with_page_parts(pages, [key, base], ["anchors", "lines", "rows"]).select(
-        key, base, "anchors", "rows", F.arrays_zip("lines", following.alias("next")).alias("pairs")
-    )
-    links = F.filter(
-        F.transform(
-            "anchors",
-            lambda a, i: F.struct(
-                i.alias("pos"),
-                a["label"].alias("label"),
-                urls.resolve(F.col(base), a["href"]).alias("href"),
-            ),
-        ),
-        lambda a: is_download(a["label"], a["href"]) & (a["href"] != ""),
-    )
-    cited = F.filter(
-        F.transform(
-            "pairs",
-            lambda p, i: F.struct(
-                i.alias("pos"), p["lines"].alias("label"), p["next"].alias("text")
-            ),
+    needed = [p for p in ("anchors", "lines", "rows") if any(p in _PARTS_OF_KIND[k] for k in kinds)]
+    parts = with_page_parts(pages, [key, base], needed)
+    if "lines" in needed:
+        following = F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))
+        parts = once(parts, pairs=F.arrays_zip("lines", following.alias("next")))
+    makers = {"links": lambda: _links(base), "cited": _cited, "variables": lambda: F.concat(_row_variables(), _line_variables())}
+    return once(parts, **{k: makers[k]() for k in kinds}).select(key, *kinds)
+
+
+def _links(base: str) -> Column:
+    """Anchors that lead to data, with their absolute address."""
+    every = F.transform(
+        "anchors",
+        lambda a, i: F.struct(
+            i.alias("pos"),
+            a["label"].alias("label"),
+            urls.resolve(F.col(base), a["href"]).alias("href"),
         ),
-        lambda c: c["label"].isin(CITATION_LABELS) & c["text"].isNotNull(),
     )
-    return parts.select(
-        key,
-        links.alias("links"),
-        cited.alias("cited"),
-        F.concat(_row_variables(), _line_variables()).alias("variables"),
+    return F.filter(every, lambda a: is_download(a["label"], a["href"]) & (a["href"] != ""))
+
+
+def _cited() -> Column:
+    """The line after each citation label."""
+    every = F.transform(
+        "pairs",
+        lambda p, i: F.struct(i.alias("pos"), p["lines"].alias("label"), p["next"].alias("text")),
     )
+    return F.filter(every, lambda c: c["label"].isin(CITATION_LABELS) & c["text"].isNotNull())
 
 
 def _row_variables() -> Column:
@@ -260,11 +267,8 @@ def source_facts(pages: DataFrame, key: str = "page_id", base: str = "base_url")
 
 def ld_json_blocks(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """Embedded JSON-LD blocks: key, pos, raw, v (NULL for a block that is no JSON)."""
-    return (
-        pages.select(key, F.posexplode(ld_json_texts(F.col("html"))).alias("pos", "raw"))
-        .withColumn("raw", F.trim(F.col("raw")))
-        .withColumn("v", strict_json(F.col("raw")))
-    )
+    found = pages.select(key, F.posexplode(ld_json_texts(F.col("html"))).alias("pos", "raw"))
+    return with_value(found.withColumn("raw", strip(F.col("raw"))))
 
 
 def allowed_pages(pages: DataFrame, domains: list[str], key: str = "page_id") -> DataFrame:

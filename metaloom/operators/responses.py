@@ -7,12 +7,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from metaloom.functions.geo import box_from_columns
 from metaloom.functions.prompts import detection_prompt, generation_prompt
 from metaloom.functions.text import with_reply_json
-from metaloom.functions.variants import any_text, array_at, child, has_key, kind, strict_json
+from metaloom.functions.variants import any_text, array_at, child, has_key, kind
 
 
 def parse_replies(replies: DataFrame, reply: str = "response") -> DataFrame:
     """Add `text`, `kind` (object, array, text) and `v`, the parsed value of the text."""
-    return with_reply_json(replies, reply).withColumn("v", strict_json(F.col("text")))
+    return with_reply_json(replies, reply)
 
 
 def _dataset_array() -> Column:

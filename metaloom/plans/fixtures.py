@@ -221,12 +221,25 @@ _TABLE = re.compile(r"@([a-z]+)@")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table, spread over the cores if its files give fewer tasks than there are cores.
+
+    A small file is one task; the html and JSON made from its rows are many times its size. A table of many files
+    is read as it lies, without any exchange.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived input as a DataFrame over the parquet tables of `sf_dir`."""
-    text = _TABLE.sub(lambda m: f"parquet.`{sf_dir}/{m.group(1)}.parquet`", FIXTURES[name])
+
+    def view(match: re.Match) -> str:
+        given = f"metaloom_{match.group(1)}"
+        table(spark, sf_dir, match.group(1)).createOrReplaceTempView(given)
+        return given
+
+    text = _TABLE.sub(view, FIXTURES[name])
     return spark.sql(text.replace("VARCHAR(20)", "STRING").replace("\\", "\\\\"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from metaloom.functions import geo, normalise, terms, text, urls
 from metaloom.functions.intervals import parse_interval
 from metaloom.functions.prompts import LARGE_PROMPT_SIZES, detection_prompt
-from metaloom.functions.variants import any_text, array_at, child, kind, strict_json
+from metaloom.functions.variants import any_text, array_at, child, kind, with_value
 from metaloom.operators import (
     audit,
     catalog,
@@ -46,7 +46,7 @@ def query(fn: Query) -> Query:
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    return fixture(spark, sf, "docs").withColumn("v", strict_json(F.col("raw")))
+    return with_value(fixture(spark, sf, "docs"))
 
 
 def _long(name: str) -> Column:
@@ -104,23 +104,25 @@ def page_extract(spark, sf):
 # ---- source facts ----------------------------------------------------------------------------------
 
 
-def _facts(spark: SparkSession, sf: str) -> DataFrame:
-    return pages.with_facts(fixture(spark, sf, "source_pages"))
+def _facts(spark: SparkSession, sf: str, *kinds: str) -> DataFrame:
+    return pages.with_facts(
+        fixture(spark, sf, "source_pages"), kinds=kinds or pages.FACT_KINDS
+    )
 
 
 @query
 def download_links(spark, sf):
-    return pages.download_links(_facts(spark, sf)).select("page_id", "label", "href")
+    return pages.download_links(_facts(spark, sf, "links")).select("page_id", "label", "href")
 
 
 @query
 def source_citations(spark, sf):
-    return pages.citations(_facts(spark, sf)).select("page_id", "label", "text")
+    return pages.citations(_facts(spark, sf, "cited")).select("page_id", "label", "text")
 
 
 @query
 def source_variables(spark, sf):
-    return pages.source_variables(_facts(spark, sf)).select(
+    return pages.source_variables(_facts(spark, sf, "variables")).select(
         "page_id", "code", "name", "unit", "description"
     )
 
@@ -249,7 +251,7 @@ def normalised_docs(spark, sf):
     )
     v = F.col("v")
     return (
-        repaired.withColumn("v", strict_json(F.col("raw")))
+        with_value(repaired)
         .filter(v.isNotNull())
         .select(
             "doc_id",
@@ -358,9 +360,9 @@ def audit_names(spark, sf):
 
 
 def _with_sets(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.with_sets(
-        fixture(spark, sf, "docs"), pages.source_sets(_facts(spark, sf)), "doc_id", "page_id"
-    )
+    features = audit.document_features(fixture(spark, sf, "docs"))
+    sets = pages.source_sets(_facts(spark, sf, "links", "variables"))
+    return audit.with_sets(features, sets, "doc_id", "page_id")
 
 
 @query
@@ -387,8 +389,10 @@ def contract_rules(spark, sf):
 
 @query
 def plan_rules(spark, sf):
-    counted = pages.fact_counts(_facts(spark, sf)).withColumnRenamed("page_id", "doc_id")
-    return audit.check_plan(_with_sets(spark, sf), counted)
+    cited = _facts(spark, sf, "cited").select(
+        F.col("page_id").alias("doc_id"), F.size("cited").alias("n_citations")
+    )
+    return audit.check_plan(_with_sets(spark, sf), cited)
 
 
 @query
@@ -442,7 +446,7 @@ def sitemap_union(spark, sf):
 
 
 def _catalogues(spark: SparkSession, sf: str) -> DataFrame:
-    return fixture(spark, sf, "catalogues").withColumn("v", strict_json(F.col("raw")))
+    return with_value(fixture(spark, sf, "catalogues"))
 
 
 @query

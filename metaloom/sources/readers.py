@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from metaloom.functions import terms
+from metaloom.functions.bind import once
+from metaloom.functions.text import sitemap_time
 from metaloom.functions.variants import strict_json
 
 # Header names of a registry file and the column names used here.
@@ -117,7 +119,7 @@ def _field(name: str) -> Column:
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
     """Sitemap entries: loc, lastmod (text and time), changefreq, priority, source file."""
     rows = _read_xml(spark, path, "url").select(*[_field(f) for f in _XML_FIELDS], "source_file")
-    return rows.withColumn("lastmod_time", F.try_to_timestamp("lastmod"))
+    return rows.withColumn("lastmod_time", sitemap_time(F.col("lastmod")))
 
 
 def read_sitemap_index(spark: SparkSession, path: str) -> DataFrame:
@@ -155,7 +157,7 @@ def parse_quads(lines: DataFrame, line: str = "line") -> DataFrame:
     """
     o = F.col("o")
     return (
-        lines.select(_quad_parts(F.col(line)).alias("_parts"))
+        once(lines, _parts=_quad_parts(F.col(line)))
         .filter(F.size("_parts") == 4)
         .select(
             terms.iri(F.get("_parts", F.lit(0))).alias("s"),
