@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from metaloom.functions import urls
-from metaloom.session import cut_lineage
+from metaloom.session import cut_and_measure, cut_lineage
 
 # A frontier below this size travels to the edges; a larger one is joined by a shuffle.
 FRONTIER_BROADCAST_BYTES = 8 * 1024 * 1024
@@ -39,36 +39,38 @@ def crawl(
     if domains:
         links = links.filter(urls.in_domains(F.col("dst"), domains))
 
+    keep = ["path"] if ordered else []
+    weight = F.length(F.col("url").cast("string")) + 64
+    if ordered:
+        weight = weight + 4 * F.size("path")
+    metrics = {"n": F.count(F.lit(1)), "size": F.coalesce(F.sum(weight), F.lit(0))}
+
     # Read by every level: written once, so that no level repeats the work that made the links.
     links = cut_lineage(links)
     start = seeds.select("url").distinct().withColumn("depth", F.lit(0))
     if ordered:
         start = start.withColumn("path", F.array(F.lit(0)))
-    frontier = cut_lineage(start)
+    frontier, found = cut_and_measure(start, **metrics)
     visited = frontier
     depth = 0
-    while max_depth is None or depth < max_depth:
-        n, size = frontier.agg(
-            F.count("*"), F.sum(F.length(F.col("url").cast("string")) + 64)
-        ).head()
-        if not n:
-            break
+    while found["n"] and (max_depth is None or depth < max_depth):
         depth += 1
-        near = frontier.select(F.col("url").alias("src"), *(["path"] if ordered else []))
-        if size <= FRONTIER_BROADCAST_BYTES:
+        near = frontier.select(F.col("url").alias("src"), *keep)
+        if found["size"] <= FRONTIER_BROADCAST_BYTES:
             near = F.broadcast(near)
-        found = links.join(near, "src").withColumnRenamed("dst", "url")
+        onward = links.join(near, "src").withColumnRenamed("dst", "url")
         if ordered:
-            reached = found.groupBy("url").agg(
+            reached = onward.groupBy("url").agg(
                 F.min(F.array_append("path", F.col("pos"))).alias("path")
             )
         else:
-            reached = found.select("url").distinct()
+            reached = onward.select("url").distinct()
         fresh = reached.join(visited.select("url"), "url", "left_anti")
-        frontier = cut_lineage(
-            fresh.select("url", F.lit(depth).alias("depth"), *(["path"] if ordered else []))
+        frontier, found = cut_and_measure(
+            fresh.select("url", F.lit(depth).alias("depth"), *keep), **metrics
         )
-        visited = visited.unionByName(frontier)
+        if found["n"]:
+            visited = visited.unionByName(frontier)
         if depth % LEVELS_PER_CUT == 0:
             visited = cut_lineage(visited)
     return visited

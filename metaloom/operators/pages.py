@@ -48,16 +48,20 @@ def distinct_links(links: DataFrame, key: str = "page_id", href: str = "href") -
 def links_per_host(pages: DataFrame, key: str = "page_id", base: str = "url") -> DataFrame:
     """Distinct resolved links and linking pages per target host.
 
-    The first aggregate is on (host, page), so a host that holds most links is counted by many tasks.
+    Repeats of a link lie in one page, so they are dropped inside the row. The first aggregate is on (host,
+    page) and is complete before its shuffle, so a host that holds most links is counted by many tasks.
     """
-    links = (
-        resolved_links(pages, key, base)
-        .filter(urls.is_http(F.col("target")))
-        .groupBy(key, "label", "target")
-        .agg(F.min("pos").alias("pos"))
+    same = F.array_distinct(
+        F.transform(
+            "anchors",
+            lambda a: F.concat(a["label"], F.lit("\u0001"), urls.resolve(F.col(base), a["href"])),
+        )
     )
+    links = with_page_parts(pages, [key, base], ["anchors"]).select(key, F.explode(same).alias("_link"))
+    target = F.element_at(F.split("_link", "\u0001"), -1)
     per_page = (
-        links.withColumn("host", urls.host(F.col("target")))
+        once(links, host=F.when(urls.is_http(target), urls.host(target)))
+        .filter(F.col("host").isNotNull())
         .groupBy("host", key)
         .agg(F.count("*").alias("n"))
     )

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from metaloom.functions import terms
-from metaloom.session import cut_lineage
+from metaloom.session import cut_and_measure, cut_lineage
 from metaloom.shipping import ship_by_value
 
 ship_by_value(__name__)
@@ -266,86 +266,104 @@ def _sums(*parts: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("_n"), F.sum(one).alias("_a"), F.sum(two).alias("_b")]
 
 
-def node_hashes(quads: DataFrame, rounds: int = 8) -> DataFrame:
-    """g, node, hash for every unnamed subject: equal for nodes with equal properties all the way down.
+def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",), rounds: int = 16) -> DataFrame:
+    """keys, node, hash for every unnamed subject: equal for nodes with equal properties all the way down.
 
-    Each round folds the hashes of unnamed children into their parents; nesting deeper than `rounds`
-    is told apart only down to that depth. Properties are summed as hashes, never collected, so a node
-    with very many properties stays a partial aggregate.
+    `keys` name the graph a node belongs to. Each round folds the hashes of unnamed children into their parents,
+    until every node rests on settled ones; unnamed nodes on a cycle are told apart down to `rounds` steps.
+    Properties are summed as hashes, never collected, so a node with very many properties stays a partial
+    aggregate.
     """
-    own = quads.filter(is_anonymous(F.col("s"))).withColumn(
-        "_inner", (F.col("kind") != "literal") & is_anonymous(F.col("value"))
+    at = [*keys, "node"]
+    own = quads.filter(is_anonymous(F.col("s"))).select(
+        *keys,
+        F.col("s").alias("node"),
+        "p",
+        "o",
+        ((F.col("kind") != "literal") & is_anonymous(F.col("value"))).alias("_inner"),
+        "value",
     )
     outer = F.when(~F.col("_inner"), F.col("o")).otherwise(F.lit("(node)"))
-    base = cut_lineage(
-        own.groupBy("g", "s")
-        .agg(*_sums(F.col("p"), outer))
-        .select("g", F.col("s").alias("node"), F.concat_ws("|", "_n", "_a", "_b").alias("base"))
-        .withColumn("hash", F.sha1("base"))
+    unsettled = F.count_if(~F.col("settled"))
+    base, seen = cut_and_measure(
+        own.groupBy(*at)
+        .agg(*_sums(F.col("p"), outer), (F.count_if("_inner") == 0).alias("settled"))
+        .select(*at, F.concat_ws("|", "_n", "_a", "_b").alias("base"), "settled")
+        .withColumn("hash", F.sha1("base")),
+        unsettled=unsettled,
     )
-    links = cut_lineage(
-        own.filter("_inner").select("g", F.col("s").alias("node"), "p", F.col("value").alias("inner"))
-    )
-    if links.isEmpty():
-        return base.select("g", "node", "hash")
+    if not seen["unsettled"]:
+        return base.select(*at, "hash")
+    links = cut_lineage(own.filter("_inner").select(*at, "p", F.col("value").alias("inner")))
     current = base
-    classes = -1
     for _ in range(rounds):
-        found = current.agg(F.count_distinct("hash")).head()[0]
-        if found == classes:
-            break
-        classes = found
-        inner = current.select("g", F.col("node").alias("inner"), F.col("hash").alias("_inner_hash"))
+        inner = current.select(
+            *keys,
+            F.col("node").alias("inner"),
+            F.col("hash").alias("_hash"),
+            F.col("settled").alias("_settled"),
+        )
         folded = (
-            links.join(inner, ["g", "inner"], "left")
-            .groupBy("g", "node")
-            .agg(*_sums(F.col("p"), F.coalesce("_inner_hash", F.lit("(none)"))))
-            .select("g", "node", F.concat_ws("|", "_n", "_a", "_b").alias("_folded"))
+            links.join(inner, [*keys, "inner"], "left")
+            .groupBy(*at)
+            .agg(
+                *_sums(F.col("p"), F.coalesce("_hash", F.lit("(none)"))),
+                F.bool_and(F.coalesce("_settled", F.lit(True))).alias("_ready"),
+            )
+            .select(*at, F.concat_ws("|", "_n", "_a", "_b").alias("_folded"), "_ready")
         )
-        current = cut_lineage(
-            base.select("g", "node", "base")
-            .join(folded, ["g", "node"], "left")
-            .withColumn("hash", F.sha1(F.concat_ws("/", "base", F.coalesce("_folded", F.lit("")))))
-            .drop("_folded")
+        current, seen = cut_and_measure(
+            base.select(*at, "base")
+            .join(folded, at, "left")
+            .select(
+                *at,
+                F.sha1(F.concat_ws("/", "base", F.coalesce("_folded", F.lit("")))).alias("hash"),
+                F.coalesce("_ready", F.lit(True)).alias("settled"),
+            ),
+            unsettled=unsettled,
         )
-    return current.select("g", "node", "hash")
+        if not seen["unsettled"]:
+            break
+    return current.select(*at, "hash")
 
 
-def canonical(quads: DataFrame, rounds: int = 8) -> DataFrame:
+def canonical(quads: DataFrame, keys: tuple[str, ...] = ("g",), rounds: int = 16) -> DataFrame:
     """Quads with every unnamed node replaced by `_:` and its hash."""
-    hashes = node_hashes(quads, rounds)
-    as_subject = hashes.select("g", F.col("node").alias("s"), F.col("hash").alias("_s"))
-    as_object = hashes.select("g", F.col("node").alias("_node"), F.col("hash").alias("_o"))
+    hashes = node_hashes(quads, keys, rounds)
+    as_subject = hashes.select(*keys, F.col("node").alias("s"), F.col("hash").alias("_s"))
+    as_object = hashes.select(*keys, F.col("node").alias("_node"), F.col("hash").alias("_o"))
     inner = (F.col("kind") != "literal") & is_anonymous(F.col("value"))
     return (
         quads.withColumn("_node", F.when(inner, F.col("value")))
-        .join(as_subject, ["g", "s"], "left")
-        .join(as_object, ["g", "_node"], "left")
+        .join(as_subject, [*keys, "s"], "left")
+        .join(as_object, [*keys, "_node"], "left")
         .select(
             F.when(is_anonymous(F.col("s")), F.concat(F.lit("_:"), F.coalesce("_s", F.lit("none"))))
             .otherwise(F.col("s"))
             .alias("s"),
             "p",
-            F.when(inner, F.concat(F.lit("_:"), F.coalesce("_o", F.lit("none"))))
+            F.when(F.col("_node").isNotNull(), F.concat(F.lit("_:"), F.coalesce("_o", F.lit("none"))))
             .otherwise(F.col("o"))
             .alias("o"),
-            "g",
+            *keys,
         )
     )
 
 
-def compare_releases(left: DataFrame, right: DataFrame, rounds: int = 8) -> DataFrame:
+def compare_releases(left: DataFrame, right: DataFrame, rounds: int = 16) -> DataFrame:
     """Quads that one release has more often than the other: s, p, o, g, side, n.
 
-    Both releases meet in one signed count, so equal unnamed nodes are compared as a multiset in one shuffle.
+    Both releases go through one canonical form, told apart by a sign, and meet in one signed count, so equal
+    unnamed nodes are compared as a multiset.
     """
-    signed = (
-        canonical(left, rounds)
-        .withColumn("_sign", F.lit(1))
-        .unionByName(canonical(right, rounds).withColumn("_sign", F.lit(-1)))
+    columns = ["s", "p", "o", "value", "kind", "g"]
+    both = (
+        left.select(*columns, F.lit(1).alias("_sign"))
+        .unionByName(right.select(*columns, F.lit(-1).alias("_sign")))
     )
     return (
-        signed.groupBy("s", "p", "o", "g")
+        canonical(both, ("_sign", "g"), rounds)
+        .groupBy("s", "p", "o", "g")
         .agg(F.sum("_sign").alias("_d"))
         .filter(F.col("_d") != 0)
         .select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,3 +51,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_and_measure(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """`cut_lineage`, and aggregates over the written rows that are taken while they are written."""
+    seen = Observation()
+    named = [value.alias(name) for name, value in metrics.items()]
+    written = cut_lineage(df.observe(seen, *named))
+    return written, seen.get
