@@ -158,9 +158,9 @@ def failure_reason(message: Column, stage: str = "detection") -> Column:
 def retry_delay(message: Column) -> Column:
     """Seconds to wait: the announced wait plus a margin, bounded; a default if none is announced."""
     announced = F.regexp_extract(message, r"(?i)retry in ([\d.]+)s", 1).try_cast("double")
-    return F.coalesce(
-        F.least(announced + WAIT_MARGIN_SECONDS, F.lit(LONGEST_WAIT_SECONDS)),
-        F.lit(DEFAULT_WAIT_SECONDS),
+    # `least` passes over NULL, so the default comes first.
+    return F.when(announced.isNull(), F.lit(DEFAULT_WAIT_SECONDS)).otherwise(
+        F.least(announced + WAIT_MARGIN_SECONDS, F.lit(LONGEST_WAIT_SECONDS))
     )
 
 

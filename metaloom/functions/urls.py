@@ -51,7 +51,10 @@ def _drop_dot_segments(path: Column) -> Column:
         return F.array_join(F.concat(done, tail), "/")
 
     joined = let(F.split(path, "/"), walked)
-    return let(joined, lambda p: F.when(p == "", F.lit("/")).otherwise(p))
+    return let(
+        joined,
+        lambda p: F.when(F.startswith(p, F.lit("/")), p).otherwise(F.concat(F.lit("/"), p)),
+    )
 
 
 def _merge(base: Column, path: Column) -> Column:

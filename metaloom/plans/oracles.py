@@ -350,8 +350,8 @@ _REASON = """CASE WHEN regexp_matches(lower(message), 'timeout|timed out|connect
 FAILURES = {
     "failure_class": f"""
         SELECT event_id, {_REASON} AS reason, CASE WHEN regexp_matches(message, '429|RESOURCE_EXHAUSTED|(?i:quota)')
-          THEN coalesce(least(TRY_CAST(regexp_extract(message, '(?i)retry in ([0-9.]+)s', 1) AS DOUBLE) + 5, 60), CAST(30 AS DOUBLE)) END AS delay
-        FROM {_FAILURES}""",
+          THEN CASE WHEN wait IS NULL THEN CAST(30 AS DOUBLE) WHEN wait + 5 > 60 THEN 60 ELSE wait + 5 END END AS delay
+        FROM (SELECT *, TRY_CAST(regexp_extract(message, '(?i)retry in ([0-9.]+)s', 1) AS DOUBLE) AS wait FROM {_FAILURES})""",
     "failure_summary": f"""
         SELECT reason, CASE reason WHEN 'timeout' THEN 'Timeout' WHEN 'server_error' THEN 'Server Error' ELSE 'Detection Error' END AS title, count(*) AS n
         FROM (SELECT {_REASON} AS reason FROM {_FAILURES}) GROUP BY reason""",

@@ -25,6 +25,10 @@ def local_session():
     return session
 
 
+# Columns are named at import time in the test modules, which needs a running session.
+SESSION = local_session()
+
+
 @pytest.fixture(scope="session")
 def spark():
-    return local_session()
+    return SESSION
