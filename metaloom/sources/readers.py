@@ -50,7 +50,7 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*columns, F.monotonically_increasing_id().alias("row_id"))
 
 
-def _file_path() -> Column:
+def file_path() -> Column:
     """Path of the file a row came from, with its URI escapes resolved."""
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
@@ -73,7 +73,7 @@ def read_documents(spark: SparkSession, folder: str, pattern: str = "*.jsonld")
         .option("pathGlobFilter", pattern)
         .text(folder, wholetext=True)
     )
-    path = _file_path()
+    path = file_path()
     return files.select(
         path.alias("path"),
         parent_folder(path).alias("site"),
@@ -104,7 +104,7 @@ def _read_xml(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
         .option("pathGlobFilter", "*.xml")
         .schema(schema)
         .load(path)
-        .withColumn("source_file", _file_path())
+        .withColumn("source_file", file_path())
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from metaloom.operators.validation import check_documents
-from metaloom.sources.readers import parent_folder
+from metaloom.sources.readers import file_path, parent_folder
 
 
 def stream_documents(
@@ -21,7 +21,7 @@ def stream_documents(
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
     )
-    path = F.col("_metadata.file_path")
+    path = file_path()
     return files.select(
         path.alias("path"), parent_folder(path).alias("site"), F.col("value").alias("raw")
     )
