@@ -25,3 +25,23 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     row = F.struct(*[value.alias(name) for name, value in columns.items()])
     kept = [c for c in df.columns if c not in columns]
     return df.select(*kept, F.inline(F.array(row)))
+
+
+def first_per_key(items: Column, key: Callable[[Column], Column], order: list[str]) -> Column:
+    """The first item of each key, in order; `order` names the fields that give an item its place.
+
+    Two sorts inside the row: by key, to find the first of each, and back by place. The work grows with n log n
+    of one row's items, and nothing is shuffled.
+    """
+    keyed = F.transform(
+        items,
+        lambda x: F.struct(key(x).alias("key"), *[x[o].alias(o) for o in order], x.alias("item")),
+    )
+    firsts = let(
+        F.sort_array(keyed),
+        lambda s: F.filter(s, lambda e, i: (i == 0) | ~e["key"].eqNullSafe(F.get(s, i - 1)["key"])),
+    )
+    placed = F.transform(
+        firsts, lambda e: F.struct(*[e[o].alias(o) for o in order], e["item"].alias("item"))
+    )
+    return F.transform(F.sort_array(placed), lambda e: e["item"])

@@ -48,8 +48,12 @@ def box_numbers(box: Column) -> Column:
     return F.split(strip(box), _BLANKS)
 
 
-def fix_box(box: Column) -> Column:
-    """Four blank-separated numbers become `west,south east,north`; any other text stays as it is."""
+def fix_box(box: Column, guess_order: bool = False) -> Column:
+    """Four blank-separated numbers become `west,south east,north`; any other text stays as it is.
+
+    The numbers are taken as west, south, east, north. With `guess_order` they are taken as south, west, north,
+    east where the second or fourth is no latitude, as `check_box` reads them.
+    """
 
     def joined(parts: Column) -> Column:
         fits = (
@@ -57,6 +61,10 @@ def fix_box(box: Column) -> Column:
             & ~F.contains(box, F.lit(","))
             & F.forall(parts, lambda p: p.rlike(_NUMBER))
         )
+        if guess_order:
+            latitudes = [F.get(parts, F.lit(i)).try_cast("double").between(-90, 90) for i in (1, 3)]
+            turned = F.array(*[F.get(parts, F.lit(i)) for i in (1, 0, 3, 2)])
+            parts = F.when(latitudes[0] & latitudes[1], parts).otherwise(turned)
         return F.when(
             fits,
             let(

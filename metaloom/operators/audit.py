@@ -176,12 +176,8 @@ def audit_documents(featured: DataFrame, key: str = "doc_id") -> DataFrame:
             F.when((F.size("hrefs") > 0) & ~F.arrays_overlap("urls", "hrefs"), F.lit(NO_DOWNLOAD)),
         ),
     )
-    return featured.select(
-        key,
-        F.when(F.col("is_object"), warnings)
-        .otherwise(F.array(F.lit(NOT_AN_OBJECT)))
-        .alias("warnings"),
-    )
+    every = F.when(F.col("is_object"), warnings).otherwise(F.array(F.lit(NOT_AN_OBJECT)))
+    return once(featured, warnings=every).select(key, "warnings")
 
 
 def warning_rows(audited: DataFrame, key: str = "doc_id") -> DataFrame:

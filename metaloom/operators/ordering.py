@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+MOST_BUCKETS = 4096
+
 
 def with_sequence(
-    df: DataFrame, order: str, name: str = "seq", total: str | None = None, buckets: int = 256
+    df: DataFrame,
+    order: str,
+    name: str = "seq",
+    total: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Number all rows from 1 in the order of a unique numeric column, and add the row count.
 
     The order column is cut at its own quantiles, which spreads the rows evenly whatever their distribution.
     A row's number is its rank inside its bucket plus the rows of all lower buckets. Only the cut points and
-    one count per bucket (at most `buckets` of each) leave the tasks.
+    one count per bucket leave the tasks: at most `buckets` of each, by default a few per shuffle partition.
     """
+    if buckets is None:
+        parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(max(4 * parallel, 16), MOST_BUCKETS)
     cuts = df.agg(
         F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10000)
     ).head()[0]

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from metaloom.functions import urls
-from metaloom.functions.bind import once
+from metaloom.functions.bind import first_per_key, once
 from metaloom.functions.markup import ld_json_texts, with_page_parts
 from metaloom.functions.variants import strip, with_value
 from metaloom.shipping import ship_by_value
@@ -45,6 +45,23 @@ def distinct_links(links: DataFrame, key: str = "page_id", href: str = "href") -
     return links.groupBy(key, "label", href).agg(F.min("pos").alias("first_pos"))
 
 
+def _link_key(link: Column) -> Column:
+    return F.concat(link["label"], F.lit("\u0001"), link["href"])
+
+
+def distinct_page_links(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """`distinct_links` of captured pages: repeats lie in one page, so they are dropped inside the row."""
+    anchors = F.transform(
+        "anchors",
+        lambda a, i: F.struct(i.alias("pos"), a["label"].alias("label"), a["href"].alias("href")),
+    )
+    return (
+        with_page_parts(pages, [key], ["anchors"])
+        .select(key, F.inline(first_per_key(anchors, _link_key, ["pos"])))
+        .withColumnRenamed("pos", "first_pos")
+    )
+
+
 def links_per_host(pages: DataFrame, key: str = "page_id", base: str = "url") -> DataFrame:
     """Distinct resolved links and linking pages per target host.
 
@@ -101,22 +118,27 @@ def with_facts(
     base: str = "base_url",
     kinds: tuple[str, ...] = FACT_KINDS,
 ) -> DataFrame:
-    """Candidate facts of each page as arrays: links, cited and variables, or only the given kinds.
+    """Facts of each page as arrays: links, cited and variables, or only the given kinds.
 
     The html is read once, in one Python pass; everything else is array work inside the row, so nothing is
-    shuffled. Repeats are still there: what follows drops them by key or by value.
+    shuffled. Of equal links, and of variables with one code, the first is kept; table rows come before text lines.
     """
     needed = [p for p in ("anchors", "lines", "rows") if any(p in _PARTS_OF_KIND[k] for k in kinds)]
     parts = with_page_parts(pages, [key, base], needed)
     if "lines" in needed:
         following = F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))
         parts = once(parts, pairs=F.arrays_zip("lines", following.alias("next")))
-    makers = {"links": lambda: _links(base), "cited": _cited, "variables": lambda: F.concat(_row_variables(), _line_variables())}
+    makers = {"links": lambda: _links(base), "cited": _cited, "variables": _variables}
     return once(parts, **{k: makers[k]() for k in kinds}).select(key, *kinds)
 
 
+def _variables() -> Column:
+    both = F.concat(_row_variables(), _line_variables())
+    return first_per_key(both, lambda v: F.lower(v["code"]), ["pass", "pos"])
+
+
 def _links(base: str) -> Column:
-    """Anchors that lead to data, with their absolute address."""
+    """Anchors that lead to data, with their absolute address; an empty label reads `link`."""
     every = F.transform(
         "anchors",
         lambda a, i: F.struct(
@@ -125,7 +147,15 @@ def _links(base: str) -> Column:
             urls.resolve(F.col(base), a["href"]).alias("href"),
         ),
     )
-    return F.filter(every, lambda a: is_download(a["label"], a["href"]) & (a["href"] != ""))
+    found = F.filter(every, lambda a: is_download(a["label"], a["href"]) & (a["href"] != ""))
+    return F.transform(
+        first_per_key(found, _link_key, ["pos"]),
+        lambda a: F.struct(
+            a["pos"].alias("pos"),
+            F.when(a["label"] == "", F.lit("link")).otherwise(a["label"]).alias("label"),
+            a["href"].alias("href"),
+        ),
+    )
 
 
 def _cited() -> Column:
@@ -176,11 +206,8 @@ def _line_variables() -> Column:
 
 
 def download_links(facts: DataFrame, key: str = "page_id") -> DataFrame:
-    """Distinct data links of pages read by `with_facts`: key, label, href, first_pos."""
-    links = facts.select(key, F.inline("links"))
-    return distinct_links(links, key).withColumn(
-        "label", F.when(F.col("label") == "", F.lit("link")).otherwise(F.col("label"))
-    )
+    """Distinct data links of pages read by `with_facts`: key, pos, label, href."""
+    return facts.select(key, F.inline("links"))
 
 
 def citations(facts: DataFrame, key: str = "page_id") -> DataFrame:
@@ -189,32 +216,17 @@ def citations(facts: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def source_variables(facts: DataFrame, key: str = "page_id") -> DataFrame:
-    """Variables of a page, the first one per code: table rows come before text lines.
-
-    The aggregate on (page, code) keeps the smallest (pass, position) before the shuffle.
-    """
-    fields = ["pass", "pos", "code", "name", "unit", "description"]
-    return (
-        facts.select(key, F.inline("variables"))
-        .groupBy(key, F.lower("code").alias("_code"))
-        .agg(F.min(F.struct(*fields)).alias("_v"))
-        .select(key, "_v.*")
-    )
-
-
-def _n_distinct(texts: Column) -> Column:
-    return F.size(F.array_distinct(texts)).cast("long")
+    """Variables of a page, one per code: key, pass, pos, code, name, unit, description."""
+    return facts.select(key, F.inline("variables"))
 
 
 def fact_counts(facts: DataFrame, key: str = "page_id") -> DataFrame:
-    """Distinct links, citations and distinct variables per page, counted inside the row."""
-    pairs = F.transform("links", lambda a: F.concat(a["label"], F.lit("\u0001"), a["href"]))
-    codes = F.transform("variables", lambda v: F.lower(v["code"]))
+    """Links, citations and variables per page."""
     return facts.select(
         key,
-        _n_distinct(pairs).alias("n_links"),
+        F.size("links").cast("long").alias("n_links"),
         F.size("cited").cast("long").alias("n_citations"),
-        _n_distinct(codes).alias("n_variables"),
+        F.size("variables").cast("long").alias("n_variables"),
     )
 
 
@@ -222,24 +234,49 @@ def source_sets(facts: DataFrame, key: str = "page_id") -> DataFrame:
     """Per page: the set of lower-case variable codes and the set of data links."""
     return facts.select(
         key,
-        F.array_distinct(F.transform("variables", lambda v: F.lower(v["code"]))).alias("codes"),
+        F.transform("variables", lambda v: F.lower(v["code"])).alias("codes"),
         F.array_distinct(F.transform("links", lambda a: a["href"])).alias("hrefs"),
     )
 
 
+def facts_json(facts: DataFrame, key: str = "page_id") -> DataFrame:
+    """The facts of a page as the JSON object that goes into a generation prompt: key, facts."""
+    return facts.select(
+        key,
+        F.to_json(
+            F.struct(
+                F.transform(
+                    "links", lambda a: F.struct(a["label"].alias("label"), a["href"].alias("href"))
+                ).alias("download_links"),
+                F.transform(
+                    "cited", lambda c: F.struct(c["label"].alias("label"), c["text"].alias("text"))
+                ).alias("citation_text"),
+                F.transform(
+                    "variables",
+                    lambda v: F.struct(
+                        v["name"].alias("name"),
+                        v["code"].alias("alternateName"),
+                        v["unit"].alias("unitText"),
+                        v["description"].alias("description"),
+                    ),
+                ).alias("variables"),
+            )
+        ).alias("facts"),
+    )
+
+
 def source_facts(pages: DataFrame, key: str = "page_id", base: str = "base_url") -> DataFrame:
     """All facts of all pages in long form: key, kind, pass, pos and the fields of the kind.
 
     `kind` is link (label, href), citation (label, text) or variable (code, name, unit, description). One
-    reading of the html feeds one explode and one aggregate that keeps the first of equal facts.
+    reading of the html feeds one explode.
     """
     names = ["label", "href", "text", "code", "name", "unit", "description"]
 
-    def shaped(array: str, kind: str, given: list[str], same: Callable[[Column], Column]) -> Column:
+    def shaped(array: str, kind: str, given: list[str]) -> Column:
         def fact(item: Column) -> Column:
             return F.struct(
                 F.lit(kind).alias("kind"),
-                same(item).alias("same"),
                 (item["pass"] if kind == "variable" else F.lit(0)).alias("pass"),
                 item["pos"].alias("pos"),
                 *[_field(item[n] if n in given else None, n) for n in names],
@@ -248,25 +285,11 @@ def source_facts(pages: DataFrame, key: str = "page_id", base: str = "base_url")
         return F.transform(array, fact)
 
     every = F.concat(
-        shaped(
-            "links",
-            "link",
-            names[:2],
-            lambda a: F.concat(a["label"], F.lit("\u0001"), a["href"]),
-        ),
-        shaped("cited", "citation", ["label", "text"], lambda c: c["pos"].cast("string")),
-        shaped("variables", "variable", names[3:], lambda v: F.lower(v["code"])),
-    )
-    first = (
-        with_facts(pages, key, base)
-        .select(key, F.inline(every))
-        .groupBy(key, "kind", "same")
-        .agg(F.min(F.struct("pass", "pos", *names)).alias("_f"))
-    )
-    return first.select(key, "kind", "_f.*").withColumn(
-        "label",
-        F.when((F.col("kind") == "link") & (F.col("label") == ""), F.lit("link")).otherwise(F.col("label")),
+        shaped("links", "link", names[:2]),
+        shaped("cited", "citation", ["label", "text"]),
+        shaped("variables", "variable", names[3:]),
     )
+    return with_facts(pages, key, base).select(key, F.inline(every))
 
 
 def ld_json_blocks(pages: DataFrame, key: str = "page_id") -> DataFrame:

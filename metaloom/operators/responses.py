@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from metaloom.functions.bind import once
 from metaloom.functions.geo import box_from_columns
 from metaloom.functions.prompts import detection_prompt, generation_prompt
 from metaloom.functions.text import with_reply_json
@@ -33,7 +34,7 @@ def _dataset_array() -> Column:
 def detected_datasets(
     replies: DataFrame, key: str, site: Column, site_url: Column, reply: str = "response"
 ) -> DataFrame:
-    """One row per detected dataset: key, j (from 1), dataset, name and url with their defaults.
+    """One row per detected dataset: key, j (from 1) of n, dataset, name and url with their defaults.
 
     A default applies only where the key is missing; a null or empty value stays.
     """
@@ -41,13 +42,24 @@ def detected_datasets(
         parse_replies(replies, reply)
         .withColumn("_site", site)
         .withColumn("_site_url", site_url)
-        .select(key, "_site", "_site_url", F.posexplode(_dataset_array()).alias("_i", "dataset"))
+        .select(key, "_site", "_site_url", _dataset_array().alias("_datasets"))
+    )
+    rows = (
+        once(rows, _found=F.col("_datasets"))
+        .select(
+            key,
+            "_site",
+            "_site_url",
+            F.size("_found").alias("n"),
+            F.posexplode("_found").alias("_i", "dataset"),
+        )
         .withColumn("j", F.col("_i") + 1)
     )
     dataset = F.col("dataset")
     return rows.select(
         key,
         "j",
+        "n",
         "dataset",
         F.when(has_key(dataset, "$.name"), any_text(child(dataset, "$.name")))
         .otherwise(F.concat("_site", F.lit("_dataset_"), F.col("j").cast("string")))
@@ -85,13 +97,24 @@ def merge_metadata(detected: DataFrame, registry: DataFrame, key: str, row_key:
             for c in site_columns
         ],
     )
-    joined = detected.join(sites, F.col(key) == F.col("_row"), "left")
     dataset = F.col("dataset")
+    # What the reply says is read before the join; the parsed reply comes along only if it is asked for.
+    fields = ["description", "creator", "publisher", "keywords", "spatialCoverage"]
+    said = detected.select(
+        key,
+        "j",
+        "name",
+        "url",
+        *[has_key(dataset, f"$.{f}").alias(f"_has_{f}") for f in fields],
+        *[any_text(child(dataset, f"$.{f}")).alias(f"_said_{f}") for f in fields],
+        dataset.alias("extracted"),
+    )
+    joined = said.join(sites, F.col(key) == F.col("_row"), "left")
 
     def preferred(field: str, fallback: Column) -> Column:
-        return F.when(
-            has_key(dataset, f"$.{field}"), any_text(child(dataset, f"$.{field}"))
-        ).otherwise(F.coalesce(fallback, F.lit("")))
+        return F.when(F.col(f"_has_{field}"), F.col(f"_said_{field}")).otherwise(
+            F.coalesce(fallback, F.lit(""))
+        )
 
     box = box_from_columns(*[F.col(f"_{c}") for c in site_columns[-4:]])
     return joined.select(
@@ -106,10 +129,19 @@ def merge_metadata(detected: DataFrame, registry: DataFrame, key: str, row_key:
         preferred("publisher", F.col("_publisher")).alias("publisher"),
         preferred("keywords", F.col("_keywords")).alias("keywords"),
         preferred("spatialCoverage", box).alias("spatial_coverage"),
-        dataset.alias("extracted"),
+        "extracted",
     )
 
 
+def with_source_facts(merged: DataFrame, facts: DataFrame, url: str = "url") -> DataFrame:
+    """Add the facts of each dataset's own page, NULL where the page was not captured.
+
+    `facts` has `url` (unique) and `facts`, the JSON of `pages.facts_json`.
+    """
+    known = facts.select(F.col("url").alias("_url"), F.col("facts").alias("source_facts"))
+    return merged.join(known, F.col(url) == F.col("_url"), "left").drop("_url")
+
+
 def detection_requests(sites: DataFrame, template: str, text: str = "text") -> DataFrame:
     """The request table of the detection step: row_id, url and prompt.
 
@@ -143,6 +175,13 @@ def generation_requests(merged: DataFrame, template: str, key: str, example: Col
     ]
     metadata = {n: F.col(n) for n in names} | {"group": F.col("grp")}
     extracted = F.coalesce(F.to_json("extracted"), F.lit("{}"))
+    if "source_facts" in merged.columns:
+        # The facts become one more key at the end of the detected object.
+        inside = F.regexp_replace(extracted, r"\}$", "")
+        comma = F.when(inside == "{", F.lit("")).otherwise(F.lit(","))
+        extracted = F.concat(
+            inside, comma, F.lit('"source_facts":'), F.coalesce("source_facts", F.lit("{}")), F.lit("}")
+        )
     return merged.select(
         key, "j", generation_prompt(template, metadata, extracted, example).alias("prompt")
     )

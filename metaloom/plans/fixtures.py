@@ -217,6 +217,9 @@ FIXTURES = {
     "rasters": RASTERS,
 }
 
+# Tables that do not grow with the data.
+FIXED_TABLES = ("nation", "region")
+
 _TABLE = re.compile(r"@([a-z]+)@")
 
 
@@ -227,6 +230,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     is read as it lies, without any exchange.
     """
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name in FIXED_TABLES:
+        return rows
     cores = spark.sparkContext.defaultParallelism
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 

@@ -40,7 +40,7 @@ PAGES = {
           FROM ({_LINKS})) GROUP BY host""",
     "allowed_domain_pages": """
         SELECT DISTINCT page_id, url FROM pages
-        WHERE lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) IN ('spam-farm.example.org', 'www.cheap-pills.example.com')""",
+        WHERE lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) IN ('m.tionsh.example.net', 'thther.example.com', 'thther.example.org', 'spam-farm.example.org')""",
     "page_text": f"""
         SELECT page_id, length(text) AS n_chars, text FROM (
           SELECT page_id, array_to_string(list_filter(list_transform(

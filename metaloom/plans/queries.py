@@ -29,7 +29,7 @@ from metaloom.sources.readers import parse_quads
 Query = Callable[[SparkSession, str], DataFrame]
 
 ISSUES_URL = "https://example.org/issues"
-DOMAINS = ["spam-farm.example.org", "www.cheap-pills.example.com"]
+DOMAINS = ["m.tionsh.example.net", "thther.example.com", "thther.example.org", "spam-farm.example.org"]
 LAST_RUN = "2024-01-15T00:00:00Z"
 SCHEMA = "https://schema.org/"
 TEMPLATE = (
@@ -71,7 +71,7 @@ def page_links_resolved(spark, sf):
 
 @query
 def page_links_distinct(spark, sf):
-    links = pages.distinct_links(pages.page_links(table(spark, sf, "pages")))
+    links = pages.distinct_page_links(table(spark, sf, "pages"))
     return links.select("page_id", "label", "href", _long("first_pos"))
 
 

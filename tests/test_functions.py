@@ -11,7 +11,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from metaloom.functions import geo, normalise, terms, text, urls
-from metaloom.functions.bind import let, once
+from metaloom.functions.bind import first_per_key, let, once
 from metaloom.functions.intervals import parse_interval
 from metaloom.functions.prompts import CONTENT_LENGTH, format_slots, generation_prompt, is_large_prompt, detection_prompt
 from metaloom.functions.variants import as_array, child, has_key, is_truthy, kind, strict_json, strip
@@ -384,3 +384,16 @@ def test_prompts(spark):
     (made,) = column(spark, ['{"a":1}'], generation_prompt(slots, {"name": lit("n"), "url": lit("u")}, X, lit("{}" * 3000)))
     assert made == 'nu{{"a":1}}' + "{{}}" * 1000
     assert column(spark, ["x" * 10001, "x" * 10000], is_large_prompt(X)) == [True, False]
+
+
+def test_box_fix_may_guess_the_order(spark):
+    boxes = ["-46.5 -162.75 71.25 176.5", "20 -40 50 10"]
+    assert column(spark, boxes, geo.fix_box(X, guess_order=True)) == ["-162.75,-46.5 176.5,71.25", "20.0,-40.0 50.0,10.0"]
+    assert column(spark, boxes, geo.fix_box(X))[0] == "-46.5,-162.75 71.25,176.5"
+
+
+def test_first_per_key(spark):
+    items = F.from_json(X, "array<struct<pos:int,k:string,v:string>>")
+    text_ = '[{"pos":0,"k":"b","v":"1"},{"pos":1,"k":"a","v":"2"},{"pos":2,"k":"b","v":"3"},{"pos":3,"v":"4"},{"pos":4,"v":"5"}]'
+    got = column(spark, [text_, "[]"], F.transform(first_per_key(items, lambda x: x["k"], ["pos"]), lambda x: x["v"]))
+    assert got == [["1", "2", "4"], []]

@@ -278,3 +278,22 @@ def test_identity(spark):
     df = spark.createDataFrame([(f"/a/{sha}.jsonld", "a", "x"), (f"/b/{sha}.jsonld", "b", "x"), (f"/b/{'0' * 40}.jsonld", "b", "y"), ("/b/name.jsonld", "b", "z")], "path string, site string, raw string")
     assert [tuple(r) for r in documents.duplicates(df).collect()] == [(sha, 2, 2)]
     assert {r.path: r.intact for r in documents.integrity(df).collect()} == {f"/a/{sha}.jsonld": True, f"/b/{sha}.jsonld": True, f"/b/{'0' * 40}.jsonld": False}
+
+
+def test_source_facts_join_the_prompt(spark):
+    from metaloom.operators import pages
+
+    html = '<a href="/d.zip">Download</a><p>Data Citation</p><p>Doe</p><table><tr><td>t</td><td>T</td></tr></table>'
+    captured = spark.createDataFrame([("https://s", "https://s", html)], "url string, base_url string, html string")
+    facts = pages.facts_json(pages.with_facts(captured, "url"), "url")
+    found, _ = detected(spark, '{"name":"a"}', "nothing")
+    merged = responses.merge_metadata(found, spark.createDataFrame([(0,)], "row_id int"), "k", "row_id")
+    joined = responses.with_source_facts(merged, facts)
+    rows = responses.generation_requests(joined, "{EXTRACTED_METADATA}", "k", F.lit("")).orderBy("k").collect()
+    first, second = (json.loads(r.prompt.replace("{{", "{").replace("}}", "}")) for r in rows)
+    assert first["name"] == "a" and first["source_facts"] == second["source_facts"] == {
+        "download_links": [{"label": "Download", "href": "https://s/d.zip"}],
+        "citation_text": [{"label": "Data Citation", "text": "Doe"}],
+        "variables": [{"name": "T", "alternateName": "t", "unitText": "", "description": "T"}],
+    }
+    assert [(r.j, r.n) for r in found.orderBy("k").collect()] == [(1, 1), (1, 1)]
