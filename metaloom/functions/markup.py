@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -18,7 +20,12 @@ VOID_ELEMENTS = frozenset(
     "area base br col command embed hr img input keygen link menuitem meta param source spacer track wbr".split()
 )
 SILENT_ELEMENTS = frozenset(["script", "style", "template", "rt", "rp"])
-UNREAD_ELEMENTS = frozenset(["script", "style"])
+
+
+# Tags in plain form, which the reader takes without the parser's tolerant rules.
+_PLAIN_START = re.compile(r'<([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z][-a-zA-Z0-9_:]*="[^"<>]*")*)\s*>')
+_PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)>")
+_PLAIN_ATTRIBUTE = re.compile(r'\s([a-zA-Z][-a-zA-Z0-9_:]*)="([^"]*)"')
 
 
 class PageReader(HTMLParser):
@@ -39,6 +46,28 @@ class PageReader(HTMLParser):
         self.anchors: list[tuple[str, list[str]]] = []
         self.rows: list[list[list[str]]] = []
 
+    def updatepos(self, i, j):
+        # Line numbers are not used.
+        return j
+
+    def parse_starttag(self, i):
+        plain = _PLAIN_START.match(self.rawdata, i)
+        tag = plain and plain.group(1).lower()
+        if not plain or tag in self.CDATA_CONTENT_ELEMENTS:
+            return super().parse_starttag(i)
+        self.lasttag = tag
+        # Only anchors have attributes of interest.
+        attrs = _PLAIN_ATTRIBUTE.findall(plain.group(2)) if tag == "a" else []
+        self.handle_starttag(tag, [(name.lower(), unescape(value)) for name, value in attrs])
+        return plain.end()
+
+    def parse_endtag(self, i):
+        plain = None if self.cdata_elem else _PLAIN_END.match(self.rawdata, i)
+        if not plain:
+            return super().parse_endtag(i)
+        self.handle_endtag(plain.group(1).lower())
+        return plain.end()
+
     def handle_starttag(self, tag, attrs):
         self._enter(tag, attrs)
         if tag in VOID_ELEMENTS:

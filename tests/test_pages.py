@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from metaloom.functions.markup import read_page
+from html.parser import HTMLParser
+
+from hypothesis import given, settings, strategies as st
+
+from metaloom.functions.markup import PageReader, read_page
 from metaloom.operators import pages
 
 PAGE = """<!DOCTYPE html><html><head><title> T &amp; t </title><style>p{}</style>
@@ -134,3 +138,27 @@ def test_html_does_not_leave_the_reading_stage(spark):
     plan = pages.download_links(pages.with_facts(pages_of(spark)))._jdf.queryExecution().optimizedPlan().toString()
     above = plan.split("MapInArrow")[0]
     assert "html" not in above
+
+
+class TolerantReader(PageReader):
+    """The same reader without its short cuts."""
+
+    parse_starttag = HTMLParser.parse_starttag
+    parse_endtag = HTMLParser.parse_endtag
+
+
+_PIECES = st.sampled_from(
+    ["<a href=\"u&amp;v\">", "<a href='x'>", "<A HREF=y>", "</a>", "<p>", "</P >", "<b/>", "<br>", "text &amp; more", "&copy", "<!-- c -->", "<",
+     "<script>", "</script>", "<td>", "<tr>", "</tr>", "</td>", "<a\n href=\"q\" class=\"a>b\">", "<i class=\"x\" id=y>", "<x:y z=\"1\">", "<p", "\"", ">", "</", "<a href=\"h\"id=\"i\">"]
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(_PIECES, max_size=14))
+def test_short_cuts_change_nothing(pieces):
+    html = "".join(pieces)
+    quick, slow = PageReader(), TolerantReader()
+    for reader in (quick, slow):
+        reader.feed(html)
+        reader.close()
+    assert (quick.text, quick.anchors, quick.rows) == (slow.text, slow.anchors, slow.rows)
