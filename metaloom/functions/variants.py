@@ -24,9 +24,9 @@ def strict_json(text: Column) -> Column:
     `try_parse_json` tolerates trailing text. Closing the value inside an object and inside an array
     leaves only texts that are one value: what slips through one wrapper breaks the other.
     """
-    inside_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    elements = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
     inside_object = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
-    return F.when(inside_array.isNotNull(), F.try_variant_get(inside_object, "$.x", "variant"))
+    return F.when(elements == 1, F.try_variant_get(inside_object, "$.x", "variant"))
 
 
 def with_value(docs: DataFrame, raw: str = "raw") -> DataFrame:

@@ -34,21 +34,23 @@ def crawl(
 
     Each level is written to the checkpoint folder: the plan of a level never holds the levels before it.
     """
-    ordered = "pos" in edges.columns
-    links = edges.select("src", "dst", *(["pos"] if ordered else []))
+    links = edges.select("src", "dst", *(["pos"] if "pos" in edges.columns else []))
     if domains:
         links = links.filter(urls.in_domains(F.col("dst"), domains))
 
-    keep = ["path"] if ordered else []
+    # Read by every level: written once, so that no level repeats the work that made the links.
+    return _walk(cut_lineage(links), seeds, max_depth)
+
+
+def _walk(links: DataFrame, seeds: DataFrame, max_depth: int | None) -> DataFrame:
+    keep = ["path"] if "pos" in links.columns else []
     weight = F.length(F.col("url").cast("string")) + 64
-    if ordered:
+    if keep:
         weight = weight + 4 * F.size("path")
     metrics = {"n": F.count(F.lit(1)), "size": F.coalesce(F.sum(weight), F.lit(0))}
 
-    # Read by every level: written once, so that no level repeats the work that made the links.
-    links = cut_lineage(links)
     start = seeds.select("url").distinct().withColumn("depth", F.lit(0))
-    if ordered:
+    if keep:
         start = start.withColumn("path", F.array(F.lit(0)))
     frontier, found = cut_and_measure(start, **metrics)
     visited = frontier
@@ -59,7 +61,7 @@ def crawl(
         if found["size"] <= FRONTIER_BROADCAST_BYTES:
             near = F.broadcast(near)
         onward = links.join(near, "src").withColumnRenamed("dst", "url")
-        if ordered:
+        if keep:
             reached = onward.groupBy("url").agg(
                 F.min(F.array_append("path", F.col("pos"))).alias("path")
             )
@@ -86,8 +88,10 @@ def catalogue_walk(edges: DataFrame, roots: DataFrame, max_depth: int | None = N
 
     `edges` has parent_id and child_id. Depth 1 is what a flat reading of a catalogue gives.
     """
-    pairs = edges.select(F.col("parent_id").alias("src"), F.col("child_id").alias("dst")).distinct()
-    walked = crawl(pairs, roots, max_depth)
+    pairs = cut_lineage(
+        edges.select(F.col("parent_id").alias("src"), F.col("child_id").alias("dst")).distinct()
+    )
+    walked = _walk(pairs, roots, max_depth)
     inner = pairs.select(F.col("src").alias("_src")).distinct()
     return walked.join(inner, F.col("url") == F.col("_src"), "left").select(
         "url", "depth", F.col("_src").isNull().alias("leaf")

@@ -330,24 +330,36 @@ def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",), rounds: int =
 def canonical(quads: DataFrame, keys: tuple[str, ...] = ("g",), rounds: int = 16) -> DataFrame:
     """Quads with every unnamed node replaced by `_:` and its hash."""
     hashes = node_hashes(quads, keys, rounds)
-    as_subject = hashes.select(*keys, F.col("node").alias("s"), F.col("hash").alias("_s"))
-    as_object = hashes.select(*keys, F.col("node").alias("_node"), F.col("hash").alias("_o"))
+    as_subject = hashes.select(*keys, F.col("node").alias("_from"), F.col("hash").alias("_s"))
+    as_object = hashes.select(*keys, F.col("node").alias("_to"), F.col("hash").alias("_o"))
+    outer = is_anonymous(F.col("s"))
     inner = (F.col("kind") != "literal") & is_anonymous(F.col("value"))
-    return (
-        quads.withColumn("_node", F.when(inner, F.col("value")))
-        .join(as_subject, [*keys, "s"], "left")
-        .join(as_object, [*keys, "_node"], "left")
+    columns = ["s", "p", "o", *keys]
+    named = quads.filter(~outer & ~inner).select(*columns)
+    # A row that needs one of the two joins only takes a key of its own to the other: equal keys would meet in one task.
+    apart = F.concat(F.lit("\u0001"), F.xxhash64("s", "p", "o").cast("string"))
+    touched = quads.filter(outer | inner).select(
+        *columns,
+        outer.alias("_outer"),
+        inner.alias("_inner"),
+        F.when(outer, F.col("s")).otherwise(apart).alias("_from"),
+        F.when(inner, F.col("value")).otherwise(apart).alias("_to"),
+    )
+    replaced = (
+        touched.join(as_subject, [*keys, "_from"], "left")
+        .join(as_object, [*keys, "_to"], "left")
         .select(
-            F.when(is_anonymous(F.col("s")), F.concat(F.lit("_:"), F.coalesce("_s", F.lit("none"))))
+            F.when(F.col("_outer"), F.concat(F.lit("_:"), F.coalesce("_s", F.lit("none"))))
             .otherwise(F.col("s"))
             .alias("s"),
             "p",
-            F.when(F.col("_node").isNotNull(), F.concat(F.lit("_:"), F.coalesce("_o", F.lit("none"))))
+            F.when(F.col("_inner"), F.concat(F.lit("_:"), F.coalesce("_o", F.lit("none"))))
             .otherwise(F.col("o"))
             .alias("o"),
             *keys,
         )
     )
+    return named.unionByName(replaced)
 
 
 def compare_releases(left: DataFrame, right: DataFrame, rounds: int = 16) -> DataFrame:

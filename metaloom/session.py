@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A repeated key in a JSON object keeps its last value, as most JSON readers do.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Rounds of a walk leave checkpoints behind; they go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Pages and documents are long strings: bound Arrow batches by rows too.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }

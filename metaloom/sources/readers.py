@@ -85,7 +85,12 @@ def read_documents(spark: SparkSession, folder: str, pattern: str = "*.jsonld")
 
 def land_documents(documents: DataFrame, folder: str) -> None:
     """Small files once into columnar files by site: the bronze table that all checks read."""
-    documents.write.mode("overwrite").partitionBy("site").parquet(folder)
+    (
+        documents.hint("rebalance", "site")
+        .write.mode("overwrite")
+        .partitionBy("site")
+        .parquet(folder)
+    )
 
 
 _XML_FIELDS = ["loc", "lastmod", "changefreq", "priority"]

@@ -39,8 +39,16 @@ def latest_outputs(docs: DataFrame, order: str) -> DataFrame:
     )
 
 
+def by_folder(rows: DataFrame, *columns: str) -> DataFrame:
+    """Bring the rows of an output folder together, so that a folder gets few files.
+
+    Adaptive execution cuts a folder that holds very many rows and joins small ones.
+    """
+    return rows.hint("rebalance", *columns)
+
+
 def write_output_table(docs: DataFrame, folder: str) -> None:
-    docs.write.mode("overwrite").partitionBy("folder").parquet(folder)
+    by_folder(docs, "folder").write.mode("overwrite").partitionBy("folder").parquet(folder)
 
 
 def publish_files(docs: DataFrame, root: str) -> DataFrame:
@@ -122,9 +130,12 @@ def quad_line(s: str = "s", p: str = "p", o: str = "o", g: str = "g") -> Column:
 def write_release(quads: DataFrame, folder: str) -> None:
     """A release per source: the source is taken from the graph id."""
     (
-        quads.select(
-            F.coalesce(terms.graph_source(F.col("g")), F.lit("unknown")).alias("source"),
-            quad_line().alias("line"),
+        by_folder(
+            quads.select(
+                F.coalesce(terms.graph_source(F.col("g")), F.lit("unknown")).alias("source"),
+                quad_line().alias("line"),
+            ),
+            "source",
         )
         .write.mode("overwrite")
         .partitionBy("source")
@@ -133,4 +144,4 @@ def write_release(quads: DataFrame, folder: str) -> None:
 
 
 def write_report(rows: DataFrame, folder: str, *partition_by: str) -> None:
-    rows.write.mode("overwrite").partitionBy(*partition_by).json(folder)
+    by_folder(rows, *partition_by).write.mode("overwrite").partitionBy(*partition_by).json(folder)

@@ -103,6 +103,13 @@ def test_walk_is_the_queue_walk(spark, monkeypatch, seed):
     assert {r.url: r.depth for r in short} == queue_order(edges, 0, 2)[1]
 
 
+def test_walk_from_nowhere(spark):
+    edges = spark.createDataFrame([(1, 2)], "src int, dst int")
+    assert crawl.crawl(edges, spark.createDataFrame([], "url int")).count() == 0
+    assert crawl.crawl(edges, spark.range(3).select(F.col("id").cast("int").alias("url")).filter("false")).count() == 0
+    assert crawl.crawl(edges.filter("false"), spark.createDataFrame([(1,)], "url int")).count() == 1
+
+
 def test_walk_stays_in_its_domains(spark):
     edges = spark.createDataFrame([("https://a.org/", "https://a.org/1"), ("https://a.org/", "https://b.org/"), ("https://b.org/", "https://a.org/2")], "src string, dst string")
     start = spark.createDataFrame([("https://a.org/",), ("https://a.org/",)], "url string")
