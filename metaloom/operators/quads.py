@@ -266,11 +266,12 @@ def _sums(*parts: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("_n"), F.sum(one).alias("_a"), F.sum(two).alias("_b")]
 
 
-def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",), rounds: int = 16) -> DataFrame:
+def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",), cycle_rounds: int = 4) -> DataFrame:
     """keys, node, hash for every unnamed subject: equal for nodes with equal properties all the way down.
 
     `keys` name the graph a node belongs to. Each round folds the hashes of unnamed children into their parents,
-    until every node rests on settled ones; unnamed nodes on a cycle are told apart down to `rounds` steps.
+    until every node rests on settled ones. Unnamed nodes on a cycle never settle; they are told apart by what is
+    within `cycle_rounds` further steps.
     Properties are summed as hashes, never collected, so a node with very many properties stays a partial
     aggregate.
     """
@@ -296,7 +297,9 @@ def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",), rounds: int =
         return base.select(*at, "hash")
     links = cut_lineage(own.filter("_inner").select(*at, "p", F.col("value").alias("inner")))
     current = base
-    for _ in range(rounds):
+    stalled = 0
+    while seen["unsettled"] and stalled <= cycle_rounds:
+        before = seen["unsettled"]
         inner = current.select(
             *keys,
             F.col("node").alias("inner"),
@@ -322,14 +325,13 @@ def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",), rounds: int =
             ),
             unsettled=unsettled,
         )
-        if not seen["unsettled"]:
-            break
+        stalled = stalled + 1 if seen["unsettled"] == before else 0
     return current.select(*at, "hash")
 
 
-def canonical(quads: DataFrame, keys: tuple[str, ...] = ("g",), rounds: int = 16) -> DataFrame:
+def canonical(quads: DataFrame, keys: tuple[str, ...] = ("g",), cycle_rounds: int = 4) -> DataFrame:
     """Quads with every unnamed node replaced by `_:` and its hash."""
-    hashes = node_hashes(quads, keys, rounds)
+    hashes = node_hashes(quads, keys, cycle_rounds)
     as_subject = hashes.select(*keys, F.col("node").alias("_from"), F.col("hash").alias("_s"))
     as_object = hashes.select(*keys, F.col("node").alias("_to"), F.col("hash").alias("_o"))
     outer = is_anonymous(F.col("s"))
@@ -362,7 +364,7 @@ def canonical(quads: DataFrame, keys: tuple[str, ...] = ("g",), rounds: int = 16
     return named.unionByName(replaced)
 
 
-def compare_releases(left: DataFrame, right: DataFrame, rounds: int = 16) -> DataFrame:
+def compare_releases(left: DataFrame, right: DataFrame, cycle_rounds: int = 4) -> DataFrame:
     """Quads that one release has more often than the other: s, p, o, g, side, n.
 
     Both releases go through one canonical form, told apart by a sign, and meet in one signed count, so equal
@@ -374,7 +376,7 @@ def compare_releases(left: DataFrame, right: DataFrame, rounds: int = 16) -> Dat
         .unionByName(right.select(*columns, F.lit(-1).alias("_sign")))
     )
     return (
-        canonical(both, ("_sign", "g"), rounds)
+        canonical(both, ("_sign", "g"), cycle_rounds)
         .groupBy("s", "p", "o", "g")
         .agg(F.sum("_sign").alias("_d"))
         .filter(F.col("_d") != 0)

@@ -164,6 +164,9 @@ SELECT '<https://ex.org/s/' || CAST(c_custkey AS VARCHAR(20)) || '> <https://sch
     WHEN 2 THEN '"' || c_mktsegment || ' \\"quoted\\" \\u00e9"@en'
     ELSE '<https://ex.org/genid/' || CAST(c_custkey AS VARCHAR(20)) || '>' END
   || ' <urn:ex:org:s' || CAST(c_nationkey AS VARCHAR(20)) || ':data:0a> .' FROM @customer@
+UNION ALL
+SELECT '<https://ex.org/genid/' || CAST(c_custkey AS VARCHAR(20)) || '> <https://schema.org/contentUrl> "https://ex.org/f/' || CAST(c_custkey AS VARCHAR(20))
+  || '" <urn:ex:org:s' || CAST(c_nationkey AS VARCHAR(20)) || ':data:0a> .' FROM @customer@
 """
 
 
@@ -192,6 +195,16 @@ COPIES = """
 SELECT doc_id, source AS site, text AS raw FROM @documents@
 """
 
+FILES = f"""
+SELECT doc_id, raw, '/data/' || site || '/' || CASE doc_id % 9 WHEN 0 THEN sha1(raw || 'x') WHEN 1 THEN 'named' ELSE sha1(raw) END || '.jsonld' AS path
+FROM ({DOCS}) AS docs
+"""
+
+BROWSED = """
+SELECT page_id, 'https://view.example.org/browser' || CASE page_id % 3 WHEN 0 THEN '' ELSE '/' END || '#/external/' || regexp_replace(url, '^https?://', '') AS url
+FROM @pages@
+"""
+
 RASTERS = """
 SELECT p_partkey AS tile_id, p_brand AS collection, 100 AS width, 50 AS height, CAST(0.25 AS DOUBLE) AS res_x, CAST(-0.5 AS DOUBLE) AS res_y,
   -180 + 10 * (p_partkey % 36) AS origin_x, 90 - 5 * (p_size % 36) AS origin_y
@@ -214,6 +227,8 @@ FIXTURES = {
     "release_left": RELEASE_LEFT,
     "release_right": RELEASE_RIGHT,
     "copies": COPIES,
+    "files": FILES,
+    "browsed": BROWSED,
     "rasters": RASTERS,
 }
 

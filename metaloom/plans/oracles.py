@@ -254,6 +254,11 @@ REPLIES = {
     "metadata_merge": f"""
         SELECT m.doc_id, m.j, m.name, coalesce(r.grp, '') AS grp, {_preferred('publisher', 'r.publisher')}, {_preferred('description', 'r.description')}
         FROM ({_DETECTED}) AS m LEFT JOIN {_REGISTRY} AS r ON m.doc_id = r.row_id""",
+    "generation_prompts": f"""
+        SELECT m.doc_id, m.j, m.name || '|' || coalesce(r.grp, '') || '|' || CASE WHEN json_exists(d, '$.publisher') THEN json_extract_string(d, '$.publisher') ELSE coalesce(r.publisher, '') END AS head,
+          s.page_id IS NOT NULL AS has_facts
+        FROM ({_DETECTED}) AS m LEFT JOIN {_REGISTRY} AS r ON m.doc_id = r.row_id
+        LEFT JOIN {_SOURCE} AS s ON m.url = 'https://ex.org/p/' || s.page_id""",
     "prompt_sizes": f"""
         SELECT doc_id, length(text) AS n_text, {_PROMPT} AS n, {_PROMPT} > 10000 AS large FROM documents""",
 }
@@ -392,6 +397,13 @@ CATALOGUES = {
         WITH RECURSIVE e AS (SELECT DISTINCT parent_id, url FROM {_PARTS} WHERE url IS NOT NULL),
         w AS (SELECT min(parent_id) AS url, CAST(0 AS BIGINT) AS depth FROM e UNION SELECT e.url, w.depth + 1 FROM w JOIN e ON e.parent_id = w.url WHERE w.depth < 64)
         SELECT url, min(depth) AS depth, url NOT IN (SELECT parent_id FROM e) AS leaf FROM w GROUP BY url""",
+    "catalog_edges": f"""
+        SELECT relation, count(*) AS n, count(DISTINCT parent_id) AS n_parents FROM (
+          SELECT 'hasPart' AS relation, cat_id AS parent_id FROM {_PARTS} WHERE url IS NOT NULL
+          UNION ALL SELECT 'dataset', unnest([o_orderkey, o_orderkey]) FROM orders
+          UNION ALL SELECT 'isPartOf', CAST(regexp_extract(coalesce(json_extract_string(j, '$.isPartOf."@id"'), json_extract_string(j, '$.isPartOf')), '([0-9]+)$', 1) AS BIGINT)
+            FROM {_D} WHERE json_exists(j, '$.isPartOf')) GROUP BY relation""",
+    "catalog_sources": "SELECT page_id, 'https://' || regexp_replace(url, '^https?://', '') AS url FROM pages",
     "doi_urls": f"""
         SELECT doc_id, CAST(unnest(range(len(u))) AS BIGINT) AS pos, unnest(u) AS url
         FROM (SELECT doc_id, regexp_extract_all(text, 'https://doi.org/\\S+') AS u FROM {fixture_sql('doi_texts')})""",
@@ -410,6 +422,7 @@ SELECT url, min(depth) AS depth FROM w GROUP BY url"""
 
 
 WALKS = {
+    "new_links": f"SELECT DISTINCT dst AS url FROM {_EDGES} WHERE dst NOT IN (SELECT s_suppkey FROM supplier)",
     "crawl_levels": _walk(64),
     "crawl_bounded": _walk(3),
     "crawl_order": f"""
@@ -487,6 +500,12 @@ QUADS = {
         JOIN {_TERMS} AS n ON n.g = t.g AND n.s = t.s AND n.p = 'https://schema.org/name'
         JOIN {_TERMS} AS v ON v.g = t.g AND v.s = t.s AND v.p = 'https://schema.org/value'
         WHERE t.p = '{_TYPE}' AND t.value = 'https://schema.org/Organization'""",
+    "quad_types": f"SELECT value AS type, count(*) AS n FROM {_TERMS} WHERE p = '{_TYPE}' GROUP BY value",
+    "quad_follow": f"""
+        SELECT DISTINCT t.g, t.s, v.value AS middle, c.value AS value FROM {_TERMS} AS t
+        JOIN {_TERMS} AS v ON v.g = t.g AND v.s = t.s AND v.p = 'https://schema.org/value'
+        JOIN {_TERMS} AS c ON c.g = t.g AND c.s = v.value AND c.p = 'https://schema.org/contentUrl'
+        WHERE t.p = '{_TYPE}' AND t.value = 'https://schema.org/Organization'""",
     "quad_entity_values": f"""
         SELECT DISTINCT q.g, q.s, q.p, q.value FROM {_TERMS} AS q JOIN {_TERMS} AS t ON t.g = q.g AND t.s = q.s
         WHERE t.p = '{_TYPE}' AND t.value = 'https://schema.org/Person' AND q.p IN ('https://schema.org/name', 'https://schema.org/value')""",
@@ -501,6 +520,9 @@ QUADS = {
 REST = {
     "duplicate_docs": f"""
         SELECT sha1(raw) AS sha, count(*) AS n, count(DISTINCT site) AS n_sources FROM {fixture_sql('copies')} GROUP BY raw HAVING count(*) > 1""",
+    "doc_integrity": f"""
+        SELECT doc_id, regexp_extract(path, '([0-9a-f]{{40}})', 1) AS stem, regexp_extract(path, '([0-9a-f]{{40}})', 1) = sha1(raw) AS intact
+        FROM {fixture_sql('files')} WHERE regexp_matches(path, '[0-9a-f]{{40}}')""",
     "tile_extent": f"""
         SELECT collection, CAST(min(origin_x) AS DOUBLE) AS west, min(origin_y - height * abs(res_y)) AS south,
           max(origin_x + width * abs(res_x)) AS east, CAST(max(origin_y) AS DOUBLE) AS north FROM {fixture_sql('rasters')} GROUP BY collection""",

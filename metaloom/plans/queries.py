@@ -329,6 +329,30 @@ def prompt_sizes(spark, sf):
     )
 
 
+@query
+def generation_prompts(spark, sf):
+    """Prompts of the second step over merged metadata, with the page facts of each dataset."""
+    merged = responses.merge_metadata(
+        _detected(spark, sf), fixture(spark, sf, "registry"), "doc_id", "row_id"
+    )
+    source = fixture(spark, sf, "source_pages").withColumn(
+        "url", F.regexp_replace("base_url", "/index.html$", "")
+    )
+    facts = pages.facts_json(pages.with_facts(source, "url"), "url")
+    requests = responses.generation_requests(
+        responses.with_source_facts(merged, facts),
+        "{DATASET_NAME}|{GROUP}|{PUBLISHER}|{EXTRACTED_METADATA}{EXAMPLE_JSONLD}",
+        "doc_id",
+        F.lit(""),
+    )
+    return requests.select(
+        "doc_id",
+        _long("j"),
+        F.regexp_extract("prompt", r"^([^|]*\|[^|]*\|[^|]*)\|", 1).alias("head"),
+        F.contains("prompt", F.lit('"source_facts":{{"download_links"')).alias("has_facts"),
+    )
+
+
 # ---- validation and audit --------------------------------------------------------------------------
 
 
@@ -495,6 +519,21 @@ def doi_urls(spark, sf):
     return found.select("doc_id", _long("pos"), "url")
 
 
+@query
+def catalog_edges(spark, sf):
+    edges = catalog.catalogue_edges(_catalogues(spark, sf).unionByName(_docs(spark, sf), True))
+    return edges.groupBy("relation").agg(
+        F.count("*").alias("n"), F.count_distinct("parent_id").alias("n_parents")
+    )
+
+
+@query
+def catalog_sources(spark, sf):
+    return fixture(spark, sf, "browsed").select(
+        "page_id", urls.catalogue_source_url(F.col("url")).alias("url")
+    )
+
+
 # ---- walks -----------------------------------------------------------------------------------------
 
 
@@ -502,6 +541,13 @@ def _seeds(edges: DataFrame) -> DataFrame:
     return edges.agg(F.min("src").alias("url"))
 
 
+@query
+def new_links(spark, sf):
+    links = fixture(spark, sf, "edges").select(F.col("dst").alias("url"))
+    visited = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("url"))
+    return crawl.new_links(links, visited)
+
+
 @query
 def crawl_levels(spark, sf):
     edges = fixture(spark, sf, "edges").select("src", "dst")
@@ -572,6 +618,19 @@ def quad_entity_values(spark, sf):
     )
 
 
+@query
+def quad_types(spark, sf):
+    return quads.type_profile(_quads(spark, sf))
+
+
+@query
+def quad_follow(spark, sf):
+    steps = quads.follow(
+        _quads(spark, sf), SCHEMA + "Organization", SCHEMA + "value", SCHEMA + "contentUrl"
+    )
+    return steps.select("g", "s", "middle", "value")
+
+
 def _release(spark: SparkSession, sf: str, side: str) -> DataFrame:
     rows = fixture(spark, sf, f"release_{side}")
     none = F.lit(None).cast("string")
@@ -608,6 +667,11 @@ def duplicate_docs(spark, sf):
     return documents.duplicates(fixture(spark, sf, "copies"))
 
 
+@query
+def doc_integrity(spark, sf):
+    return documents.integrity(fixture(spark, sf, "files")).select("doc_id", "stem", "intact")
+
+
 @query
 def tile_extent(spark, sf):
     return geo.collection_extent(fixture(spark, sf, "rasters"))
