@@ -22,6 +22,9 @@ VOID_ELEMENTS = frozenset(
 SILENT_ELEMENTS = frozenset(["script", "style", "template", "rt", "rp"])
 
 
+# Pages held as Python objects at a time.
+PAGES_AT_ONCE = 256
+
 # Tags in plain form, which the reader takes without the parser's tolerant rules.
 _PLAIN_START = re.compile(r'<([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z][-a-zA-Z0-9_:]*="[^"<>]*")*)\s*>')
 _PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)>")
@@ -168,11 +171,13 @@ def with_page_parts(
     kept, html_name = list(keep), html
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [read_page(page) for page in batch.column(html_name).to_pylist()]
-            columns = [batch.column(name) for name in kept]
-            columns += [pa.array([row[p] for row in found], type=types[p]) for p in types]
-            yield pa.RecordBatch.from_arrays(columns, names=kept + list(types))
+        for whole in batches:
+            for start in range(0, whole.num_rows, PAGES_AT_ONCE):
+                batch = whole.slice(start, PAGES_AT_ONCE)
+                found = [read_page(page) for page in batch.column(html_name).to_pylist()]
+                columns = [batch.column(name) for name in kept]
+                columns += [pa.array([row[p] for row in found], type=types[p]) for p in types]
+                yield pa.RecordBatch.from_arrays(columns, names=kept + list(types))
 
     return source.mapInArrow(read, schema)
 

@@ -39,7 +39,8 @@ def _split_list(text: Column) -> Column:
 def keywords_list(doc: Column) -> Column:
     """Keywords as an array: lists lose empty items, strings are cut; NULL where there is no list.
 
-    A blank-only item of a list stays as an empty keyword; a blank string is no list.
+    A blank-only item of a list stays as an empty keyword; a blank string is no list. Items that are no text print
+    as JSON here.
     """
     node = child(doc, "$.keywords")
     items = F.transform(

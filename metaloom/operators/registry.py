@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from metaloom.functions.geo import box_from_columns
 from metaloom.functions.text import file_name, folder_name
+from metaloom.functions.variants import strip
 from metaloom.operators.ordering import first_rows, with_sequence
 
 # Flags of a site without metadata.
@@ -15,7 +16,7 @@ MISSING_FLAGS = ["FALSE", "#ERROR!", ""]
 def needs_metadata(flag: Column, url: Column) -> Column:
     """The flag is compared as given, only upper-cased; the URL must hold more than blanks."""
     return F.upper(F.coalesce(flag, F.lit(""))).isin(MISSING_FLAGS) & (
-        F.trim(F.coalesce(url, F.lit(""))) != ""
+        strip(F.coalesce(url, F.lit(""))) != ""
     )
 
 
@@ -41,7 +42,7 @@ def with_folder(rows: DataFrame) -> DataFrame:
 
 def with_output_names(rows: DataFrame) -> DataFrame:
     return with_folder(rows).withColumn(
-        "filename", file_name(F.col("name"), F.trim(F.coalesce("webpage_url", F.lit(""))))
+        "filename", file_name(F.col("name"), strip(F.coalesce("webpage_url", F.lit(""))))
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -29,12 +30,13 @@ def name_outputs(docs: DataFrame, site: str, name: str, url: str) -> DataFrame:
 def latest_outputs(docs: DataFrame, order: str) -> DataFrame:
     """One document per (folder, filename): the last one in `order`, as a later save overwrites.
 
-    The order value is compared in a partial aggregate, so copies of one name meet as single rows.
+    A partial aggregate keeps one row per name and task, so copies of one name meet as single rows. Documents of
+    one place in the order are told apart by their content, so the choice is the same on every run.
     """
-    kept = [c for c in docs.columns if c not in ("folder", "filename")]
+    kept = [c for c in docs.columns if c not in ("folder", "filename", order)]
     return (
         docs.groupBy("folder", "filename")
-        .agg(F.max_by(F.struct(*kept), F.col(order)).alias("_row"))
+        .agg(F.max(F.struct(order, *kept)).alias("_row"))
         .select("folder", "filename", "_row.*")
     )
 
@@ -65,7 +67,7 @@ def publish_files(docs: DataFrame, root: str) -> DataFrame:
             for folder, name, raw in zip(batch["folder"], batch["filename"], batch["raw"]):
                 os.makedirs(os.path.join(target, folder), exist_ok=True)
                 final = os.path.join(target, folder, name)
-                part = f"{final}.part-{os.getpid()}"
+                part = f"{final}.part-{uuid.uuid4().hex}"
                 data = raw.encode("utf-8")
                 with open(part, "wb") as out:
                     out.write(data)

@@ -132,6 +132,7 @@ def test_messages_in_order(spark):
         ([1], False, ["missing '@context'", "missing '@type'", "missing 'name'"]),
         ({**GOOD, "@type": "WebPage"}, True, ["@type is 'WebPage', expected 'Dataset'"]),
         ({**GOOD, "@type": ""}, True, []),
+        ({**GOOD, "@type": "0"}, True, ["@type is '0', expected 'Dataset'"]),
         ({**GOOD, "@type": ["Dataset", "X"]}, True, ["@type is '['Dataset', 'X']', expected 'Dataset'"]),
         (
             {
@@ -158,8 +159,8 @@ def test_messages_in_order(spark):
     rows = checked.select("ok", "messages").collect()
     assert [(r.ok, r.messages) for r in rows] == [c[1:] for c in cases]
     total = validation.verdict(checked).head()
-    assert (total.n, total.n_failed, total.n_warned, total.all_ok) == (9, 4, 3, False)
-    assert [r.doc_id for r in validation.failed_documents(checked, "doc_id").collect()] == [1, 2, 3, 7]
+    assert (total.n, total.n_failed, total.n_warned, total.all_ok) == (10, 4, 4, False)
+    assert [r.doc_id for r in validation.failed_documents(checked, "doc_id").collect()] == [1, 2, 3, 8]
     summary = validation.document_summary(checked, "doc_id").filter("doc_id = 0").head()
     assert (summary.type, summary["name"], summary.box, summary.n_distribution) == ("Dataset", "n", None, None)
 
