@@ -27,6 +27,14 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, F.inline(F.array(row)))
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """A join side that must not be broadcast on an estimate.
+
+    Its rows are drawn from texts or from earlier rounds, so the size of the files below says little about them.
+    """
+    return side.hint("merge")
+
+
 def first_per_key(items: Column, key: Callable[[Column], Column], order: list[str]) -> Column:
     """The first item of each key, in order; `order` names the fields that give an item its place.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from metaloom.functions.bind import once
+from metaloom.functions.bind import once, shuffled
 from metaloom.functions.normalise import ORIGIN_COMMENT, SHORT_ORIGIN_COMMENT
 from metaloom.functions.variants import (
     any_text,
@@ -141,7 +141,7 @@ def with_sets(features: DataFrame, sets: DataFrame, key: str, set_key: str) -> D
     pages = sets.select(
         F.col(set_key).alias("_page"), F.col("codes").alias("_codes"), F.col("hrefs").alias("_hrefs")
     )
-    joined = features.join(pages, F.col(key) == F.col("_page"), "left")
+    joined = features.join(shuffled(pages), F.col(key) == F.col("_page"), "left")
     return once(
         joined,
         lacking=F.array_sort(F.array_except(F.coalesce("_codes", empty), F.col("doc_codes"))),
@@ -278,7 +278,9 @@ def check_plan(featured: DataFrame, citation_counts: DataFrame, key: str = "doc_
     `citation_counts` has the key and `n_citations`, the citations shown by the source page.
     """
     shown = citation_counts.select(F.col(key).alias("_page"), F.col("n_citations").alias("_shown"))
-    joined = featured.filter("is_object").join(shown, F.col(key) == F.col("_page"), "left")
+    joined = featured.filter("is_object").join(
+        shuffled(shown), F.col(key) == F.col("_page"), "left"
+    )
     rules = {
         "variables": F.size("lacking") == 0,
         "citations": F.col("n_citations") >= F.coalesce("_shown", F.lit(0)),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from metaloom.functions.bind import shuffled
 from metaloom.functions.text import sitemap_time
 from metaloom.functions.variants import any_text, array_at, as_array, child, kind
 
@@ -89,7 +90,7 @@ def dangling(edges: DataFrame, known: DataFrame, known_id: str = "id") -> DataFr
     The known ids are made distinct before they travel; a much-cited id is split by the skew join.
     """
     ids = known.select(F.col(known_id).alias("_known")).filter(F.col("_known").isNotNull()).distinct()
-    return edges.join(ids, F.col("child_id") == F.col("_known"), "left_anti")
+    return edges.join(shuffled(ids), F.col("child_id") == F.col("_known"), "left_anti")
 
 
 def with_target(edges: DataFrame, documents: DataFrame, doc_id: str, *fields: str) -> DataFrame:
@@ -98,7 +99,7 @@ def with_target(edges: DataFrame, documents: DataFrame, doc_id: str, *fields: st
         documents.groupBy(F.col(doc_id).alias("_target"))
         .agg(*[F.min(f).alias(f) for f in fields])
     )
-    return edges.join(targets, F.col("child_id") == F.col("_target"), "left").drop("_target")
+    return edges.join(shuffled(targets), F.col("child_id") == F.col("_target"), "left").drop("_target")
 
 
 def parent_links(docs: DataFrame) -> DataFrame:
@@ -108,7 +109,7 @@ def parent_links(docs: DataFrame) -> DataFrame:
     children = docs.select(
         document_id(v).alias("child_id"), F.explode(as_array(v, "$.isPartOf")).alias("_node")
     ).select("child_id", _reference(F.col("_node"), "@id", "url").alias("parent_id"))
-    return children.join(ids, F.col("parent_id") == F.col("_parent"), "left").select(
+    return children.join(shuffled(ids), F.col("parent_id") == F.col("_parent"), "left").select(
         "child_id", "parent_id", F.col("_parent").isNotNull().alias("present")
     )
 

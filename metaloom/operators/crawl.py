@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from metaloom.functions import urls
+from metaloom.functions.bind import shuffled
 from metaloom.session import cut_and_measure, cut_lineage
 
-# A frontier below this size travels to the edges; a larger one is joined by a shuffle.
-FRONTIER_BROADCAST_BYTES = 8 * 1024 * 1024
+# A frontier, or a visited set, below this measured size is broadcast; a larger one is joined by a shuffle.
+BROADCAST_BYTES = 8 * 1024 * 1024
 # Levels that may stay separate before the visited set is written as one.
 LEVELS_PER_CUT = 8
 # Fixed value: redirects followed before giving up.
@@ -42,6 +43,11 @@ def crawl(
     return _walk(cut_lineage(links), seeds, max_depth)
 
 
+def _placed(side: DataFrame, size: int) -> DataFrame:
+    """A join side of measured size: broadcast while small, shuffled beyond."""
+    return F.broadcast(side) if size <= BROADCAST_BYTES else shuffled(side)
+
+
 def _walk(links: DataFrame, seeds: DataFrame, max_depth: int | None) -> DataFrame:
     keep = ["path"] if "pos" in links.columns else []
     weight = F.length(F.col("url").cast("string")) + 64
@@ -53,26 +59,26 @@ def _walk(links: DataFrame, seeds: DataFrame, max_depth: int | None) -> DataFram
     if keep:
         start = start.withColumn("path", F.array(F.lit(0)))
     frontier, found = cut_and_measure(start, **metrics)
-    visited = frontier
+    visited, total = frontier, found["size"]
     depth = 0
     while found["n"] and (max_depth is None or depth < max_depth):
         depth += 1
         near = frontier.select(F.col("url").alias("src"), *keep)
-        if found["size"] <= FRONTIER_BROADCAST_BYTES:
-            near = F.broadcast(near)
-        onward = links.join(near, "src").withColumnRenamed("dst", "url")
+        onward = links.join(_placed(near, found["size"]), "src").withColumnRenamed("dst", "url")
         if keep:
             reached = onward.groupBy("url").agg(
                 F.min(F.array_append("path", F.col("pos"))).alias("path")
             )
         else:
             reached = onward.select("url").distinct()
-        fresh = reached.join(visited.select("url"), "url", "left_anti")
+        seen = _placed(visited.select("url"), total)
+        fresh = reached.join(seen, "url", "left_anti")
         frontier, found = cut_and_measure(
             fresh.select("url", F.lit(depth).alias("depth"), *keep), **metrics
         )
         if found["n"]:
             visited = visited.unionByName(frontier)
+            total += found["size"]
         if depth % LEVELS_PER_CUT == 0:
             visited = cut_lineage(visited)
     return visited
@@ -93,7 +99,7 @@ def catalogue_walk(edges: DataFrame, roots: DataFrame, max_depth: int | None = N
     )
     walked = _walk(pairs, roots, max_depth)
     inner = pairs.select(F.col("src").alias("_src")).distinct()
-    return walked.join(inner, F.col("url") == F.col("_src"), "left").select(
+    return walked.join(shuffled(inner), F.col("url") == F.col("_src"), "left").select(
         "url", "depth", F.col("_src").isNull().alias("leaf")
     )
 
@@ -130,7 +136,7 @@ def final_targets(redirects: DataFrame, max_hops: int = LONGEST_REDIRECT_CHAIN)
             F.col("done").alias("_done"),
         )
         open_chains = state.filter(~F.col("done"))
-        moved = open_chains.join(after, F.col("final_id") == F.col("_from"), "left").select(
+        moved = open_chains.join(shuffled(after), F.col("final_id") == F.col("_from"), "left").select(
             "from_id",
             F.coalesce("_final", "final_id").alias("final_id"),
             (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops"),
@@ -141,7 +147,7 @@ def final_targets(redirects: DataFrame, max_hops: int = LONGEST_REDIRECT_CHAIN)
         reach *= 2
     # A chain whose end was not yet looked up is closed if that end redirects nowhere.
     sources = hops.select(F.col("from_id").alias("_from"))
-    closed = state.join(sources, F.col("final_id") == F.col("_from"), "left_anti")
+    closed = state.join(shuffled(sources), F.col("final_id") == F.col("_from"), "left_anti")
     return closed.filter(F.col("seen") & (F.col("hops") <= max_hops)).select(
         "from_id", "final_id", "hops"
     )

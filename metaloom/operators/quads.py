@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from metaloom.functions import terms
+from metaloom.functions.bind import shuffled
 from metaloom.session import cut_and_measure, cut_lineage
 from metaloom.shipping import ship_by_value
 
@@ -307,7 +308,7 @@ def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",), cycle_rounds:
             F.col("settled").alias("_settled"),
         )
         folded = (
-            links.join(inner, [*keys, "inner"], "left")
+            links.join(shuffled(inner), [*keys, "inner"], "left")
             .groupBy(*at)
             .agg(
                 *_sums(F.col("p"), F.coalesce("_hash", F.lit("(none)"))),
@@ -317,7 +318,7 @@ def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",), cycle_rounds:
         )
         current, seen = cut_and_measure(
             base.select(*at, "base")
-            .join(folded, at, "left")
+            .join(shuffled(folded), at, "left")
             .select(
                 *at,
                 F.sha1(F.concat_ws("/", "base", F.coalesce("_folded", F.lit("")))).alias("hash"),
@@ -348,8 +349,8 @@ def canonical(quads: DataFrame, keys: tuple[str, ...] = ("g",), cycle_rounds: in
         F.when(inner, F.col("value")).otherwise(apart).alias("_to"),
     )
     replaced = (
-        touched.join(as_subject, [*keys, "_from"], "left")
-        .join(as_object, [*keys, "_to"], "left")
+        touched.join(shuffled(as_subject), [*keys, "_from"], "left")
+        .join(shuffled(as_object), [*keys, "_to"], "left")
         .select(
             F.when(F.col("_outer"), F.concat(F.lit("_:"), F.coalesce("_s", F.lit("none"))))
             .otherwise(F.col("s"))

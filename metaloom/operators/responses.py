@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from metaloom.functions.bind import once
+from metaloom.functions.bind import once, shuffled
 from metaloom.functions.geo import box_from_columns
 from metaloom.functions.prompts import detection_prompt, generation_prompt
 from metaloom.functions.text import with_reply_json
@@ -139,7 +139,7 @@ def with_source_facts(merged: DataFrame, facts: DataFrame, url: str = "url") ->
     `facts` has `url` (unique) and `facts`, the JSON of `pages.facts_json`.
     """
     known = facts.select(F.col("url").alias("_url"), F.col("facts").alias("source_facts"))
-    return merged.join(known, F.col(url) == F.col("_url"), "left").drop("_url")
+    return merged.join(shuffled(known), F.col(url) == F.col("_url"), "left").drop("_url")
 
 
 def detection_requests(sites: DataFrame, template: str, text: str = "text") -> DataFrame:

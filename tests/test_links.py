@@ -95,7 +95,7 @@ def test_walk_is_the_queue_walk(spark, monkeypatch, seed):
     start = spark.createDataFrame([(0,)], "url int")
     monkeypatch.setattr(crawl, "LEVELS_PER_CUT", 2)
     if seed == 2:
-        monkeypatch.setattr(crawl, "FRONTIER_BROADCAST_BYTES", 0)  # the way beyond the size limit
+        monkeypatch.setattr(crawl, "BROADCAST_BYTES", 0)  # the way beyond the size limit
     order, depth = queue_order(edges, 0)
     walked = crawl.visit_order(crawl.crawl(df, start)).collect()
     assert [r.url for r in walked] == order and {r.url: r.depth for r in walked} == depth
