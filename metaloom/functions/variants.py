@@ -40,8 +40,15 @@ def child(value: Column, path: str) -> Column:
 
 
 def kind(value: Column) -> Column:
-    """OBJECT, ARRAY, STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN or VOID; NULL for a missing node."""
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    """OBJECT, ARRAY, STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN or VOID; NULL for a missing node.
+
+    Only scalars are asked for their schema: that of an object or array would be worked out to the last leaf.
+    """
+    return (
+        F.when(F.try_variant_get(value, "$", "map<string,variant>").isNotNull(), F.lit("OBJECT"))
+        .when(F.try_variant_get(value, "$", "array<variant>").isNotNull(), F.lit("ARRAY"))
+        .otherwise(F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0))
+    )
 
 
 def has_key(value: Column, path: str) -> Column:
@@ -62,19 +69,14 @@ def any_text(value: Column) -> Column:
 
 def array_at(value: Column, path: str) -> Column:
     """The array at `path` as ARRAY<VARIANT>; NULL where the node is missing or no array."""
-    return F.when(
-        kind(child(value, path)) == "ARRAY", F.try_variant_get(value, path, "array<variant>")
-    )
+    return F.try_variant_get(value, path, "array<variant>")
 
 
 def as_array(value: Column, path: str) -> Column:
     """The node at `path` as an array: an array as it is, one value wrapped, empty where missing."""
     node = child(value, path)
-    return (
-        F.when(node.isNull() | F.is_variant_null(node), F.array().cast("array<variant>"))
-        .when(kind(node) == "ARRAY", F.try_variant_get(value, path, "array<variant>"))
-        .otherwise(F.array(node))
-    )
+    single = F.when(node.isNotNull() & ~F.is_variant_null(node), F.array(node))
+    return F.coalesce(array_at(value, path), single, F.array().cast("array<variant>"))
 
 
 def is_truthy(value: Column) -> Column:

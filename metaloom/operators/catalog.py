@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from metaloom.functions.bind import shuffled
+from metaloom.functions.bind import once, shuffled
 from metaloom.functions.text import sitemap_time
 from metaloom.functions.variants import any_text, array_at, as_array, child, kind
 
@@ -29,7 +29,10 @@ def part_urls(docs: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def catalogue_edges(docs: DataFrame) -> DataFrame:
+RELATIONS = ("hasPart", "dataset", "isPartOf")
+
+
+def catalogue_edges(docs: DataFrame, relations: tuple[str, ...] = RELATIONS) -> DataFrame:
     """Edges parent, relation, child from `hasPart`, `dataset` and `isPartOf` of documents `v`.
 
     A document is known by its id, or by its URL where it has none. One explode over one array of links.
@@ -48,17 +51,15 @@ def catalogue_edges(docs: DataFrame) -> DataFrame:
 
         return F.transform(as_array(v, f"$.{field}"), edge)
 
+    # A part is known by its address, a dataset and a parent by their id.
+    makers = {
+        "hasPart": lambda: links("hasPart", False, "url", "@id"),
+        "dataset": lambda: links("dataset", False, "@id", "url"),
+        "isPartOf": lambda: links("isPartOf", True, "@id", "url"),
+    }
     return (
-        docs.withColumn("_own", own)
-        .select(
-            F.inline(
-                F.concat(
-                    links("hasPart", False, "url", "@id"),
-                    links("dataset", False, "@id", "url"),
-                    links("isPartOf", True, "@id", "url"),
-                )
-            )
-        )
+        once(docs, _own=own)
+        .select(F.inline(F.concat(*[makers[r]() for r in relations])))
         .filter(F.col("parent_id").isNotNull() & F.col("child_id").isNotNull())
     )
 

@@ -480,7 +480,7 @@ def catalog_parts(spark, sf):
 
 @query
 def catalog_dangling(spark, sf):
-    edges = catalog.catalogue_edges(_catalogues(spark, sf)).filter(F.col("relation") == "dataset")
+    edges = catalog.catalogue_edges(_catalogues(spark, sf), ("dataset",))
     known = _docs(spark, sf).select(catalog.document_id(F.col("v")).alias("id"))
     return catalog.dangling(edges, known).select("parent_id", "child_id")
 
@@ -503,7 +503,7 @@ def parent_links(spark, sf):
 
 @query
 def catalog_walk(spark, sf):
-    edges = catalog.catalogue_edges(_catalogues(spark, sf)).filter(F.col("relation") == "hasPart")
+    edges = catalog.catalogue_edges(_catalogues(spark, sf), ("hasPart",))
     by_url = edges.select(
         F.replace("parent_id", F.lit("/cat/"), F.lit("/c/")).alias("parent_id"), "child_id"
     )
