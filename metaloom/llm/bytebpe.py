@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from metaloom.shipping import ship_by_value
 
@@ -161,8 +161,8 @@ def _ids(path: str, pattern: str, leaf_chars: int, places: list[int], text_place
 def encoded_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", leaf_chars: int = LEAF_CHARS) -> DataFrame:
     """The rows of `docs` without their text, with `n_tokens` and `ids`."""
     places = [i for i, c in enumerate(docs.columns) if c not in (text, "n_tokens", "ids")]
-    kept = [docs.schema[i] for i in places]
-    schema = docs.select(*[f.name for f in kept]).schema.add("n_tokens", "long").add("ids", "array<int>")
+    added = T.StructType.fromDDL("n_tokens long, ids array<int>").fields
+    schema = T.StructType([docs.schema[i] for i in places] + added)
     return docs.mapInArrow(_ids(path, pattern, leaf_chars, places, docs.columns.index(text)), schema)
 
 

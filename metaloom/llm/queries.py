@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metaloom.llm import bytebpe, language, quality, rules, secrets
+from metaloom.llm import bytebpe, decontam, language, neardup, quality, rules, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,6 +39,16 @@ def op3_quality_rules(spark, sf):
     return rules.judge(_table(spark, sf, "documents"), _table(spark, sf, "labels"), ~quality.held_out())
 
 
+@query
+def op5_minhash_neardup(spark, sf):
+    return neardup.near_duplicates(_table(spark, sf, "documents"), width=2)
+
+
+@query
+def op8_decontamination(spark, sf):
+    return decontam.hits(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 @query
 def op9_secret_scan(spark, sf):
     return secrets.scan(_table(spark, sf, "documents"))
