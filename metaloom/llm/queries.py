@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metaloom.llm import bytebpe, decontam, language, neardup, quality, rules, secrets
+from metaloom.llm import bytebpe, decontam, language, licenses, neardup, quality, rules, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 RANKS = "byte_bpe_50k.tiktoken"
+#: The first id that the rank file leaves free ends a text in flat token files.
+SEPARATOR = 50256
 
 
 def query(fn: Query) -> Query:
@@ -39,11 +41,24 @@ def op3_quality_rules(spark, sf):
     return rules.judge(_table(spark, sf, "documents"), _table(spark, sf, "labels"), ~quality.held_out())
 
 
+@query
+def op4_token_counts(spark, sf):
+    path = public_tokenizers.path(RANKS)
+    return tokens.count_tokens(_table(spark, sf, "documents"), path, public_tokenizers.PATTERN, SEPARATOR)
+
+
 @query
 def op5_minhash_neardup(spark, sf):
     return neardup.near_duplicates(_table(spark, sf, "documents"), width=2)
 
 
+@query
+def op6_license_scan(spark, sf):
+    found = licenses.scan(_table(spark, sf, "documents"))
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["start"], s["end"], s["edits"]))
+    return found.withColumn("spans", F.array_join(spans, ","))
+
+
 @query
 def op8_decontamination(spark, sf):
     return decontam.hits(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
