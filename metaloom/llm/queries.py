@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metaloom.llm import bytebpe, decontam, language, licenses, neardup, quality, rules, secrets, tokens
+from metaloom.llm import bytebpe, decontam, language, lattice, licenses, neardup, quality, rules, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,6 +59,12 @@ def op6_license_scan(spark, sf):
     return found.withColumn("spans", F.array_join(spans, ","))
 
 
+@query
+def op7_lm_score(spark, sf):
+    path = public_tokenizers.path(RANKS)
+    return lattice.score(_table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
+
+
 @query
 def op8_decontamination(spark, sf):
     return decontam.hits(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
@@ -73,3 +79,29 @@ def op9_secret_scan(spark, sf):
 def op10_byte_bpe(spark, sf):
     docs = _table(spark, sf, "documents")
     return bytebpe.encode_digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+#: Windows of test items over documents, and what they hit. Only A to Z are lower-cased.
+ORACLES["op8_decontamination"] = r"""
+WITH words AS (
+  SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 'i', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark WHERE item_id IS NOT NULL
+), items AS (
+  SELECT id AS item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS at FROM words WHERE kind = 'i' AND len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[at:at + n - 1], ' ') AS t FROM items
+), places AS (
+  SELECT id AS doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS at
+  FROM words, (SELECT DISTINCT n FROM windows) WHERE kind = 'd' AND len(w) >= n
+), found AS (
+  SELECT doc_id, at, p.n AS n, item_id FROM (SELECT doc_id, at, n, array_to_string(w[at:at + n - 1], ' ') AS t FROM places) p JOIN windows v ON v.t = p.t AND v.n = p.n
+), hit AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + n)) AS pos FROM found) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
+)
+SELECT id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN hit ON hit.doc_id = id LEFT JOIN named ON named.doc_id = id WHERE kind = 'd'
+"""
