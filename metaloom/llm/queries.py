@@ -88,16 +88,16 @@ WITH words AS (
   UNION ALL
   SELECT 'i', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark WHERE item_id IS NOT NULL
 ), items AS (
-  SELECT id AS item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS at FROM words WHERE kind = 'i' AND len(w) > 0
+  SELECT id AS item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS k FROM words WHERE kind = 'i' AND len(w) > 0
 ), windows AS (
-  SELECT DISTINCT item_id, n, array_to_string(w[at:at + n - 1], ' ') AS t FROM items
+  SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS t FROM items
 ), places AS (
-  SELECT id AS doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS at
+  SELECT id AS doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS k
   FROM words, (SELECT DISTINCT n FROM windows) WHERE kind = 'd' AND len(w) >= n
 ), found AS (
-  SELECT doc_id, at, p.n AS n, item_id FROM (SELECT doc_id, at, n, array_to_string(w[at:at + n - 1], ' ') AS t FROM places) p JOIN windows v ON v.t = p.t AND v.n = p.n
+  SELECT doc_id, k, p.n AS n, item_id FROM (SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS t FROM places) p JOIN windows v ON v.t = p.t AND v.n = p.n
 ), hit AS (
-  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + n)) AS pos FROM found) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS pos FROM found) GROUP BY doc_id
 ), named AS (
   SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
 )
