@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metaloom.llm import bytebpe, decontam, neardup, quality, secrets
+from metaloom.llm import bytebpe, decontam, neardup, quality, secretscan
 from metaloom.llm.landing import land
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -30,7 +30,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets by a mark; every document stays."""
-    return secrets.redact(docs, secrets.learned(docs))
+    return secretscan.redact(docs, secretscan.learned(docs))
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,11 +4,10 @@ SuperMinHash draws one random permutation of the signature's slots per shingle,
 in [j, j + 1), so a text is finished as soon as every slot holds a value below the next step. Rows of the signature are
 hashed in bands. Texts with equal shingle sets form a class, and only class representatives go on.
 
-Each bucket of a band is compared with one of its members, its hub, never all with all. Members that are still in
-different groups afterwards are compared with further hubs, and what then remains is compared pair by pair, only across
-groups, where sizes and distances to a common hub leave a link possible (the Jaccard distance is a metric, so both tests
-are exact). Every link is confirmed on the full sets. Groups come from union-find inside partitions and min-label star
-steps between them.
+Each bucket of a band is compared with one of its members, its hub, never all with all. Where members of a star of hub
+and bucket mates are still in different groups afterwards, further pairs are compared only if exact bounds on
+the overlap leave a link possible (`_remaining`). Every link is confirmed on the full sets. Groups come from union-find
+inside partitions and min-label star steps between them.
 
 Defined results: null and empty texts, and texts without words, have an empty set, are linked with nothing, and are
 their own component; a text with fewer words than a shingle has its whole sequence as the only shingle. Rows without an
@@ -32,8 +31,8 @@ from metaloom.shipping import ship_by_value
 BANDS, ROWS = 32, 4
 SLOTS = BANDS * ROWS
 PERCENT = 80
-#: Rounds of new hubs for buckets whose members are still apart; what is left is compared across groups.
-HUB_ROUNDS = 2
+#: About so many members of a star, by hash, tell what most of it have in common. It decides only how many pairs are tried.
+SAMPLE = 64
 _STEP = np.uint64(56)
 
 
@@ -136,7 +135,7 @@ def _signed(width: int):
 
 
 def _confirmed(width: int, percent: int):
-    """(a, b, distance, linked) of pairs with both texts."""
+    """(a, b, linked) of pairs with both texts."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -161,10 +160,9 @@ def _confirmed(width: int, percent: int):
                     [
                         batch.column("a").slice(low, n),
                         batch.column("b").slice(low, n),
-                        pa.array(1 - common / np.maximum(union, 1)),
                         pa.array((100 * common >= percent * union) & (union > 0)),
                     ],
-                    ["a", "b", "distance", "linked"],
+                    ["a", "b", "linked"],
                 )
 
     return rows
@@ -230,7 +228,7 @@ class _Links:
         left = self.texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
         full = pairs.join(shuffled(right), "b").join(shuffled(left), "a")
         found = full.select("a", "b", "text_a", "text_b").mapInArrow(
-            _confirmed(self.width, self.percent), "a long, b long, distance double, linked boolean"
+            _confirmed(self.width, self.percent), "a long, b long, linked boolean"
         )
         found = land(found, "tested")
         self.tested = found if self.tested is None else land(self.tested.unionByName(found), "tested")
@@ -243,12 +241,48 @@ def _pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members (key, rep, n) with their group c, of buckets that hold several groups."""
-    known = members.select("key", "rep", "n").join(shuffled(groups.select(F.col("v").alias("rep"), "c")), "rep", "left")
-    known = land(known.withColumn("c", F.coalesce("c", "rep")), "members")
-    mixed = known.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("key")
-    return land(known.join(shuffled(land(mixed, "mixed")), "key", "left_semi"), "apart")
+def _sampled(width: int):
+    """(hub, element): the shingles of some members of a star."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            hubs = batch.column("hub").to_numpy(zero_copy_only=False)
+            for low, _, texts in slices(batch.column("text")):
+                shingle, owner = elements(texts, width, hasher)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hubs[low + owner]), pa.array(shingle.view(np.int64))], ["hub", "element"]
+                )
+
+    return rows
+
+
+def _against(width: int):
+    """Per member of a star: how many shingles of the star's usual set it lacks, and which further ones it has."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            usual = batch.column("usual")
+            for low, high, texts in slices(batch.column("text")):
+                n = high - low
+                shingle, owner = elements(texts, width, hasher)
+                own = usual.slice(low, n)
+                sizes = np.array([len(u) if u.is_valid else 0 for u in own])
+                held = own.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                known = np.isin(salted(shingle, owner), salted(held, np.repeat(np.arange(n), sizes)))
+                extra = ~known
+                counts = np.bincount(owner[extra], minlength=n)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(shingle[extra].view(np.int64))
+                )
+                lacks = sizes - np.bincount(owner[known], minlength=n)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(k).slice(low, n) for k in ("hub", "rep", "n", "c", "main")], pa.array(sizes), pa.array(lacks), lists],
+                    ["hub", "rep", "n", "c", "main", "r", "lacks", "extra"],
+                )
+
+    return rows
 
 
 def link(docs: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
@@ -276,39 +310,58 @@ def link(docs: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
     links = _Links(land(texts.select(F.col("id").alias("rep"), "text"), "texts"), width, percent)
     possible = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
     sizes = classes.select(F.col("rep").alias("hub"), F.col("n").alias("m"))
-    star = members.select("rep", "n", "hub").filter("rep <> hub").distinct()
-    links.test(star.join(shuffled(sizes), "hub").filter(possible).select(*_pair("hub", "rep")))
-    groups = links.groups()
-    for k in range(HUB_ROUNDS):
-        members = _apart(members, groups)
-        # The next hub of a bucket is drawn anew, among the members outside its largest-numbered group.
-        drawn = F.min(F.struct(F.xxhash64(F.lit(k), "c", "rep").alias("h"), "rep", "n", "c")).alias("hub")
-        other = members.groupBy("key").agg(drawn).select("key", "hub.rep", "hub.n", "hub.c")
-        other = land(other.toDF("key", "hub", "m", "d"), "hubs")
-        near = members.join(shuffled(other), "key").filter("c <> d").filter(possible)
-        links.test(near.select(*_pair("hub", "rep")))
-        groups = links.groups()
-    members = _apart(members, groups)
-    links.test(_remaining(members, links.tested, percent))
+    star = land(members.select("hub", "rep", "n").distinct(), "star")
+    sizes = classes.select(F.col("rep").alias("hub"), F.col("n").alias("m"))
+    links.test(star.filter("rep <> hub").join(shuffled(sizes), "hub").filter(possible).select(*_pair("hub", "rep")))
+    links.test(_remaining(star, links.groups(), links.texts, width, percent))
     return _joined(signed, classes, links.groups())
 
 
-def _remaining(members: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket in different groups that sizes and a common hub leave possible."""
-    hubs = tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "distance").union(
-        tested.select(F.col("b").alias("hub"), F.col("a").alias("rep"), "distance")
+def _remaining(star: DataFrame, groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs of a star in different groups that can still be linked.
+
+    Members are described against a usual set of their star, which most of a small sample share: a member lacks A of
+    it and has B besides. Two members without a common element of B share at most r - max(|A|) shingles and have at
+    least r + |B1| + |B2| - min(|A|) together, whatever the usual set is. So a pair can only be linked if it has
+    an element of B in common, or if one member lacks so little that the other's shortness makes up for it. Both are
+    equi-joins, and members of a star's main group are never paired with each other.
+    """
+    known = star.join(shuffled(groups.select(F.col("v").alias("rep"), "c")), "rep", "left")
+    known = land(known.withColumn("c", F.coalesce("c", "rep")), "known")
+    kinds = known.groupBy("hub", "c").agg(F.count("*").alias("k")).groupBy("hub")
+    mixed = kinds.agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.sum("k").alias("size"), F.count("*").alias("kinds"))
+    mixed = land(mixed.filter("kinds > 1").drop("kinds"), "mixed")
+    stars = land(known.join(shuffled(mixed), "hub"), "stars")
+    place = F.expr("pmod(xxhash64(hub, rep), 1000000) / 1000000d")
+    some = land(stars.filter(place < SAMPLE / F.col("size")).select("hub", "rep"), "some")
+    taken = some.groupBy("hub").agg(F.count("*").alias("taken"))
+    seen = some.join(shuffled(texts), "rep").select("hub", "text").mapInArrow(_sampled(width), "hub long, element long")
+    seen = seen.groupBy("hub", "element").agg(F.count("*").alias("k")).join(shuffled(taken), "hub")
+    usual = land(seen.filter("2 * k > taken").groupBy("hub").agg(F.collect_list("element").alias("usual")), "usual")
+    full = stars.join(shuffled(texts), "rep").join(shuffled(usual), "hub", "left")
+    facts = full.select("hub", "rep", "n", "c", "main", "text", "usual").mapInArrow(
+        _against(width), "hub long, rep long, n long, c long, main long, r long, lacks long, extra array<long>"
+    )
+    facts = land(facts.withColumn("more", F.size("extra").cast("long")), "facts")
+    # The shortness that the other one must have for a link without a common extra element.
+    need = F.ceil((percent * (F.col("r") + F.col("more")) - 100 * (F.col("r") - F.col("lacks"))) / percent)
+    zero = F.lit(0).cast("long")
+    odd = facts.filter("c <> main").select(
+        "hub", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("c").alias("c2"), F.greatest(zero, need).alias("short")
     )
-    # One hub and the distance to it per member: the smallest hub it was tested with.
-    nearest = land(hubs.groupBy("rep").agg(F.min(F.struct("hub", "distance")).alias("far")), "nearest")
-    known = members.join(shuffled(nearest), "rep", "left").select("key", "rep", "n", "c", "far.hub", "far.distance")
-    known = land(known, "known")
-    # The Jaccard similarity of two sets is at most the ratio of their sizes.
-    other = known.toDF("key", "rep2", "n2", "c2", "hub2", "distance2")
-    pairs = known.join(shuffled(other), "key").filter("rep < rep2 and c <> c2")
-    pairs = pairs.filter(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
-    reach = 1 - percent / 100 + 1e-9
-    ruled_out = (F.col("hub") == F.col("hub2")) & (F.abs(F.col("distance") - F.col("distance2")) > reach)
-    return pairs.filter(~F.coalesce(ruled_out, F.lit(False))).select(*_pair("rep", "rep2"))
+    every = facts.select("hub", "rep", "n", "c", F.explode(F.sequence(zero, F.greatest(zero, F.expr("lacks - more")))).alias("short"))
+    other = F.expr("c <> c2") & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
+    near = every.join(shuffled(odd), ["hub", "short"]).filter(other).select(*_pair("rep", "rep2"))
+    spread = facts.select("hub", "rep", "n", "c", "r", "lacks", F.explode("extra").alias("element"))
+    common = spread.groupBy("hub", "element").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
+    met = land(spread.join(shuffled(land(common.select("hub", "element"), "common")), ["hub", "element"]), "met")
+    twin = met.toDF("hub", "rep2", "n2", "c2", "r2", "lacks2", "element")
+    pairs = met.join(shuffled(twin), ["hub", "element"]).filter("rep < rep2").filter(other)
+    pairs = pairs.groupBy("hub", "rep", "rep2", "n", "n2", "r", "lacks", "lacks2").agg(F.count("*").alias("both"))
+    # What both have in common is at most this; a link needs percent / (100 + percent) of the summed sizes.
+    most = F.expr("both + r - greatest(lacks, lacks2)")
+    pairs = pairs.filter((100 + percent) * most >= percent * (F.col("n") + F.col("n2")))
+    return near.union(pairs.select(*_pair("rep", "rep2")))
 
 
 def _joined(signed: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metaloom.llm import bytebpe, decontam, language, lattice, licenses, neardup, quality, rules, secrets, tokens
+from metaloom.llm import bytebpe, decontam, language, lattice, licenses, neardup, quality, rules, secretscan, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,7 +72,7 @@ def op8_decontamination(spark, sf):
 
 @query
 def op9_secret_scan(spark, sf):
-    return secrets.scan(_table(spark, sf, "documents"))
+    return secretscan.scan(_table(spark, sf, "documents"))
 
 
 @query
