@@ -129,11 +129,18 @@ class PageReader(HTMLParser):
 
 
 def read_page(html: str | None) -> dict:
-    """Text, lines, anchors and table rows of one page; empty for a missing page."""
+    """Text, lines, anchors and table rows of one page; empty for a missing page.
+
+    A page that the parser refuses has an `error`, its beginning as text, and no parts.
+    """
     reader = PageReader()
-    if html:
-        reader.feed(html)
-        reader.close()
+    try:
+        if html:
+            reader.feed(html)
+            reader.close()
+    except (AssertionError, ValueError, RecursionError) as error:
+        head = html[:REFUSED_TEXT]
+        return {"text": head, "lines": [], "anchors": [], "rows": [], "error": type(error).__name__}
     lines = [line.strip() for piece in reader.text for line in piece.splitlines()]
     return {
         "text": " ".join(reader.text),
@@ -142,11 +149,16 @@ def read_page(html: str | None) -> dict:
             {"label": " ".join(parts), "href": href} for href, parts in reader.anchors
         ],
         "rows": [[" ".join(cell) for cell in row] for row in reader.rows],
+        "error": None,
     }
 
 
+# Fixed value: so much of a refused page stands for its text.
+REFUSED_TEXT = 10000
+
 _PART_TYPES = {
     "text": ("string", pa.string()),
+    "error": ("string", pa.string()),
     "lines": ("array<string>", pa.list_(pa.string())),
     "anchors": (
         "array<struct<label:string,href:string>>",

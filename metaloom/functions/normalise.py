@@ -171,11 +171,11 @@ def normalise_one(raw: str | None, comment: str) -> str | None:
     """The repaired document as indented JSON; a text that is no JSON object stays as it is."""
     try:
         doc = json.loads(raw)
-    except (TypeError, ValueError):
+        if isinstance(doc, dict):
+            return json.dumps(_normalise(doc, comment), indent=2)
+        return json.dumps(doc, indent=2) if isinstance(doc, list) else raw
+    except (TypeError, ValueError, RecursionError):
         return raw
-    if isinstance(doc, dict):
-        return json.dumps(_normalise(doc, comment), indent=2)
-    return json.dumps(doc, indent=2) if isinstance(doc, list) else raw
 
 
 def normalise_text(raw: Column, comment: str) -> Column:

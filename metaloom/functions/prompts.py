@@ -10,9 +10,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-# Lengths that end up in a prompt, and the sizes reported as large.
-CONTENT_LENGTH = 3000
-EXAMPLE_LENGTH = 2000
+# The sizes reported as large.
 LARGE_PROMPT_SIZES = [10000, 15000, 20000]
 
 # The texts around the page content.
@@ -46,23 +44,31 @@ def format_slots(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*parts) if parts else F.lit("")
 
 
-def content_section(url: Column, content: Column) -> Column:
-    """Page text for the reader, cut to the length that fits; without text, a pointer to the URL."""
-    with_text = F.concat(
-        F.lit(CONTENT_HEAD), F.left(content, F.lit(CONTENT_LENGTH)), F.lit(CONTENT_NOTE)
-    )
+def _cut(text: Column, length: int | None) -> Column:
+    return text if length is None else F.left(text, F.lit(length))
+
+
+def content_section(url: Column, content: Column, length: int | None = None) -> Column:
+    """Page text for the reader, whole unless a `length` is given; without text, a pointer to the URL."""
+    with_text = F.concat(F.lit(CONTENT_HEAD), _cut(content, length), F.lit(CONTENT_NOTE))
     without = F.concat(F.lit(POINTER_HEAD), url, F.lit(POINTER_NOTE))
     return F.when(F.coalesce(content, F.lit("")) != "", with_text).otherwise(without)
 
 
 def detection_prompt(
-    template: str, url: Column, content: Column, name: Column, group: Column, description: Column
+    template: str,
+    url: Column,
+    content: Column,
+    name: Column,
+    group: Column,
+    description: Column,
+    content_length: int | None = None,
 ) -> Column:
     return format_slots(
         template,
         {
             "URL": url,
-            "CONTENT_SECTION": content_section(url, content),
+            "CONTENT_SECTION": content_section(url, content, content_length),
             "DATASET_NAME": name,
             "GROUP": group,
             "DESCRIPTION": description,
@@ -75,7 +81,11 @@ def _double_braces(text: Column) -> Column:
 
 
 def generation_prompt(
-    template: str, metadata: dict[str, Column], extracted_json: Column, example: Column
+    template: str,
+    metadata: dict[str, Column],
+    extracted_json: Column,
+    example: Column,
+    example_length: int | None = None,
 ) -> Column:
     """Fill the eleven slots of the generation template.
 
@@ -97,7 +107,7 @@ def generation_prompt(
     slots["DATASET_NAME"] = slots.pop("NAME")
     slots["EXTRACTED_METADATA"] = _double_braces(extracted_json)
     slots["EXAMPLE_JSONLD"] = _double_braces(
-        F.left(F.coalesce(example, F.lit("")), F.lit(EXAMPLE_LENGTH))
+        _cut(F.coalesce(example, F.lit("")), example_length)
     )
     return format_slots(template, slots)
 

@@ -194,8 +194,12 @@ def variable_coverage(docs: DataFrame, key: str = "doc_id", raw: str = "raw") ->
         key,
         "idx",
         any_text(child(item, "$.name")).alias("name"),
-        F.coalesce(any_text(child(item, "$.temporalCoverage")), F.lit(STATIC)).alias("temporal"),
-        F.coalesce(any_text(child(item, "$.spatialCoverage")), F.lit(NOT_DETECTED)).alias("spatial"),
+        F.when(has_key(item, "$.temporalCoverage"), any_text(child(item, "$.temporalCoverage")))
+        .otherwise(F.lit(STATIC))
+        .alias("temporal"),
+        F.when(has_key(item, "$.spatialCoverage"), any_text(child(item, "$.spatialCoverage")))
+        .otherwise(F.lit(NOT_DETECTED))
+        .alias("spatial"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from metaloom.functions.bind import once, shuffled
 from metaloom.functions.text import sitemap_time
 from metaloom.functions.variants import any_text, array_at, as_array, child, kind
+from metaloom.session import cut_lineage
 
 
 def document_id(doc: Column) -> Column:
@@ -88,15 +89,19 @@ def page_references(docs: DataFrame) -> DataFrame:
 def dangling(edges: DataFrame, known: DataFrame, known_id: str = "id") -> DataFrame:
     """References to ids that no document has.
 
-    The known ids are made distinct before they travel; a much-cited id is split by the skew join.
+    Nothing stands between the exchanges and the join, so a much-cited id is split by the skew join; an anti join
+    needs no distinct ids.
     """
-    ids = known.select(F.col(known_id).alias("_known")).filter(F.col("_known").isNotNull()).distinct()
+    ids = known.select(F.col(known_id).alias("_known")).filter(F.col("_known").isNotNull())
     return edges.join(shuffled(ids), F.col("child_id") == F.col("_known"), "left_anti")
 
 
 def with_target(edges: DataFrame, documents: DataFrame, doc_id: str, *fields: str) -> DataFrame:
-    """References next to fields of the document they point to; NULL for a dangling one."""
-    targets = (
+    """References next to fields of the document they point to; NULL for a dangling one.
+
+    A repeated id shows its smallest field. The targets are written first: a join on plain exchanges can be split.
+    """
+    targets = cut_lineage(
         documents.groupBy(F.col(doc_id).alias("_target"))
         .agg(*[F.min(f).alias(f) for f in fields])
     )
@@ -106,7 +111,8 @@ def with_target(edges: DataFrame, documents: DataFrame, doc_id: str, *fields: st
 def parent_links(docs: DataFrame) -> DataFrame:
     """`isPartOf` of each document (string or object) and whether the parent is in the collection."""
     v = F.col("v")
-    ids = docs.select(document_id(v).alias("_parent")).filter(F.col("_parent").isNotNull()).distinct()
+    # Written first: a distinct between exchange and join would keep a much-cited parent in one task.
+    ids = cut_lineage(docs.select(document_id(v).alias("_parent")).filter(F.col("_parent").isNotNull()).distinct())
     children = docs.select(
         document_id(v).alias("child_id"), F.explode(as_array(v, "$.isPartOf")).alias("_node")
     ).select("child_id", _reference(F.col("_node"), "@id", "url").alias("parent_id"))
@@ -138,8 +144,10 @@ def changed_since(entries: DataFrame, last_run: str, lastmod: str = "lastmod") -
 
 
 def union_sitemaps(*sitemaps: DataFrame) -> DataFrame:
-    """All entries of several sitemaps, each once."""
+    """All entries of several sitemaps, each once with its newest time."""
     first, *rest = [s.select("loc", "lastmod") for s in sitemaps]
     for other in rest:
         first = first.unionByName(other)
-    return first.groupBy("loc").agg(F.max("lastmod").alias("lastmod"))
+    # The newest by time: texts in different zones do not sort by time. Without a readable time the text decides.
+    place = F.struct(sitemap_time(F.col("lastmod")).alias("time"), F.col("lastmod").alias("text"))
+    return first.groupBy("loc").agg(F.max_by("lastmod", place).alias("lastmod"))

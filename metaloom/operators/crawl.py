@@ -12,8 +12,6 @@ from metaloom.session import cut_and_measure, cut_lineage
 BROADCAST_BYTES = 8 * 1024 * 1024
 # Levels that may stay separate before the visited set is written as one.
 LEVELS_PER_CUT = 8
-# Fixed value: redirects followed before giving up.
-LONGEST_REDIRECT_CHAIN = 30
 
 
 def new_links(links: DataFrame, visited: DataFrame) -> DataFrame:
@@ -109,25 +107,29 @@ def sitemap_of_walk(walked: DataFrame) -> DataFrame:
     return walked.select(F.col("url").alias("loc")).distinct()
 
 
-def final_targets(redirects: DataFrame, max_hops: int = LONGEST_REDIRECT_CHAIN) -> DataFrame:
+def final_targets(redirects: DataFrame, max_hops: int | None = None) -> DataFrame:
     """Where redirect chains with a 303 in them end: from_id, final_id, hops.
 
-    `redirects` has one row per address: from_id, to_id, status. Chains are followed by pointer doubling:
-    every round joins each open chain to the chain of its current end, so the number of rounds is the logarithm
-    of the longest chain. Loops and chains over `max_hops` have no final address.
+    `redirects` has one row per address: from_id, to_id, status. Chains are followed by pointer doubling: every round
+    joins each open chain to the chain of its current end, so the number of rounds is the logarithm of the longest
+    chain. A chain of any length closes some of its part in every round, so when a round closes nothing, only loops
+    are left, and these have no final address. With `max_hops`, longer chains are left out as well.
     """
     hops = redirects.filter(F.col("to_id").isNotNull() & F.col("status").between(300, 399))
-    state = cut_lineage(
+    still_open = F.count_if(~F.col("done"))
+    state, seen = cut_and_measure(
         hops.select(
             "from_id",
             F.col("to_id").alias("final_id"),
-            F.lit(1).alias("hops"),
+            F.lit(1).cast("long").alias("hops"),
             (F.col("status") == 303).alias("seen"),
             F.lit(False).alias("done"),
-        )
+        ),
+        open=still_open,
     )
-    reach = 1
-    while reach < max_hops + 1:
+    last = None
+    while seen["open"] and seen["open"] != last:
+        last = seen["open"]
         after = state.select(
             F.col("from_id").alias("_from"),
             F.col("final_id").alias("_final"),
@@ -143,11 +145,8 @@ def final_targets(redirects: DataFrame, max_hops: int = LONGEST_REDIRECT_CHAIN)
             (F.col("seen") | F.coalesce("_seen", F.lit(False))).alias("seen"),
             F.coalesce("_done", F.lit(True)).alias("done"),
         )
-        state = cut_lineage(state.filter("done").unionByName(moved))
-        reach *= 2
-    # A chain whose end was not yet looked up is closed if that end redirects nowhere.
-    sources = hops.select(F.col("from_id").alias("_from"))
-    closed = state.join(shuffled(sources), F.col("final_id") == F.col("_from"), "left_anti")
-    return closed.filter(F.col("seen") & (F.col("hops") <= max_hops)).select(
-        "from_id", "final_id", "hops"
-    )
+        state, seen = cut_and_measure(state.filter("done").unionByName(moved), open=still_open)
+    ended = state.filter(F.col("done") & F.col("seen"))
+    if max_hops is not None:
+        ended = ended.filter(F.col("hops") <= max_hops)
+    return ended.select("from_id", "final_id", "hops")

@@ -328,3 +328,8 @@ def extract(
 
     names = pages.sparkSession.createDataFrame([], full).columns
     return pages.select(key, html).mapInPandas(run, full)
+
+
+def rejected_pages(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """The pages that the reader refuses, with the kind of error."""
+    return with_page_parts(pages, [key], ["error"], html).filter(F.col("error").isNotNull())

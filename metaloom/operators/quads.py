@@ -41,52 +41,115 @@ _STATEMENT_DDL = (
 )
 
 
+# Documents whose statements are held at a time.
+DOCUMENTS_AT_ONCE = 200
+# Fixed value: the namespace of list nodes.
+RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
+
+
 def _listed(value) -> list:
     return value if isinstance(value, list) else [value]
 
 
+def _members(value) -> list:
+    """The values of a property: lists in lists and `@set` count as their members."""
+    out, pending = [], [value]
+    while pending:
+        item = pending.pop()
+        if isinstance(item, list):
+            pending.extend(reversed(item))
+        elif isinstance(item, dict) and "@set" in item:
+            pending.append(item["@set"])
+        else:
+            out.append(item)
+    return out
+
+
+def _text(value) -> str | None:
+    return value if isinstance(value, str) and value else None
+
+
+def read_document(text: str | None) -> tuple[object, str | None]:
+    """The document, and why it cannot be read. A missing one is empty without an error."""
+    try:
+        return (json.loads(text) if text else None), None
+    except (ValueError, RecursionError) as error:
+        return None, type(error).__name__
+
+
 def statements(text: str | None) -> Iterator[tuple]:
     """The statements of one document as (s_id, s_path, p, kind, value, datatype, language, turned).
 
     A node is named by its `@id`, or by its path in the document. The kind tells how `value` is to be read:
-    iri, path (of an unnamed node), type, string, boolean, integer or double.
+    iri, path (of an unnamed node), type, string, boolean, integer or double. A `@list` is a chain of unnamed nodes.
+    Ids and types that are no strings, null values and members that are no nodes are passed over.
     """
-    try:
-        root = json.loads(text) if text else None
-    except ValueError:
-        return
-    pending = [(f"{i}", node) for i, node in enumerate(_listed(root)) if isinstance(node, dict)]
+    root, _ = read_document(text)
+    pending = [(f"{i}", node) for i, node in enumerate(_members(root)) if isinstance(node, dict)]
     while pending:
         path, node = pending.pop()
-        me = node.get("@id")
-        own = (me, path)
-        for member in _listed(node.get("@graph", [])):
-            pending.append((f"{path}/@graph/{len(pending)}", member))
+        own = (_text(node.get("@id")), path)
+        for member in _members(node.get("@graph", [])):
+            if isinstance(member, dict):
+                pending.append((f"{path}/@graph/{len(pending)}", member))
         fields = [(key, value, False) for key, value in node.items() if key[:1] != "@"]
         inverse = node.get("@reverse")
         if isinstance(inverse, dict):
             fields += [(key, value, True) for key, value in inverse.items()]
-        for name in _listed(node.get("@type", [])):
-            yield (*own, "@type", "type", name, None, None, False)
+        for name in _members(node.get("@type", [])):
+            if _text(name):
+                yield (*own, "@type", "type", name, None, None, False)
         for key, value, turned in fields:
-            for i, item in enumerate(_listed(value)):
+            for i, item in enumerate(_members(value)):
                 place = f"{path}/{'^' if turned else ''}{key}/{i}"
-                if isinstance(item, dict) and "@value" in item:
-                    given = item["@value"]
-                    kind = "boolean" if isinstance(given, bool) else "string"
-                    printed = str(given).lower() if isinstance(given, bool) else str(given)
-                    yield (*own, key, kind, printed, item.get("@type"), item.get("@language"), turned)
-                elif isinstance(item, dict):
-                    name = item.get("@id")
-                    yield (*own, key, "iri" if name else "path", name or place, None, None, turned)
-                    pending.append((place, item))
-                elif isinstance(item, bool):
-                    yield (*own, key, "boolean", str(item).lower(), None, None, turned)
-                elif isinstance(item, (int, float)):
-                    kind = "integer" if isinstance(item, int) else "double"
-                    yield (*own, key, kind, repr(item), None, None, turned)
-                elif isinstance(item, str):
-                    yield (*own, key, "string", item, None, None, turned)
+                if isinstance(item, dict) and "@list" in item:
+                    yield from _chain(own, key, turned, place, _members(item["@list"]), pending)
+                else:
+                    yield from _statement(own, key, turned, place, item, pending)
+
+
+def _chain(own: tuple, key: str, turned: bool, place: str, items: list, pending: list) -> Iterator[tuple]:
+    """A list: one unnamed node per member, each with its value and the node after it."""
+    at = [f"{place}/@list/{k}" for k in range(len(items))]
+    for k, after in enumerate([*at, None]):
+        before, name, side = (own, key, turned) if k == 0 else ((None, at[k - 1]), RDF + "rest", False)
+        if after is None:
+            yield (*before, name, "iri", RDF + "nil", None, None, side)
+        else:
+            yield (*before, name, "path", after, None, None, side)
+            yield from _statement((None, after), RDF + "first", False, f"{after}/0", items[k], pending)
+
+
+def _statement(own: tuple, key: str, turned: bool, place: str, item, pending: list) -> Iterator[tuple]:
+    if isinstance(item, dict) and "@value" in item:
+        given = item["@value"]
+        if isinstance(given, (str, bool, int, float)):
+            kind = "boolean" if isinstance(given, bool) else "string"
+            printed = str(given).lower() if isinstance(given, bool) else str(given)
+            yield (*own, key, kind, printed, _text(item.get("@type")), _text(item.get("@language")), turned)
+    elif isinstance(item, dict):
+        name = _text(item.get("@id"))
+        yield (*own, key, "iri" if name else "path", name or place, None, None, turned)
+        pending.append((place, item))
+    elif isinstance(item, bool):
+        yield (*own, key, "boolean", str(item).lower(), None, None, turned)
+    elif isinstance(item, (int, float)):
+        yield (*own, key, "integer" if isinstance(item, int) else "double", repr(item), None, None, turned)
+    elif isinstance(item, str):
+        yield (*own, key, "string", item, None, None, turned)
+
+
+def rejected_documents(docs: DataFrame, graph: str = "g", raw: str = "raw") -> DataFrame:
+    """`g` and `error` of the documents that cannot be read and so give no statements."""
+    graph_name, raw_name = graph, raw
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            errors = [read_document(text.as_py())[1] for text in batch.column(raw_name)]
+            out = pa.RecordBatch.from_arrays([batch.column(graph_name), pa.array(errors, pa.string())], ["g", "error"])
+            yield out.filter(pa.array([e is not None for e in errors]))
+
+    return docs.select(F.col(graph).cast("string").alias(graph), raw).mapInArrow(check, "g string, error string")
 
 
 def document_statements(docs: DataFrame, graph: str = "g", raw: str = "raw") -> DataFrame:
@@ -94,15 +157,17 @@ def document_statements(docs: DataFrame, graph: str = "g", raw: str = "raw") ->
     graph_name, raw_name = graph, raw
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = batch.column(graph_name).to_pylist()
-            texts = batch.column(raw_name).to_pylist()
-            rows = [(g, *row) for g, text in zip(names, texts) for row in statements(text)]
-            columns = list(zip(*rows)) if rows else [()] * (len(_STATEMENT) + 1)
-            types = [pa.string(), *_STATEMENT.types]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(columns, types)], names=["g", *_STATEMENT.names]
-            )
+        types = [pa.string(), *_STATEMENT.types]
+        for whole in batches:
+            for start in range(0, whole.num_rows, DOCUMENTS_AT_ONCE):
+                batch = whole.slice(start, DOCUMENTS_AT_ONCE)
+                names = batch.column(graph_name).to_pylist()
+                texts = batch.column(raw_name).to_pylist()
+                rows = [(g, *row) for g, text in zip(names, texts) for row in statements(text)]
+                columns = list(zip(*rows)) if rows else [()] * (len(_STATEMENT) + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, type=t) for c, t in zip(columns, types)], names=["g", *_STATEMENT.names]
+                )
 
     return docs.select(graph, raw).mapInArrow(walk, f"g string, {_STATEMENT_DDL}")
 
@@ -130,7 +195,7 @@ def quads_of_documents(
         return F.concat(F.lit(genid_base), F.sha1(F.concat(F.col("g"), F.lit("|"), path)))
 
     number = F.col("value").try_cast("double")
-    whole = (number == F.floor(number)) & (F.abs(number) < 1e21)
+    whole = (number == F.rint(number)) & (F.abs(number) < 1e21)
     kind = F.col("kind")
     rows = document_statements(docs, graph, raw).select(
         "g",
@@ -146,7 +211,10 @@ def quads_of_documents(
         .when(kind == "double", terms.canonical_double(number))
         .otherwise(F.col("value"))
         .alias("_value"),
-        F.when(kind.isin("path", "type", "iri"), F.lit("iri")).otherwise(F.lit("literal")).alias("_kind"),
+        F.when((kind == "iri") & F.startswith("value", F.lit("_:")), F.lit("bnode"))
+        .when(kind.isin("path", "type", "iri"), F.lit("iri"))
+        .otherwise(F.lit("literal"))
+        .alias("_kind"),
         F.when(F.col("datatype").isNotNull(), _absolute(F.col("datatype"), vocabulary))
         .when(kind == "boolean", F.lit(terms.XSD + "boolean"))
         .when((kind == "integer") | ((kind == "double") & whole), F.lit(terms.XSD + "integer"))
@@ -155,12 +223,13 @@ def quads_of_documents(
         "language",
         "turned",
     )
-    swap = F.col("turned") & (F.col("_kind") == "iri")
+    swap = F.col("turned") & (F.col("_kind") != "literal")
+    as_node = F.when(F.startswith("_node", F.lit("_:")), F.lit("bnode")).otherwise(F.lit("iri"))
     placed = rows.select(
         F.when(swap, F.col("_value")).otherwise(F.col("_node")).alias("s"),
         "p",
         F.when(swap, F.col("_node")).otherwise(F.col("_value")).alias("value"),
-        F.col("_kind").alias("kind"),
+        F.when(swap, as_node).otherwise(F.col("_kind")).alias("kind"),
         "datatype",
         "language",
         "g",
@@ -208,8 +277,8 @@ def type_profile(quads: DataFrame) -> DataFrame:
 def entities(quads: DataFrame, type_iri: str, properties: dict[str, str]) -> DataFrame:
     """One row per entity of a type: g, s and a column per property (name to predicate).
 
-    Type test and properties come from one aggregate on (g, s), without a self-join. A property with several
-    values shows the smallest; `entity_values` has them all as rows.
+    Type test and properties come from one aggregate on (g, s), without a self-join. Every property is the sorted
+    array of its distinct values, empty if there are none; `entity_values` has them as rows.
     """
     is_type = F.bool_or((F.col("p") == terms.RDF_TYPE) & (F.col("value") == type_iri))
     wanted = [terms.RDF_TYPE, *properties.values()]
@@ -219,7 +288,7 @@ def entities(quads: DataFrame, type_iri: str, properties: dict[str, str]) -> Dat
         .agg(
             is_type.alias("_is"),
             *[
-                F.min(F.when(F.col("p") == predicate, F.col("value"))).alias(name)
+                F.sort_array(F.collect_set(F.when(F.col("p") == predicate, F.col("value")))).alias(name)
                 for name, predicate in properties.items()
             ],
         )
@@ -267,12 +336,12 @@ def _sums(*parts: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("_n"), F.sum(one).alias("_a"), F.sum(two).alias("_b")]
 
 
-def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",), cycle_rounds: int = 4) -> DataFrame:
+def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
     """keys, node, hash for every unnamed subject: equal for nodes with equal properties all the way down.
 
     `keys` name the graph a node belongs to. Each round folds the hashes of unnamed children into their parents,
-    until every node rests on settled ones. Unnamed nodes on a cycle never settle; they are told apart by what is
-    within `cycle_rounds` further steps.
+    until every node rests on settled ones. Unnamed nodes on a cycle never settle; their hashes are refined until a
+    round tells no further nodes apart, so nodes are equal only if nothing at any distance differs.
     Properties are summed as hashes, never collected, so a node with very many properties stays a partial
     aggregate.
     """
@@ -298,9 +367,9 @@ def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",), cycle_rounds:
         return base.select(*at, "hash")
     links = cut_lineage(own.filter("_inner").select(*at, "p", F.col("value").alias("inner")))
     current = base
-    stalled = 0
-    while seen["unsettled"] and stalled <= cycle_rounds:
-        before = seen["unsettled"]
+    last, kinds = None, (seen["unsettled"], -1)
+    while seen["unsettled"] and kinds != last:
+        last = kinds
         inner = current.select(
             *keys,
             F.col("node").alias("inner"),
@@ -326,13 +395,13 @@ def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",), cycle_rounds:
             ),
             unsettled=unsettled,
         )
-        stalled = stalled + 1 if seen["unsettled"] == before else 0
+        kinds = (seen["unsettled"], current.select("hash").distinct().count())
     return current.select(*at, "hash")
 
 
-def canonical(quads: DataFrame, keys: tuple[str, ...] = ("g",), cycle_rounds: int = 4) -> DataFrame:
+def canonical(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
     """Quads with every unnamed node replaced by `_:` and its hash."""
-    hashes = node_hashes(quads, keys, cycle_rounds)
+    hashes = node_hashes(quads, keys)
     as_subject = hashes.select(*keys, F.col("node").alias("_from"), F.col("hash").alias("_s"))
     as_object = hashes.select(*keys, F.col("node").alias("_to"), F.col("hash").alias("_o"))
     outer = is_anonymous(F.col("s"))
@@ -365,7 +434,7 @@ def canonical(quads: DataFrame, keys: tuple[str, ...] = ("g",), cycle_rounds: in
     return named.unionByName(replaced)
 
 
-def compare_releases(left: DataFrame, right: DataFrame, cycle_rounds: int = 4) -> DataFrame:
+def compare_releases(left: DataFrame, right: DataFrame) -> DataFrame:
     """Quads that one release has more often than the other: s, p, o, g, side, n.
 
     Both releases go through one canonical form, told apart by a sign, and meet in one signed count, so equal
@@ -377,7 +446,7 @@ def compare_releases(left: DataFrame, right: DataFrame, cycle_rounds: int = 4) -
         .unionByName(right.select(*columns, F.lit(-1).alias("_sign")))
     )
     return (
-        canonical(both, ("_sign", "g"), cycle_rounds)
+        canonical(both, ("_sign", "g"))
         .groupBy("s", "p", "o", "g")
         .agg(F.sum("_sign").alias("_d"))
         .filter(F.col("_d") != 0)

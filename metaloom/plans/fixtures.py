@@ -150,6 +150,10 @@ SELECT o_orderkey AS from_id,
   CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(floor(o_orderkey / 2) AS BIGINT) END AS to_id,
   CASE WHEN o_orderkey % 5 = 0 THEN 200 WHEN o_orderkey % 3 = 0 THEN 303 ELSE 302 END AS status
 FROM @orders@
+UNION ALL
+SELECT -c_custkey, CASE WHEN c_custkey % 60 = 0 THEN NULL ELSE -c_custkey - 1 END, CASE c_custkey % 20 WHEN 7 THEN 303 ELSE 301 END FROM @customer@
+UNION ALL
+SELECT -1000000000 - n_nationkey, -1000000000 - (n_nationkey + 1) % 25, 303 FROM @nation@
 """
 
 QUADS = """
@@ -232,23 +236,12 @@ FIXTURES = {
     "rasters": RASTERS,
 }
 
-# Tables that do not grow with the data.
-FIXED_TABLES = ("nation", "region")
-
 _TABLE = re.compile(r"@([a-z]+)@")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table, spread over the cores if its files give fewer tasks than there are cores.
-
-    A small file is one task; the html and JSON made from its rows are many times its size. A table of many files
-    is read as it lies, without any exchange.
-    """
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name in FIXED_TABLES:
-        return rows
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    """A table as its files lie, without any exchange."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

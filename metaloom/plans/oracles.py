@@ -244,7 +244,7 @@ _TEXT_NOTE = len(
     "**Webpage Content** (extracted text):\n\n\n**Note**: The above is the extracted text content from the webpage. "
     "Please analyze it to identify datasets and extract metadata."
 )
-_PROMPT = f"{_HEAD + _TEXT_NOTE} + length('https://ex.org/d/' || doc_id) + least(length(text), 3000) + length(source) + length(lang)"
+_PROMPT = f"{_HEAD + _TEXT_NOTE} + length('https://ex.org/d/' || doc_id) + length(text) + length(source) + length(lang)"
 
 REPLIES = {
     "response_parse": f"""
@@ -379,7 +379,10 @@ CATALOGUES = {
     "sitemap_incremental": f"""
         SELECT page_id, loc, lastmod FROM {_SITEMAP}
         WHERE CAST(CASE WHEN length(lastmod) = 10 THEN lastmod || 'T00:00:00Z' ELSE lastmod END AS TIMESTAMPTZ) > TIMESTAMPTZ '2024-01-15 00:00:00+00'""",
-    "sitemap_union": f"SELECT loc, max(lastmod) AS lastmod FROM {_SITEMAP} WHERE listed OR present GROUP BY loc",
+    "sitemap_union": f"""
+        SELECT loc, arg_max(lastmod, CAST(lastmod AS TIMESTAMPTZ)) AS lastmod FROM (
+          SELECT loc, lastmod FROM {_SITEMAP} WHERE listed
+          UNION ALL SELECT loc, replace(lastmod, 'T10:00:00Z', 'T11:30:00+02:00') FROM {_SITEMAP} WHERE present) GROUP BY loc""",
     "catalog_parts": f"SELECT cat_id, pos, url FROM {_PARTS} WHERE url IS NOT NULL",
     "catalog_dangling": f"""
         SELECT parent_id, child_id FROM (
@@ -432,9 +435,10 @@ WALKS = {
         SELECT url, depth, path FROM w QUALIFY row_number() OVER (PARTITION BY url ORDER BY depth, path) = 1""",
     "redirect_final": f"""
         WITH RECURSIVE r AS MATERIALIZED (SELECT from_id, to_id, status FROM {fixture_sql('redirects')} WHERE to_id IS NOT NULL),
-        w AS (SELECT from_id, to_id AS final_id, CAST(1 AS BIGINT) AS hops, status = 303 AS seen FROM r
-          UNION ALL SELECT w.from_id, r.to_id, w.hops + 1, w.seen OR r.status = 303 FROM w JOIN r ON r.from_id = w.final_id WHERE w.hops < 40)
-        SELECT from_id, final_id, hops FROM w WHERE seen AND hops <= 30 AND final_id NOT IN (SELECT from_id FROM r)""",
+        w AS (SELECT from_id, to_id AS final_id, CAST(1 AS BIGINT) AS hops, status = 303 AS seen, [from_id] AS past FROM r
+          UNION ALL SELECT w.from_id, r.to_id, w.hops + 1, w.seen OR r.status = 303, list_append(w.past, w.final_id)
+          FROM w JOIN r ON r.from_id = w.final_id WHERE NOT list_contains(w.past, w.final_id))
+        SELECT from_id, final_id, hops FROM w WHERE seen AND final_id NOT IN (SELECT from_id FROM r)""",
 }
 
 # ---- quads -----------------------------------------------------------------------------------------
@@ -496,10 +500,12 @@ QUADS = {
     "quad_profile": f"SELECT p, count(*) AS n FROM {_TERMS} GROUP BY p",
     "quad_graphs": f"SELECT g, count(*) AS n, split_part(g, ':', 4) AS source, split_part(g, ':', 6) AS sha FROM {_TERMS} GROUP BY g",
     "quad_entities": f"""
-        SELECT t.g, t.s, n.value AS name, v.value AS value FROM {_TERMS} AS t
-        JOIN {_TERMS} AS n ON n.g = t.g AND n.s = t.s AND n.p = 'https://schema.org/name'
-        JOIN {_TERMS} AS v ON v.g = t.g AND v.s = t.s AND v.p = 'https://schema.org/value'
-        WHERE t.p = '{_TYPE}' AND t.value = 'https://schema.org/Organization'""",
+        SELECT t.g, t.s, coalesce(string_agg(DISTINCT n.value, '|' ORDER BY n.value) FILTER (n.p = 'https://schema.org/name'), '') AS name,
+          coalesce(string_agg(DISTINCT n.value, '|' ORDER BY n.value) FILTER (n.p = 'https://schema.org/value'), '') AS value
+        FROM {_TERMS} AS t JOIN {_TERMS} AS n ON n.g = t.g AND n.s = t.s
+        WHERE t.p = '{_TYPE}' AND t.value = 'https://schema.org/Organization' GROUP BY t.g, t.s""",
+    "rejected_pages": "SELECT page_id FROM pages WHERE page_id % 5 = 0",
+    "rejected_docs": f"SELECT doc_id FROM {fixture_sql('docs')} AS d WHERE doc_id % 97 = 0 OR NOT json_valid(raw)",
     "quad_types": f"SELECT value AS type, count(*) AS n FROM {_TERMS} WHERE p = '{_TYPE}' GROUP BY value",
     "quad_follow": f"""
         SELECT DISTINCT t.g, t.s, v.value AS middle, c.value AS value FROM {_TERMS} AS t

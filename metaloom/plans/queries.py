@@ -308,7 +308,7 @@ def metadata_merge(spark, sf):
 
 @query
 def prompt_sizes(spark, sf):
-    """Prompts over whole texts: the prompt holds what fits, the sizes tell how much there was."""
+    """Prompts over whole texts and their sizes."""
     prompt = detection_prompt(
         TEMPLATE,
         F.concat(F.lit("https://ex.org/d/"), F.col("doc_id").cast("string")),
@@ -466,7 +466,9 @@ def sitemap_incremental(spark, sf):
 @query
 def sitemap_union(spark, sf):
     rows = fixture(spark, sf, "sitemap")
-    return catalog.union_sitemaps(rows.filter("listed"), rows.filter("present"))
+    # The second map has an older time that is the larger text.
+    other = rows.withColumn("lastmod", F.replace("lastmod", F.lit("T10:00:00Z"), F.lit("T11:30:00+02:00")))
+    return catalog.union_sitemaps(rows.filter("listed"), other.filter("present"))
 
 
 def _catalogues(spark: SparkSession, sf: str) -> DataFrame:
@@ -608,7 +610,24 @@ def quad_graphs(spark, sf):
 @query
 def quad_entities(spark, sf):
     wanted = {"name": SCHEMA + "name", "value": SCHEMA + "value"}
-    return quads.entities(_quads(spark, sf), SCHEMA + "Organization", wanted)
+    found = quads.entities(_quads(spark, sf), SCHEMA + "Organization", wanted)
+    return found.select("g", "s", *[F.array_join(c, "|").alias(c) for c in wanted])
+
+
+@query
+def rejected_pages(spark, sf):
+    """Pages that the tolerant reader cannot take, every fifth spoilt on purpose."""
+    spoilt = F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("<![foo bar[ x"), "html")).otherwise(F.col("html"))
+    return pages.rejected_pages(table(spark, sf, "pages").withColumn("html", spoilt)).select("page_id")
+
+
+@query
+def rejected_docs(spark, sf):
+    """Documents that give no statements: no JSON, or nested beyond reading."""
+    docs = fixture(spark, sf, "docs").withColumn("g", F.col("doc_id").cast("string"))
+    deep = F.concat(F.repeat(F.lit("["), 100000), F.col("raw"))
+    docs = docs.withColumn("raw", F.when(F.col("doc_id") % 97 == 0, deep).otherwise(F.col("raw")))
+    return quads.rejected_documents(docs).select(F.col("g").cast("long").alias("doc_id"))
 
 
 @query

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
 from metaloom.functions import terms
@@ -41,6 +42,11 @@ def latest_outputs(docs: DataFrame, order: str) -> DataFrame:
     )
 
 
+def name_collisions(docs: DataFrame) -> DataFrame:
+    """Output names that several documents share, with their number: what `latest_outputs` would drop."""
+    return docs.groupBy("folder", "filename").agg(F.count("*").alias("n")).filter("n > 1")
+
+
 def by_folder(rows: DataFrame, *columns: str) -> DataFrame:
     """Bring the rows of an output folder together, so that a folder gets few files.
 
@@ -56,22 +62,26 @@ def write_output_table(docs: DataFrame, folder: str) -> None:
 def publish_files(docs: DataFrame, root: str) -> DataFrame:
     """Write each document to `<root>/<folder>/<filename>` from the tasks; report what was written.
 
-    `root` is a folder all executors see (a mounted file system). A file is written under a name of its own
-    and then renamed, so a task that runs twice leaves one whole file.
+    `root` is a folder all executors see: a path, or the URI of a store that pyarrow knows; another scheme is an error
+    before anything is written. A file is written under a name of its own and then moved, so a task that runs twice
+    leaves one whole file. Documents that share a name would overwrite each other: `name_collisions` lists them.
     """
-    target = urlparse(root).path if root.startswith("file:") else root
+    store = root if ":" in root.split("/")[0] else os.path.abspath(root)
+    store = "file://" + urlparse(root).path if root.startswith("file:") else store
+    fs.FileSystem.from_uri(store)
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, target = fs.FileSystem.from_uri(store)
         for batch in batches:
             sizes = []
             for folder, name, raw in zip(batch["folder"], batch["filename"], batch["raw"]):
-                os.makedirs(os.path.join(target, folder), exist_ok=True)
-                final = os.path.join(target, folder, name)
+                system.create_dir(f"{target}/{folder}", recursive=True)
+                final = f"{target}/{folder}/{name}"
                 part = f"{final}.part-{uuid.uuid4().hex}"
                 data = raw.encode("utf-8")
-                with open(part, "wb") as out:
+                with system.open_output_stream(part) as out:
                     out.write(data)
-                os.replace(part, final)
+                system.move(part, final)
                 sizes.append(len(data))
             yield pd.DataFrame(
                 {"folder": batch["folder"], "filename": batch["filename"], "n_bytes": sizes}
@@ -87,9 +97,11 @@ def sitemap_of_documents(documents: DataFrame, root: str, base: str) -> DataFram
     below = F.regexp_replace(
         F.regexp_replace(F.col("path"), "^file:/*", "/"), "^" + _quoted(root.rstrip("/")) + "/", ""
     )
+    escaped = F.replace(F.replace(F.url_encode(below), F.lit("%2F"), F.lit("/")), F.lit("+"), F.lit("%20"))
+    in_utc = F.to_utc_timestamp("modified", F.current_timezone())
     return documents.select(
-        F.concat(F.lit(base.rstrip("/") + "/"), below).alias("loc"),
-        F.date_format("modified", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("lastmod"),
+        F.concat(F.lit(base.rstrip("/") + "/"), escaped).alias("loc"),
+        F.date_format(in_utc, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("lastmod"),
     )
 
 

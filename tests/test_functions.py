@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from metaloom.functions import geo, normalise, terms, text, urls
 from metaloom.functions.bind import first_per_key, let, once
 from metaloom.functions.intervals import parse_interval
-from metaloom.functions.prompts import CONTENT_LENGTH, format_slots, generation_prompt, is_large_prompt, detection_prompt
+from metaloom.functions.prompts import format_slots, generation_prompt, is_large_prompt, detection_prompt
 from metaloom.functions.variants import as_array, child, has_key, is_truthy, kind, strict_json, strip
 
 
@@ -375,13 +375,13 @@ def test_slots_are_filled_once(spark):
 
 def test_prompts(spark):
     lit = F.lit
-    long = "y" * (CONTENT_LENGTH + 10)
-    full = detection_prompt("{URL}|{CONTENT_SECTION}|{DATASET_NAME}{GROUP}{DESCRIPTION}", lit("u"), X, lit("n"), lit("g"), lit("d"))
+    long = "y" * 5000
+    full = detection_prompt("{URL}|{CONTENT_SECTION}|{DATASET_NAME}{GROUP}{DESCRIPTION}", lit("u"), X, lit("n"), lit("g"), lit("d"), 3000)
     with_text, without = column(spark, [long, ""], full)
-    assert with_text.count("y") - with_text.replace("y" * CONTENT_LENGTH, "").count("y") == CONTENT_LENGTH
+    assert with_text.count("y") - with_text.replace("y" * 3000, "").count("y") == 3000
     assert "Please analyze the content at this URL: u" in without and without.endswith("|ngd")
     slots = "{DATASET_NAME}{URL}{DESCRIPTION}{GROUP}{CREATOR}{PROVIDER}{PUBLISHER}{KEYWORDS}{SPATIAL_COVERAGE}{EXTRACTED_METADATA}{EXAMPLE_JSONLD}"
-    (made,) = column(spark, ['{"a":1}'], generation_prompt(slots, {"name": lit("n"), "url": lit("u")}, X, lit("{}" * 3000)))
+    (made,) = column(spark, ['{"a":1}'], generation_prompt(slots, {"name": lit("n"), "url": lit("u")}, X, lit("{}" * 3000), 2000))
     assert made == 'nu{{"a":1}}' + "{{}}" * 1000
     assert column(spark, ["x" * 10001, "x" * 10000], is_large_prompt(X)) == [True, False]
 

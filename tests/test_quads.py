@@ -177,9 +177,40 @@ def test_profiles_and_entities(spark):
     )
     ds = S + "Dataset"
     (row,) = quads.entities(df, ds, {"name": S + "name", "url": S + "url"}).collect()
-    assert tuple(row) == ("g", "a", "n1", None)
+    assert tuple(row) == ("g", "a", ["n1", "n2"], [])
     assert {r.value for r in quads.entity_values(df, ds, [S + "name"]).collect()} == {"n1", "n2"}
     assert [tuple(r) for r in quads.follow(df, ds, S + "distribution", S + "contentUrl").collect()] == [("g", "a", "f", "u")]
     assert {r.p: r.n for r in quads.predicate_profile(df).collect()}[S + "name"] == 3
     assert [tuple(r) for r in quads.type_profile(df).collect()] == [(ds, 1)]
     assert quads.union_releases(df, df).count() == 7
+
+
+def ring(marks, size=20):
+    """A ring of unnamed nodes, some of them marked."""
+    rows = [(f"_:{i}", "next", f"_:{(i + 1) % size}", f"_:{(i + 1) % size}", "bnode", "g") for i in range(size)]
+    return rows + [(f"_:{i}", "mark", '"m"', "m", "literal", "g") for i in marks]
+
+
+def test_rings_that_differ_far_away_differ(spark):
+    columns = "s string, p string, o string, value string, kind string, g string"
+    make = lambda marks: spark.createDataFrame(ring(marks), columns)
+    assert quads.compare_releases(make([0, 10]), make([3, 13])).count() == 0
+    assert quads.compare_releases(make([0, 10]), make([0, 9])).count() > 0
+
+
+def test_odd_documents_give_what_they_can(spark):
+    texts = [
+        '{"@graph":null,"name":"n"}', '{"@graph":["s"]}', '{"@id":5,"name":"five"}', '{"@type":{"a":1},"name":"t"}',
+        "[" * 200000, '{"@id":"_:b1","about":{"@id":"_:b2"}}', '{"@id":"u:l","x":{"@list":[1,{"@id":"u:m"}]}}',
+        '{"@id":"u:s","x":{"@set":["a",["b"]]},"y":{"@value":null},"z":1e20}', None, "not json",
+    ]
+    docs = spark.createDataFrame([(f"g{i}", t) for i, t in enumerate(texts)], "g string, raw string")
+    assert sorted(r["g"] for r in quads.rejected_documents(docs).collect()) == ["g4", "g9"]
+    found = quads.quads_of_documents(docs).collect()
+    at = lambda g: {(r.s, r.p.rsplit("/", 1)[-1].rsplit("#", 1)[-1], r.o) for r in found if r.g == g}
+    assert at("g5") == {("_:b1", "about", "_:b2")}
+    assert {p for _, p, _ in at("g6")} == {"x", "first", "rest"} and len(at("g6")) == 5
+    assert {(p, o) for _, p, o in at("g7")} == {
+        ("x", '"a"'), ("x", '"b"'), ("z", '"100000000000000000000"^^<http://www.w3.org/2001/XMLSchema#integer>')
+    }
+    assert len(at("g0")) == len(at("g2")) == len(at("g3")) == 1 and not at("g1")
