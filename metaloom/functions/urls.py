@@ -31,12 +31,12 @@ def _parts(url: Column) -> Column:
     return F.split(F.regexp_replace(url, _PARTS, "$1\u0001$2\u0001$3\u0001$4\u0001$5"), "\u0001", 5)
 
 
-def _drop_dot_segments(path: Column) -> Column:
-    """Resolve `.` and `..` and drop empty inner segments of a merged path."""
+def _drop_dot_segments(path: Column, relative: Column) -> Column:
+    """Resolve `.` and `..`; a path merged from a relative one loses its empty inner segments."""
 
     def walked(pieces: Column) -> Column:
         size = F.size(pieces)
-        kept = F.filter(pieces, lambda piece, i: (piece != "") | (i == 0) | (i == size - 1))
+        kept = F.filter(pieces, lambda piece, i: ~relative | (piece != "") | (i == 0) | (i == size - 1))
         done = F.aggregate(
             kept,
             F.array().cast("array<string>"),
@@ -60,12 +60,13 @@ def _drop_dot_segments(path: Column) -> Column:
 def _merge(base: Column, path: Column) -> Column:
     """A relative path below the folder of the base path."""
     folder = F.regexp_replace(base, "[^/]*$", "")
-    merged = F.when(F.startswith(path, F.lit("/")), path).otherwise(
+    relative = ~F.startswith(path, F.lit("/"))
+    merged = F.when(~relative, path).otherwise(
         F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path)
     )
     return let(
         merged,
-        lambda m: F.when(m.rlike(r"//|(^|/)\.\.?(/|$)"), _drop_dot_segments(m)).otherwise(m),
+        lambda m: F.when(m.rlike(r"//|(^|/)\.\.?(/|$)"), _drop_dot_segments(m, relative)).otherwise(m),
     )
 
 
