@@ -3,7 +3,7 @@
 The pieces are those of a public rank file. A piece's probability starts from its place in the file (Zipf's law) and is
 weighted with its count over all training texts, each word encoded by the ranks. A word is spelled with a blank before
 it, and no piece crosses a blank inside, so a text's lattice falls apart at the words: the forward recursion
-runs over the distinct words of a batch, all words of one length together, in log space.
+runs over the distinct words of a slice of texts, all words of one length together, in log space.
 
 Beside it stands the add-one word model: counts of all training words are summed by word over the cluster. Words of at
 least `FREQUENT` of all tokens, at most 1 / FREQUENT of them, are broadcast; occurrences of all others meet their
@@ -34,35 +34,25 @@ MAX_PIECE = 24
 #: Weight of the vocabulary's own order, in tokens.
 PRIOR = 50_000.0
 #: Distinct words that a training task holds before it passes its counts on.
-HELD_WORDS = 1 << 20
-CELLS = 4 << 20
+HELD_WORDS = 1 << 19
+CELLS = 1 << 20
+#: Texts that are taken apart together: a batch may hold ten thousand, and all arrays over words would be as long.
+SLICE_BYTES = 1 << 20
 MULTIPLIER = np.uint64(0x2545F4914F6CDD1D)
 
 
-class BatchWords:
-    """The distinct words of a batch: hash, count and bytes of each, and which of them every text holds."""
-
-    def __init__(self, column: pa.Array, hasher: Hasher) -> None:
-        table, low = spaced_bytes(), lower_bytes()
-        hashes, starts, ends, counts, data, base = [], [], [], [], [], 0
-        for _, _, texts in slices(column):
-            lower = low[texts.data]
-            words = find_words(Texts(lower, texts.offsets), table)
-            hashes.append(hasher.runs(lower, words.starts, words.ends))
-            starts.append(words.starts + base)
-            ends.append(words.ends + base)
-            counts.append(words.counts())
-            data.append(lower)
-            base += len(lower)
-        self.data = np.concatenate([*data, np.zeros(0, np.uint8)])
-        self.counts = np.concatenate([*counts, np.zeros(0, np.int64)]).astype(np.int64)
-        joined = np.concatenate([*hashes, np.zeros(0, np.uint64)])
+class SliceWords:
+    """The distinct words of some texts: hash, count and bytes of each, and which of them every text holds."""
+
+    def __init__(self, texts: Texts, hasher: Hasher) -> None:
+        self.data = lower_bytes()[texts.data]
+        words = find_words(Texts(self.data, texts.offsets), spaced_bytes())
+        self.counts = words.counts().astype(np.int64)
         self.hash, at, self.place, self.times = np.unique(
-            joined, return_index=True, return_inverse=True, return_counts=True
+            hasher.runs(self.data, words.starts, words.ends), return_index=True, return_inverse=True, return_counts=True
         )
-        self.starts = np.concatenate([*starts, np.zeros(0, np.int64)]).astype(np.int64)[at]
-        self.ends = np.concatenate([*ends, np.zeros(0, np.int64)]).astype(np.int64)[at]
-        self.text_of = np.repeat(np.arange(len(self.counts)), self.counts)
+        self.starts, self.ends = words.starts[at], words.ends[at]
+        self.text_of = words.text_of()
 
 
 class PieceTable:
@@ -135,8 +125,8 @@ def marginal(words: np.ndarray, table: PieceTable) -> np.ndarray:
     return alpha[:, size]
 
 
-def word_logs(words: BatchWords, table: PieceTable) -> np.ndarray:
-    """Natural log of the marginal probability of each distinct word of a batch, with the blank before it."""
+def word_logs(words: SliceWords, table: PieceTable) -> np.ndarray:
+    """Natural log of the marginal probability of each distinct word of a slice, with the blank before it."""
     out = np.zeros(len(words.hash))
     sizes = words.ends - words.starts
     order = np.argsort(sizes, kind="stable")
@@ -173,9 +163,9 @@ def _counted(path: str, pattern: str):
             held[:] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
             return _triples(0, keys.view(np.int64), n)
 
-        for batch in batches:
-            words = BatchWords(batch.column(0), hasher)
-            texts += batch.num_rows
+        for low, high, slice_texts in (s for batch in batches for s in slices(batch.column(0), SLICE_BYTES)):
+            words = SliceWords(slice_texts, hasher)
+            texts += high - low
             held.append((words.hash, words.times))
             raw = words.data.tobytes()
             ids, weights = [], []
@@ -219,9 +209,9 @@ def _scored(frequent, model, n_end: int):
         keys, counts = frequent.value
         pieces, logs, end = model.value
         table = PieceTable(pieces, logs)
-        for batch in batches:
-            words = BatchWords(batch.column("text"), hasher)
-            n = batch.num_rows
+
+        def scored_slice(ids: pa.Array, words: SliceWords) -> pa.RecordBatch:
+            n = len(ids)
             spelled = np.bincount(words.text_of, word_logs(words, table)[words.place], n) + end
             known = np.zeros(len(words.hash), bool)
             gain = np.zeros(len(words.hash))
@@ -238,9 +228,9 @@ def _scored(frequent, model, n_end: int):
             owner, word = pairs // max(1, len(words.hash)), pairs % max(1, len(words.hash))
             offsets = pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32())
             hashes = words.hash[word].view(np.int64) if len(word) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id"),
+                    ids,
                     pa.array(words.counts + 1),
                     pa.array(n_known.astype(np.int64)),
                     pa.array(base),
@@ -251,6 +241,10 @@ def _scored(frequent, model, n_end: int):
                 ["id", "n_tokens", "n_known", "base", "score", "rare", "times"],
             )
 
+        for batch in batches:
+            for low, high, texts in slices(batch.column("text"), SLICE_BYTES):
+                yield scored_slice(batch.column("id").slice(low, high - low), SliceWords(texts, hasher))
+
     return rows
 
 
