@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from metaloom.functions.bind import let
@@ -112,3 +114,11 @@ def catalogue_source_url(url: Column) -> Column:
 def catalogue_browser_url(url: Column, browser: str) -> Column:
     """The browser form of a catalogue document's URL; `browser` is the browser's own address."""
     return F.regexp_replace(url, "^https?://", browser.rstrip("/") + "#/external/")
+
+
+def address_below(path: Column, root: str, base: str) -> Column:
+    """The address below `base` of a file below `root`, escaped as addresses are."""
+    folder = re.sub("^file:/*", "/", root.rstrip("/"))
+    below = F.regexp_replace(F.regexp_replace(path, "^file:/*", "/"), f"^\\Q{folder}\\E/", "")
+    escaped = F.replace(F.replace(F.url_encode(below), F.lit("%2F"), F.lit("/")), F.lit("+"), F.lit("%20"))
+    return F.concat(F.lit(base.rstrip("/") + "/"), escaped)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from metaloom.functions import terms
 from metaloom.functions.bind import once
 from metaloom.functions.text import sitemap_time
+from metaloom.functions.urls import address_below
 from metaloom.functions.variants import strict_json
 
 # Header names of a registry file and the column names used here.
@@ -27,19 +31,41 @@ REGISTRY_COLUMNS = {
 }
 
 
+def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files of a registry by their first line; the names of the files are all that reaches the driver."""
+    lines = spark.read.text(path).filter("_metadata.file_block_start = 0")
+    placed = lines.select(file_path().alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+    heads = placed.groupBy("file").agg(F.min_by("value", "at").alias("head"))
+    groups: dict[str, list[str]] = {}
+    for file, head in heads.orderBy("file").collect():
+        groups.setdefault(head, []).append(file)
+    return groups
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, empty where the file has no value; columns may stand in any order.
 
-    A folder of files may hold differing headers, so the names are taken from the first file and columns
-    that are absent come back empty.
+    Files of a folder may differ in their headers: those of one header are read together, by its names, and columns
+    that are absent come back empty. `row_id` grows by file name, then by place in the file. A header is one line.
     """
+    groups = _files_by_header(spark, path)
+    if not groups:
+        names = [f"{name} string" for name in REGISTRY_COLUMNS.values()]
+        return spark.createDataFrame([], ", ".join([*names, "row_id long"]))
+    order = F.lit(sorted(f for files in groups.values() for f in files))
+    parts = [_read_registry_files(spark, files, order) for files in groups.values()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _read_registry_files(spark: SparkSession, files: list[str], order: Column) -> DataFrame:
+    """Files with one header. A file of a multi-line format is read by one task, so its rows are numbered in order."""
     raw = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
-        .csv(path)
+        .csv([re.sub(r"([\[\]{}*?\\])", r"\\\1", f) for f in files])
     )
     columns = [
         F.coalesce(F.col(f"`{given}`"), F.lit("")).alias(name)
@@ -47,7 +73,9 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
         else F.lit("").alias(name)
         for given, name in REGISTRY_COLUMNS.items()
     ]
-    return raw.select(*columns, F.monotonically_increasing_id().alias("row_id"))
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    row_id = F.shiftleft(F.array_position(order, file_path()).cast("long"), 33) + in_task
+    return raw.select(*columns, row_id.alias("row_id"))
 
 
 def file_path() -> Column:
@@ -133,16 +161,14 @@ def read_sitemap_index(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("is_page", F.col("loc").rlike("/blob/"))
 
 
-def expand_sitemap_index(index: DataFrame, entries: DataFrame) -> DataFrame:
-    """Entries of the child sitemaps under an index, matched on the child's file name and folder."""
+def expand_sitemap_index(index: DataFrame, entries: DataFrame, root: str, base: str) -> DataFrame:
+    """Entries of the child sitemaps under an index.
 
-    def tail(c: str) -> Column:
-        return F.concat_ws("/", F.slice(F.split(F.col(c), "/"), -2, 2))
-
-    children = index.select(F.col("loc").alias("child_loc"), tail("loc").alias("_tail")).distinct()
-    return (
-        entries.withColumn("_tail", tail("source_file")).join(children, "_tail", "inner").drop("_tail")
-    )
+    A child is known by its whole address: files below `root` have the addresses below `base`.
+    """
+    children = index.select(F.col("loc").alias("child_loc")).distinct()
+    address = address_below(F.col("source_file"), root, base)
+    return entries.withColumn("_address", address).join(children, F.col("_address") == F.col("child_loc")).drop("_address")
 
 
 def read_quads(spark: SparkSession, path: str) -> DataFrame:

@@ -9,10 +9,11 @@ from urllib.parse import urlparse
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from metaloom.functions import terms
 from metaloom.functions.text import file_name, folder_name
+from metaloom.functions.urls import address_below
 from metaloom.shipping import ship_by_value
 
 ship_by_value(__name__)
@@ -94,19 +95,14 @@ def publish_files(docs: DataFrame, root: str) -> DataFrame:
 
 def sitemap_of_documents(documents: DataFrame, root: str, base: str) -> DataFrame:
     """loc and lastmod of every scanned document: the base address and the path below `root`."""
-    below = F.regexp_replace(
-        F.regexp_replace(F.col("path"), "^file:/*", "/"), "^" + _quoted(root.rstrip("/")) + "/", ""
-    )
-    escaped = F.replace(F.replace(F.url_encode(below), F.lit("%2F"), F.lit("/")), F.lit("+"), F.lit("%20"))
-    in_utc = F.to_utc_timestamp("modified", F.current_timezone())
     return documents.select(
-        F.concat(F.lit(base.rstrip("/") + "/"), escaped).alias("loc"),
-        F.date_format(in_utc, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("lastmod"),
+        address_below(F.col("path"), root, base).alias("loc"), _utc_text(F.col("modified")).alias("lastmod")
     )
 
 
-def _quoted(text: str) -> str:
-    return "\\Q" + text + "\\E"
+def _utc_text(time: Column) -> Column:
+    in_utc = F.to_utc_timestamp(time, F.current_timezone())
+    return F.date_format(in_utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def write_sitemap(entries: DataFrame, folder: str) -> None:
@@ -127,6 +123,27 @@ def write_sitemap(entries: DataFrame, folder: str) -> None:
     )
 
 
+def write_sitemap_index(spark: SparkSession, folder: str, base: str, target: str) -> None:
+    """An index over the sitemap files of `folder`, which are served below `base`.
+
+    One entry per 50,000 addresses, so the index is one small file.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(folder)
+    (
+        files.select(
+            address_below(F.col("path"), folder, base).alias("loc"), _utc_text(F.col("modificationTime")).alias("lastmod")
+        )
+        .coalesce(1)
+        .write.mode("overwrite")
+        .format("xml")
+        .option("rootTag", f'sitemapindex xmlns="{SITEMAP_NAMESPACE}"')
+        .option("rowTag", "sitemap")
+        .option("declaration", 'version="1.0" encoding="UTF-8"')
+        .option("maxRecordsPerFile", 50000)
+        .save(target)
+    )
+
+
 def quad_line(s: str = "s", p: str = "p", o: str = "o", g: str = "g") -> Column:
     """One N-Quads line from columns; `o` is a term as written."""
 

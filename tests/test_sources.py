@@ -67,7 +67,8 @@ def test_sitemaps(spark, tmp_path):
     assert got == {"https://a/1": ("2024-01-02", None), "https://a/2?x=1&y=2": (None, None), "https://b/?x=1&y=2": (None, "0.8")}
     index = readers.read_sitemap_index(spark, str(tmp_path / "index.xml"))
     assert {r["loc"]: r.is_page for r in index.collect()} == {"https://h/maps/one.xml": False, "https://h/blob/x.xml": True}
-    assert readers.expand_sitemap_index(index, entries).count() == 2
+    assert readers.expand_sitemap_index(index, entries, str(tmp_path), "https://h").count() == 2
+    assert readers.expand_sitemap_index(index, entries, str(tmp_path), "https://other").count() == 0
 
 
 def test_sitemap_round_trip(spark, tmp_path):
