@@ -102,14 +102,16 @@ class Scanner:
         hits = []
         for k, low, high in self.windows(text):
             notice, label = self.notices[k]
-            at = low
-            while at < high:
-                match = self.patterns[k].search(text, at, min(high, len(text)))
-                if not match or match.end() <= at:
-                    break
+            # The best match of a window comes first; what lies on both sides of it is searched in turn.
+            open_parts = [(low, min(high, len(text)))]
+            while open_parts:
+                begin, end = open_parts.pop()
+                match = self.patterns[k].search(text, begin, end)
+                if not match or match.end() <= match.start():
+                    continue
                 edits = sum(match.fuzzy_counts)
                 hits.append((match.start(), match.end(), label, edits, 1 - edits / len(notice)))
-                at = match.end()
+                open_parts += [(begin, match.start()), (match.end(), end)]
         hits = sorted(set(hits), key=lambda h: (h[3], h[0], h[1], h[2]))
         kept: list = []
         for h in hits:

@@ -289,6 +289,15 @@ def test_signature_equals_the_plain_algorithm():
 # ---- 6: licenses ---------------------------------------------------------------------------------------------------
 
 
+def test_license_notice_beside_a_better_match():
+    """A worse match next to an exact one is a span of its own."""
+    scanner = licenses.Scanner(licenses.NOTICES)
+    text = "all rihgts reserved all rights reserved all right reserved"
+    assert [s[:2] for s in scanner.spans(text)] == [(20, 39), (40, 58)]
+    text = "all rigts reserved all rights reserved"
+    assert [(s[0], s[1], s[3]) for s in scanner.spans(text)] == [(0, 18, 1), (19, 38, 0)]
+
+
 def test_license_phrases_and_fuzzy_notices(spark, none):
     texts = {
         1: "Under the MIT\nLicense; see mit-license, not mitlicense. Apache License.",
