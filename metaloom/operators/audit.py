@@ -135,11 +135,13 @@ def _variable_warnings(item: Column, i: Column) -> Column:
 def with_sets(features: DataFrame, sets: DataFrame, key: str, set_key: str) -> DataFrame:
     """Document features next to the code and link sets of their source page; an unknown page has none.
 
-    One join on a unique page key. Adds lacking (codes of the page that the document does not list) and hrefs.
+    One join on a unique page key. Adds lacking (codes of the page that the document does not list) and hrefs,
+    and n_shown, the citations of the page, if the sets have it.
     """
     empty = F.array().cast("array<string>")
+    shown = ["n_shown"] if "n_shown" in sets.columns else []
     pages = sets.select(
-        F.col(set_key).alias("_page"), F.col("codes").alias("_codes"), F.col("hrefs").alias("_hrefs")
+        F.col(set_key).alias("_page"), F.col("codes").alias("_codes"), F.col("hrefs").alias("_hrefs"), *shown
     )
     joined = features.join(shuffled(pages), F.col(key) == F.col("_page"), "left")
     return once(
@@ -276,21 +278,24 @@ def check_contract(
     return parsed.select(key, F.inline(rows))
 
 
-def check_plan(featured: DataFrame, citation_counts: DataFrame, key: str = "doc_id") -> DataFrame:
+def check_plan(
+    featured: DataFrame, citation_counts: DataFrame | None = None, key: str = "doc_id"
+) -> DataFrame:
     """Source fidelity: all listed variables, all citations, an exact data link: key, rule, ok.
 
-    `citation_counts` has the key and `n_citations`, the citations shown by the source page.
+    The citations that a source page shows are `n_shown` of `featured`, as `with_sets` adds it when they were read with
+    the sets, or else `n_citations` of `citation_counts`, which has the key.
     """
-    shown = citation_counts.select(F.col(key).alias("_page"), F.col("n_citations").alias("_shown"))
-    joined = featured.filter("is_object").join(
-        shuffled(shown), F.col(key) == F.col("_page"), "left"
-    )
+    rows = featured.filter("is_object")
+    if citation_counts is not None:
+        shown = citation_counts.select(F.col(key).alias("_page"), F.col("n_citations").alias("n_shown"))
+        rows = rows.drop("n_shown").join(shuffled(shown), F.col(key) == F.col("_page"), "left")
     rules = {
         "variables": F.size("lacking") == 0,
-        "citations": F.col("n_citations") >= F.coalesce("_shown", F.lit(0)),
+        "citations": F.col("n_citations") >= F.coalesce("n_shown", F.lit(0)),
         "download": (F.size("hrefs") == 0) | F.arrays_overlap("urls", "hrefs"),
     }
-    rows = F.array(
+    found = F.array(
         *[F.struct(F.lit(n).alias("rule"), rule.alias("ok")) for n, rule in rules.items()]
     )
-    return joined.select(key, F.inline(rows))
+    return rows.select(key, F.inline(found))

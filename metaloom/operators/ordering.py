@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-MOST_BUCKETS = 4096
+from metaloom.session import cut_lineage
+
+#: `monotonically_increasing_id` holds the place of a row inside its partition in so many low bits.
+PLACE_BITS = 33
 
 
 def with_sequence(
@@ -14,40 +17,27 @@ def with_sequence(
     total: str | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Number all rows from 1 in the order of a unique numeric column, and add the row count.
+    """Number all rows from 1 in the order of a unique column, and add the row count.
 
-    The order column is cut at its own quantiles, which spreads the rows evenly whatever their distribution.
-    A row's number is its rank inside its bucket plus the rows of all lower buckets. Only the cut points and
-    one count per bucket leave the tasks: at most `buckets` of each, by default a few per shuffle partition.
+    Rows are dealt by ranges of the column, which a sample of it makes even, sorted inside their partition (spilling
+    if need be) and written once with partition and place. A row's number is its place plus the rows of all earlier
+    partitions. Only one count per partition meets in one task. `buckets` is the number of ranges, by default that of
+    shuffle partitions.
     """
-    if buckets is None:
-        parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = min(max(4 * parallel, 16), MOST_BUCKETS)
-    cuts = df.agg(
-        F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10000)
-    ).head()[0]
-    points = sorted(set(cuts or []))
-    marks = F.array(*[F.lit(p) for p in points]).cast("array<double>") if points else F.array()
-    value = F.col(order).cast("double")
-    bucket = (
-        F.size(F.filter(marks, lambda m: m < value)) if points else F.lit(0)
-    )
-    placed = df.withColumn("_bucket", bucket)
+    ranged = df.repartitionByRange(*([buckets] if buckets else []), order).sortWithinPartitions(order)
+    place = F.monotonically_increasing_id().bitwiseAND((1 << PLACE_BITS) - 1)
+    placed = cut_lineage(ranged.withColumn("_bucket", F.spark_partition_id()).withColumn("_place", place))
     counts = placed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    # One row per bucket: a window over the whole of it is bounded by `buckets` rows.
+    # One row per partition: a window over all of them is bounded by their number.
     below = counts.select(
         "_bucket",
         (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_below"),
         F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_total"),
     )
-    ranked = placed.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy(order))
-    )
-    joined = ranked.join(F.broadcast(below), "_bucket")
-    out = joined.withColumn(name, F.col("_rank") + F.col("_below"))
+    out = placed.join(F.broadcast(below), "_bucket").withColumn(name, F.col("_place") + F.col("_below") + 1)
     if total:
         out = out.withColumn(total, F.col("_total"))
-    return out.drop("_bucket", "_rank", "_below", "_total")
+    return out.drop("_bucket", "_place", "_below", "_total")
 
 
 def first_rows(df: DataFrame, order: str, n: int) -> DataFrame:

@@ -231,9 +231,11 @@ def fact_counts(facts: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def source_sets(facts: DataFrame, key: str = "page_id") -> DataFrame:
-    """Per page: the set of lower-case variable codes and the set of data links."""
+    """Per page: the set of lower-case variable codes, the set of data links, and the citations, if read."""
+    cited = [F.size("cited").alias("n_shown")] if "cited" in facts.columns else []
     return facts.select(
         key,
+        *cited,
         F.transform("variables", lambda v: F.lower(v["code"])).alias("codes"),
         F.array_distinct(F.transform("links", lambda a: a["href"])).alias("hrefs"),
     )

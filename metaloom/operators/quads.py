@@ -313,7 +313,13 @@ def entity_values(quads: DataFrame, type_iri: str, predicates: list[str]) -> Dat
 
 
 def follow(quads: DataFrame, type_iri: str, first: str, second: str) -> DataFrame:
-    """Two steps from entities of a type: g, s, middle, value (`s first middle`, `middle second value`)."""
+    """Two steps from entities of a type: g, s, middle, value (`s first middle`, `middle second value`).
+
+    The quads that the pattern names are written once; the joins read those, so that no line is parsed again.
+    """
+    is_type = (F.col("p") == terms.RDF_TYPE) & (F.col("value") == type_iri)
+    named = quads.filter(is_type | F.col("p").isin(first, second))
+    quads = cut_lineage(named.select("g", "s", "p", "value"))
     steps = entity_values(quads, type_iri, [first]).select(
         "g", "s", F.col("value").alias("middle")
     )

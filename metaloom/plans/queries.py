@@ -24,6 +24,7 @@ from metaloom.operators import (
     validation,
 )
 from metaloom.plans.fixtures import fixture, table
+from metaloom.session import cut_lineage
 from metaloom.sources.readers import parse_quads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -383,9 +384,9 @@ def audit_names(spark, sf):
     return audit.variable_names(fixture(spark, sf, "docs")).select("doc_id", _long("idx"), "name")
 
 
-def _with_sets(spark: SparkSession, sf: str) -> DataFrame:
+def _with_sets(spark: SparkSession, sf: str, *more: str) -> DataFrame:
     features = audit.document_features(fixture(spark, sf, "docs"))
-    sets = pages.source_sets(_facts(spark, sf, "links", "variables"))
+    sets = pages.source_sets(_facts(spark, sf, "links", "variables", *more))
     return audit.with_sets(features, sets, "doc_id", "page_id")
 
 
@@ -413,10 +414,7 @@ def contract_rules(spark, sf):
 
 @query
 def plan_rules(spark, sf):
-    cited = _facts(spark, sf, "cited").select(
-        F.col("page_id").alias("doc_id"), F.size("cited").alias("n_citations")
-    )
-    return audit.check_plan(_with_sets(spark, sf), cited)
+    return audit.check_plan(_with_sets(spark, sf, "cited"))
 
 
 @query
@@ -506,8 +504,9 @@ def parent_links(spark, sf):
 @query
 def catalog_walk(spark, sf):
     edges = catalog.catalogue_edges(_catalogues(spark, sf), ("hasPart",))
-    by_url = edges.select(
-        F.replace("parent_id", F.lit("/cat/"), F.lit("/c/")).alias("parent_id"), "child_id"
+    # Roots and walk both read the edges: the documents are parsed once.
+    by_url = cut_lineage(
+        edges.select(F.replace("parent_id", F.lit("/cat/"), F.lit("/c/")).alias("parent_id"), "child_id")
     )
     roots = by_url.agg(F.min("parent_id").alias("url"))
     return crawl.catalogue_walk(by_url, roots).select("url", _long("depth"), "leaf")

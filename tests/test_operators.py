@@ -62,6 +62,20 @@ def test_sequence_sorts_in_many_tasks(spark):
     assert "hashpartitioning(_bucket" in plan
 
 
+def test_sequence_of_texts_and_few_rows(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",)], "k string")
+    got = with_sequence(df, "k", "seq", "total", buckets=16).orderBy("k").collect()
+    assert [tuple(r) for r in got] == [("a", 1, 3), ("b", 2, 3), ("c", 3, 3)]
+
+
+def test_sequence_leaves_rows_in_their_ranges(spark):
+    rows = with_sequence(spark.range(1000).repartition(3), "id", buckets=8)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id" not in plan and "SortMergeJoin" not in plan
+    spread = rows.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(spread) > 1 and max(r["count"] for r in spread) < 500
+
+
 # ---- replies ---------------------------------------------------------------------------------------
 
 
@@ -256,7 +270,11 @@ def test_plan_rules_and_defaults(spark):
     doc = {"variableMeasured": [{"name": "n", "alternateName": "A"}], "citation": [{}], "distribution": [{"contentUrl": "u"}]}
     featured = audit.with_sets(audit.document_features(docs(spark, doc)), sets, "doc_id", "page_id")
     shown = spark.createDataFrame([(0, 2)], "doc_id int, n_citations int")
-    assert {r.rule: r.ok for r in audit.check_plan(featured, shown).collect()} == {"variables": True, "citations": False, "download": True}
+    wanted = {"variables": True, "citations": False, "download": True}
+    assert {r.rule: r.ok for r in audit.check_plan(featured, shown).collect()} == wanted
+    counted = sets.withColumn("n_shown", F.lit(9))
+    again = audit.with_sets(audit.document_features(docs(spark, doc)), counted, "doc_id", "page_id")
+    assert {r.rule: r.ok for r in audit.check_plan(again).collect()} == wanted
     (cover,) = audit.variable_coverage(docs(spark, doc)).collect()
     assert (cover.temporal, cover.spatial) == ("Static", "not detected")
 
