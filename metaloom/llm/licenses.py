@@ -42,6 +42,8 @@ NOTICES = [
 ]
 #: One edit per so many characters of a notice, one at least.
 CHARS_PER_EDIT = 12
+#: Spans are compared with those in the same blocks of so many characters.
+BLOCK_CHARS = 128
 
 
 def edits_of(notice: str) -> int:
@@ -76,48 +78,41 @@ class Scanner:
         self.automaton.make_automaton()
 
     def windows(self, text: str) -> list[tuple[int, int, int]]:
-        """(notice, begin, end) of the places that can hold a notice; those that overlap are one."""
-        found: dict[int, list[tuple[int, int]]] = {}
+        """(notice, begin, end) of the places that can hold a notice: one around each seed, each once."""
+        found = set()
         for last, (size, owners) in self.automaton.iter(text):
             for k, at in owners:
                 notice = self.notices[k][0]
                 begin = last - size + 1 - at
                 spare = edits_of(notice)
-                found.setdefault(k, []).append((begin - spare, begin + len(notice) + spare))
-        out = []
-        for k, spans in found.items():
-            spans.sort()
-            low, high = spans[0]
-            for begin, end in spans[1:]:
-                if begin <= high:
-                    high = max(high, end)
-                else:
-                    out.append((k, max(0, low), high))
-                    low, high = begin, end
-            out.append((k, max(0, low), high))
-        return out
+                found.add((k, max(0, begin - spare), min(begin + len(notice) + spare, len(text))))
+        return sorted(found)
 
     def spans(self, text: str) -> list[tuple[int, int, str, int, float]]:
         """(start, end, label, edits, score) by start; what overlaps is settled by fewest edits."""
-        hits = []
+        hits = set()
         for k, low, high in self.windows(text):
             notice, label = self.notices[k]
             # The best match of a window comes first; what lies on both sides of it is searched in turn.
-            open_parts = [(low, min(high, len(text)))]
+            open_parts = [(low, high)]
             while open_parts:
                 begin, end = open_parts.pop()
                 match = self.patterns[k].search(text, begin, end)
                 if not match or match.end() <= match.start():
                     continue
                 edits = sum(match.fuzzy_counts)
-                hits.append((match.start(), match.end(), label, edits, 1 - edits / len(notice)))
+                hits.add((match.start(), match.end(), label, edits, 1 - edits / len(notice)))
                 open_parts += [(begin, match.start()), (match.end(), end)]
-        hits = sorted(set(hits), key=lambda h: (h[3], h[0], h[1], h[2]))
         kept: list = []
-        for h in hits:
-            rivals = [x for x in kept if x[0] < h[1] and h[0] < x[1]]
+        # Spans that stay, by each block of characters that they reach into: rivals share a block.
+        near: dict[int, list] = {}
+        for h in sorted(hits, key=lambda h: (h[3], h[0], h[1], h[2])):
+            blocks = range(h[0] // BLOCK_CHARS, (h[1] - 1) // BLOCK_CHARS + 1)
+            rivals = [x for b in blocks for x in near.get(b, ()) if x[0] < h[1] and h[0] < x[1]]
             if all(x[3] == h[3] and x[2] != h[2] for x in rivals):
                 kept.append(h)
+                for b in blocks:
+                    near.setdefault(b, []).append(h)
         return sorted(kept)
 
 

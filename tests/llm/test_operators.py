@@ -298,6 +298,17 @@ def test_license_notice_beside_a_better_match():
     assert [(s[0], s[1], s[3]) for s in scanner.spans(text)] == [(0, 18, 1), (19, 38, 0)]
 
 
+def test_license_notices_in_long_runs():
+    scanner = licenses.Scanner(licenses.NOTICES)
+    near, exact = "released undr the mit license", "released under the mit license"
+    text = " and ".join([near, exact] * 1000)
+    spans = scanner.spans(text)
+    assert [text[s:e] for s, e, *_ in spans] == [near, exact] * 1000
+    assert [n for *_, n, _ in spans] == [1, 0] * 1000
+    # No window is longer than a notice with its edits, however many stand side by side.
+    assert max(e - b for _, b, e in scanner.windows(text)) <= 2 * max(len(n) for n, _ in licenses.NOTICES)
+
+
 def test_license_phrases_and_fuzzy_notices(spark, none):
     texts = {
         1: "Under the MIT\nLicense; see mit-license, not mitlicense. Apache License.",
