@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metaloom.llm import bytebpe, decontam, language, lattice, licenses, neardup, quality, rules, secretscan, tokens
+from metaloom.llm import (
+    bytebpe,
+    decontam,
+    language,
+    lattice,
+    licenses,
+    neardup,
+    quality,
+    repeats,
+    rules,
+    secretscan,
+    tokens,
+    turns,
+    variants,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,6 +95,21 @@ def op10_byte_bpe(spark, sf):
     return bytebpe.encode_digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+@query
+def op11_spelling_variants(spark, sf):
+    return variants.spelling_variants(_table(spark, sf, "documents"), every=199)
+
+
+@query
+def op12_suffix_dedup(spark, sf):
+    return repeats.kept_digests(_table(spark, sf, "documents"))
+
+
+@query
+def op13_conversation_repair(spark, sf):
+    return turns.repair_digests(turns.damaged(_table(spark, sf, "conversations")))
+
+
 #: Windows of test items over documents, and what they hit. Only A to Z are lower-cased.
 ORACLES["op8_decontamination"] = r"""
 WITH words AS (
