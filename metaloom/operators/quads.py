@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from metaloom.functions import terms
 from metaloom.functions.bind import shuffled
-from metaloom.session import cut_and_measure, cut_lineage
+from metaloom.operators import labelling
+from metaloom.operators.components import components
+from metaloom.session import cut_lineage, written, written_and_measured
 from metaloom.shipping import ship_by_value
 
 ship_by_value(__name__)
@@ -19,6 +21,8 @@ ship_by_value(__name__)
 VOCABULARY = "https://schema.org/"
 GENID_MARK = "/genid/"
 DEFAULT_GENID_BASE = "urn:genid/genid/"
+#: Levels of unnamed nodes that are folded by joins before components are looked for.
+FOLDS = 6
 
 
 # ---- documents to quads ----------------------------------------------------------------------------
@@ -342,72 +346,148 @@ def _sums(*parts: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("_n"), F.sum(one).alias("_a"), F.sum(two).alias("_b")]
 
 
+def _node_ids(keys: tuple[str, ...], node: Column) -> Column:
+    """One text for a node of a graph: the components of different graphs never meet."""
+    return F.sha1(F.to_json(F.struct(*[F.col(k).cast("string") for k in keys], node.alias("_node"))))
+
+
+def _by_component(nodes: DataFrame, links: DataFrame, label: Callable) -> DataFrame:
+    """`label(colours, links)` over each connected component: `id` and the columns that `label` gives.
+
+    `nodes` has id and colour, `links` has id, p and to. A component is held by one task, as text per node
+    and numbers per link; nodes outside all links are left out.
+    """
+    roots = components(links.select(F.col("id").alias("a"), F.col("to").alias("b")))
+    roots = written(roots.select(F.col("node").alias("id"), "root"))
+    onward = links.groupBy("id").agg(F.collect_list(F.struct("p", "to")).alias("links"))
+    whole = roots.join(shuffled(nodes), "id").join(shuffled(onward), "id", "left")
+
+    def of_component(table: pa.Table) -> pa.Table:
+        ids = table.column("id").to_pylist()
+        number = {name: i for i, name in enumerate(ids)}
+        inner = [
+            (i, link["p"], number[link["to"]])
+            for i, found in enumerate(table.column("links").to_pylist())
+            for link in found or []
+        ]
+        hashes, rings = label(table.column("colour").to_pylist(), inner)
+        return pa.table({"id": ids, "hash": pa.array(hashes, pa.string()), "ring": pa.array(rings, pa.bool_())})
+
+    parts = whole.select("root", "id", "colour", "links").groupBy("root")
+    return parts.applyInArrow(of_component, "id string, hash string, ring boolean")
+
+
 def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
-    """keys, node, hash for every unnamed subject: equal for nodes with equal properties all the way down.
+    """keys, node, hash, ring for every unnamed node: equal hashes for nodes with equal properties all the way down.
 
-    `keys` name the graph a node belongs to. Each round folds the hashes of unnamed children into their parents,
-    until every node rests on settled ones. Unnamed nodes on a cycle never settle; their hashes are refined until a
-    round tells no further nodes apart, so nodes are equal only if nothing at any distance differs.
-    Properties are summed as hashes, never collected, so a node with very many properties stays a partial
-    aggregate.
+    `keys` name the graph a node belongs to. Properties are summed as hashes, never collected, so a node with very
+    many properties stays a partial aggregate. A few rounds fold the hashes of unnamed children into their parents;
+    that settles what is at most `FOLDS` levels above the last one. Nodes on rings, above them, or on longer chains are
+    settled by connected components, which take as many rounds as the logarithm of their size: inside one, children come
+    before parents, and a ring with all between its nodes counts as a whole (`ring`).
     """
     at = [*keys, "node"]
+    inner_node = (F.col("kind") != "literal") & is_anonymous(F.col("value"))
     own = quads.filter(is_anonymous(F.col("s"))).select(
-        *keys,
-        F.col("s").alias("node"),
-        "p",
-        "o",
-        ((F.col("kind") != "literal") & is_anonymous(F.col("value"))).alias("_inner"),
-        "value",
+        *keys, F.col("s").alias("node"), "p", "o", inner_node.alias("_inner"), "value"
     )
     outer = F.when(~F.col("_inner"), F.col("o")).otherwise(F.lit("(node)"))
     unsettled = F.count_if(~F.col("settled"))
-    base, seen = cut_and_measure(
-        own.groupBy(*at)
-        .agg(*_sums(F.col("p"), outer), (F.count_if("_inner") == 0).alias("settled"))
-        .select(*at, F.concat_ws("|", "_n", "_a", "_b").alias("base"), "settled")
-        .withColumn("hash", F.sha1("base")),
+    subjects = own.groupBy(*at).agg(*_sums(F.col("p"), outer), (F.count_if("_inner") == 0).alias("settled"))
+    # Unnamed nodes that say nothing of themselves are nodes too.
+    mute = quads.filter(inner_node).select(*keys, F.col("value").alias("node")).distinct()
+    mute = mute.withColumns({"_n": F.lit(0).cast("long"), "_a": F.lit(0).cast("decimal(30,0)"), "_b": F.lit(0).cast("decimal(30,0)"), "settled": F.lit(True)})
+    all_nodes = subjects.unionByName(mute).groupBy(*at).agg(F.sum("_n").alias("_n"), F.sum("_a").alias("_a"), F.sum("_b").alias("_b"), F.bool_and("settled").alias("settled"))
+    current, seen = written_and_measured(
+        all_nodes.select(*at, F.concat_ws("|", "_n", "_a", "_b").alias("base"), "settled").withColumn("hash", F.sha1("base")),
         unsettled=unsettled,
     )
+    never = F.lit(False).alias("ring")
     if not seen["unsettled"]:
-        return base.select(*at, "hash")
-    links = cut_lineage(own.filter("_inner").select(*at, "p", F.col("value").alias("inner")))
-    current = base
-    last, kinds = None, (seen["unsettled"], -1)
-    while seen["unsettled"] and kinds != last:
-        last = kinds
-        inner = current.select(
-            *keys,
-            F.col("node").alias("inner"),
-            F.col("hash").alias("_hash"),
-            F.col("settled").alias("_settled"),
-        )
+        return current.select(*at, "hash", never)
+    links = written(own.filter("_inner").select(*at, "p", F.col("value").alias("inner")))
+    for _ in range(FOLDS):
+        inner = current.select(*keys, F.col("node").alias("inner"), F.col("hash").alias("_hash"), F.col("settled").alias("_settled"))
         folded = (
-            links.join(shuffled(inner), [*keys, "inner"], "left")
+            links.join(shuffled(current.filter("not settled").select(*at)), at, "left_semi")
+            .join(shuffled(inner), [*keys, "inner"])
             .groupBy(*at)
             .agg(
-                *_sums(F.col("p"), F.coalesce("_hash", F.lit("(none)"))),
-                F.bool_and(F.coalesce("_settled", F.lit(True))).alias("_ready"),
+                *_sums(F.col("p"), F.when(F.col("_settled"), F.col("_hash")).otherwise(F.lit("(node)"))),
+                F.bool_and("_settled").alias("_ready"),
             )
             .select(*at, F.concat_ws("|", "_n", "_a", "_b").alias("_folded"), "_ready")
         )
-        current, seen = cut_and_measure(
-            base.select(*at, "base")
-            .join(shuffled(folded), at, "left")
-            .select(
+        current, seen = written_and_measured(
+            current.join(shuffled(folded), at, "left").select(
                 *at,
-                F.sha1(F.concat_ws("/", "base", F.coalesce("_folded", F.lit("")))).alias("hash"),
-                F.coalesce("_ready", F.lit(True)).alias("settled"),
+                "base",
+                F.when(F.col("settled"), F.col("hash")).otherwise(F.sha1(F.concat_ws("/", "base", "_folded"))).alias("hash"),
+                F.coalesce("_ready", F.col("settled")).alias("settled"),
             ),
             unsettled=unsettled,
         )
-        kinds = (seen["unsettled"], current.select("hash").distinct().count())
-    return current.select(*at, "hash")
+        if not seen["unsettled"]:
+            return current.select(*at, "hash", never)
+    # What is left already holds all that it says of settled nodes; the links among the rest decide.
+    rest = written(current.filter("not settled").select(*at, _node_ids(keys, F.col("node")).alias("id"), F.col("hash").alias("colour")))
+    ends = rest.select(*keys, F.col("node").alias("inner"), F.col("id").alias("to"))
+    among = links.join(shuffled(rest.select(*at, "id")), at).join(shuffled(ends), [*keys, "inner"]).select("id", "p", "to")
+    found = _by_component(rest.select("id", "colour"), written(among), labelling.settled)
+    named = rest.select(*at, "id").join(shuffled(found), "id").select(*at, "hash", "ring")
+    return written(current.filter("settled").select(*at, "hash", never).unionByName(named))
+
+
+def node_labels(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
+    """keys, node, hash: labels that are equal in two graphs exactly for nodes that correspond to each other.
+
+    What a node leads to tells it, as long as only one node has that hash, or as its equals each hang below one
+    place and off any ring: such trees are interchangeable. Equal nodes that are reached from several places, or lie on
+    rings, are not. Those, and the equal nodes linked with them, are labelled by connected components, with all that leads to
+    them from outside: components of equal form get equal labels (`labelling.labels`).
+    """
+    at = [*keys, "node"]
+    hashes = node_hashes(quads, keys)
+    inner_node = (F.col("kind") != "literal") & is_anonymous(F.col("value"))
+    times = quads.filter(inner_node).groupBy(*keys, F.col("value").alias("node")).agg(F.count(F.lit(1)).alias("_in"))
+    twins = written(hashes.groupBy(*keys, "hash").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select(*keys, "hash"))
+    equal = hashes.join(shuffled(twins), [*keys, "hash"]).join(shuffled(times), at, "left")
+    tangled = F.col("ring") | (F.coalesce("_in", F.lit(0)) > 1)
+    equal, seen = written_and_measured(
+        equal.select(*at, "hash", _node_ids(keys, F.col("node")).alias("id"), tangled.alias("tangled")), tangled=F.count_if("tangled")
+    )
+    if not seen["tangled"]:
+        return hashes.select(*at, "hash")
+    ends = equal.select(*keys, F.col("node").alias("value"), F.col("id").alias("to"))
+    to_equal = quads.filter(inner_node).select(*keys, "s", "p", "value").join(shuffled(ends), [*keys, "value"])
+    starts = equal.select(*keys, F.col("node").alias("s"), "id")
+    to_equal = written(to_equal.join(shuffled(starts), [*keys, "s"], "left").select(*keys, "s", "p", "id", "to"))
+    among = to_equal.filter("id is not null").select("id", "p", "to")
+    # Every equal node stands in a component, if only with itself; those with a tangled node in them are labelled.
+    selves = equal.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    roots = components(among.select(F.col("id").alias("a"), F.col("to").alias("b")).unionAll(selves))
+    roots = written(equal.join(shuffled(roots.withColumnRenamed("node", "id")), "id"))
+    hard = written(roots.groupBy("root").agg(F.bool_or("tangled").alias("_hard")).filter("_hard").select("root"))
+    core = written(roots.join(shuffled(hard), "root").select(*at, "id", "hash"))
+    # Who leads to a node from outside its component: named subjects, and unnamed ones that are told by their hash.
+    outside = to_equal.filter("id is null").join(shuffled(hashes.select(*keys, F.col("node").alias("s"), "hash")), [*keys, "s"], "left")
+    lead = outside.groupBy(F.col("to").alias("id")).agg(*_sums(F.col("p"), F.coalesce("hash", "s")))
+    lead = lead.select("id", F.concat_ws("|", "_n", "_a", "_b").alias("_lead"))
+    coloured = core.join(shuffled(lead), "id", "left").select("id", F.concat_ws("/", "hash", F.coalesce("_lead", F.lit(""))).alias("colour"))
+    ids = core.select("id")
+    inside = written(among.join(shuffled(ids), "id", "left_semi").unionAll(core.select("id", F.lit("").alias("p"), F.col("id").alias("to"))))
+
+    def labels(colours: list[str], links: list[tuple[int, str, int]]) -> tuple[list[str], list[bool]]:
+        return labelling.labels(colours, [link for link in links if link[1]]), [False] * len(colours)
+
+    labelled = _by_component(coloured, inside, labels).select("id", F.col("hash").alias("_label"))
+    labelled = written(core.select(*at, "id").join(shuffled(labelled), "id").select(*at, "_label"))
+    return hashes.join(shuffled(labelled), at, "left").select(*at, F.coalesce("_label", "hash").alias("hash"))
 
 
 def canonical(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
-    """Quads with every unnamed node replaced by `_:` and its hash."""
-    hashes = node_hashes(quads, keys)
+    """Quads with every unnamed node replaced by `_:` and its label."""
+    hashes = written(node_labels(quads, keys))
     as_subject = hashes.select(*keys, F.col("node").alias("_from"), F.col("hash").alias("_s"))
     as_object = hashes.select(*keys, F.col("node").alias("_to"), F.col("hash").alias("_o"))
     outer = is_anonymous(F.col("s"))
@@ -444,13 +524,17 @@ def compare_releases(left: DataFrame, right: DataFrame) -> DataFrame:
     """Quads that one release has more often than the other: s, p, o, g, side, n.
 
     Both releases go through one canonical form, told apart by a sign, and meet in one signed count, so equal
-    unnamed nodes are compared as a multiset.
+    unnamed nodes are compared as a multiset. No row is left exactly if the graphs of both sides are equal but for the names
+    of unnamed nodes. A difference shows in the quads of the nodes above it, and in all quads of a component of
+    equal nodes that are tangled by shared places or rings.
     """
     columns = ["s", "p", "o", "value", "kind", "g"]
     both = (
         left.select(*columns, F.lit(1).alias("_sign"))
         .unionByName(right.select(*columns, F.lit(-1).alias("_sign")))
     )
+    # Read by every round: written once, so that no round parses the releases again.
+    both = written(both.withColumn("g", F.coalesce("g", F.lit(""))))
     return (
         canonical(both, ("_sign", "g"))
         .groupBy("s", "p", "o", "g")

@@ -195,6 +195,33 @@ RELEASE_RIGHT = _anonymous(
     "b", "CASE WHEN c_custkey % 5 = 0 THEN 'changed' ELSE c_name END"
 )
 
+
+
+def _tangled(mark: str, step: str, turned: str) -> str:
+    """Unnamed nodes that no property tells apart: rings over customers, and nodes that two named ones share."""
+    key = "CAST(c_custkey AS VARCHAR(20))"
+    node = f"'https://ex.org/genid/{mark}' || {key}"
+    one, two = f"{node} || '-x'", f"{node} || '-y'"
+    about, part = "https://schema.org/about", "https://schema.org/hasPart"
+    first, second = f"'https://ex.org/s/' || {key}", f"'https://ex.org/t/' || {key}"
+    shared = [
+        (first, about, one),
+        (first, part, f"CASE WHEN {turned} THEN {two} ELSE {one} END"),
+        (second, about, two),
+        (second, part, f"CASE WHEN {turned} THEN {one} ELSE {two} END"),
+    ]
+    after = f"CASE WHEN c_custkey + {step} < (SELECT count(*) FROM @customer@) THEN c_custkey + {step} ELSE c_custkey % {step} END"
+    rings = f"""
+SELECT {node} AS s, 'https://schema.org/isRelatedTo' AS p, 'https://ex.org/genid/{mark}' || CAST({after} AS VARCHAR(20)) AS value, 'iri' AS kind,
+  'urn:ex:org:rings:data:0a' AS g FROM @customer@"""
+    pairs = [f"SELECT {s}, '{p}', {o}, 'iri', 'urn:ex:org:shared:data:0a' FROM @customer@" for s, p, o in shared]
+    names = [f"SELECT {n}, 'https://schema.org/name', 'same', 'literal', 'urn:ex:org:shared:data:0a' FROM @customer@" for n in (one, two)]
+    return "\nUNION ALL\n".join([rings, *pairs, *names])
+
+
+TANGLED_LEFT = _tangled("a", "25", "1 = 0")
+TANGLED_RIGHT = _tangled("b", "CASE WHEN c_custkey % 25 < 5 THEN 50 ELSE 25 END", "c_custkey % 3 = 0")
+
 COPIES = """
 SELECT doc_id, source AS site, text AS raw FROM @documents@
 """
@@ -230,6 +257,8 @@ FIXTURES = {
     "quads": QUADS,
     "release_left": RELEASE_LEFT,
     "release_right": RELEASE_RIGHT,
+    "tangled_left": TANGLED_LEFT,
+    "tangled_right": TANGLED_RIGHT,
     "copies": COPIES,
     "files": FILES,
     "browsed": BROWSED,

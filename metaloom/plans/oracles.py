@@ -474,6 +474,25 @@ SELECT p, CASE WHEN d > 0 THEN 'left' ELSE 'right' END AS side, CAST(sum(abs(d))
   GROUP BY s, p, o, g HAVING sum(n) <> 0) GROUP BY ALL"""
 
 
+def _tangled_diff() -> str:
+    """Differing quads where a node on a ring is known by the ring's length and a shared one by who leads to it."""
+
+    def canon(name: str) -> str:
+        return f"""
+(WITH RECURSIVE r AS (SELECT * FROM {fixture_sql(name)}),
+ steps AS (SELECT s AS node, value AS at, 1 AS n FROM r WHERE p = 'https://schema.org/isRelatedTo'
+   UNION ALL SELECT steps.node, r.value, n + 1 FROM steps JOIN r ON r.s = steps.at AND r.p = 'https://schema.org/isRelatedTo' WHERE steps.at <> steps.node),
+ label AS (SELECT node, 'ring ' || CAST(max(n) AS VARCHAR) AS label FROM steps GROUP BY node
+   UNION ALL SELECT value, 'led to ' || string_agg(p || ' ' || s, ' ' ORDER BY p, s) FROM r WHERE g LIKE '%shared%' AND kind = 'iri' GROUP BY value)
+ SELECT coalesce(a.label, r.s) AS s, r.p, coalesce(b.label, r.value) AS o, r.g, count(*) AS n FROM r
+ LEFT JOIN label AS a ON a.node = r.s LEFT JOIN label AS b ON b.node = r.value GROUP BY ALL)"""
+
+    return f"""
+SELECT p, CASE WHEN d > 0 THEN 'left' ELSE 'right' END AS side, CAST(sum(abs(d)) AS BIGINT) AS n FROM (
+  SELECT s, p, o, g, sum(n) AS d FROM (SELECT s, p, o, g, n FROM {canon('tangled_left')} UNION ALL SELECT s, p, o, g, -n FROM {canon('tangled_right')})
+  GROUP BY s, p, o, g HAVING sum(n) <> 0) GROUP BY ALL"""
+
+
 def _flat() -> str:
     """Statements of the distinct documents by predicate, kind and datatype, counted from the JSON tree."""
     docs = f"(SELECT DISTINCT raw, j FROM {_D} WHERE j IS NOT NULL)"
@@ -518,6 +537,7 @@ QUADS = {
     "quad_union": f"""
         SELECT g, count(*) AS n FROM (SELECT * FROM {fixture_sql('release_left')} UNION SELECT * FROM {fixture_sql('release_right')}) GROUP BY g""",
     "quad_union_diff": _diff(),
+    "quad_tangled_diff": _tangled_diff(),
     "doc_quads": _flat(),
 }
 

@@ -649,8 +649,8 @@ def quad_follow(spark, sf):
     return steps.select("g", "s", "middle", "value")
 
 
-def _release(spark: SparkSession, sf: str, side: str) -> DataFrame:
-    rows = fixture(spark, sf, f"release_{side}")
+def _release(spark: SparkSession, sf: str, side: str, name: str = "release") -> DataFrame:
+    rows = fixture(spark, sf, f"{name}_{side}")
     none = F.lit(None).cast("string")
     return rows.withColumn("o", terms.print_term(F.col("value"), F.col("kind"), none, none))
 
@@ -667,6 +667,13 @@ def quad_union_diff(spark, sf):
     return quads.difference_profile(differences).select("p", "side", "n")
 
 
+@query
+def quad_tangled_diff(spark, sf):
+    """Two releases whose unnamed nodes differ only in how they hang together: rings of two lengths, and shared nodes."""
+    left, right = (_release(spark, sf, side, "tangled") for side in ("left", "right"))
+    return quads.difference_profile(quads.compare_releases(left, right)).select("p", "side", "n")
+
+
 @query
 def doc_quads(spark, sf):
     """Documents flattened to quads, profiled by predicate and kind of value."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -61,3 +62,22 @@ def cut_and_measure(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     named = [value.alias(name) for name, value in metrics.items()]
     written = cut_lineage(df.observe(seen, *named))
     return written, seen.get
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write `df` as Parquet below the checkpoint folder and go on from the files.
+
+    As `cut_lineage`, for rounds that build on each other: a checkpoint keeps the constraints of the plan that made it, and they
+    grow from round to round until planning takes longer than the work. Files carry none, later reads take only the
+    columns they need, and the planner knows the true size.
+    """
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def written_and_measured(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """`written`, and aggregates over the rows that are taken while they are written."""
+    seen = Observation()
+    out = written(df.observe(seen, *[value.alias(name) for name, value in metrics.items()]))
+    return out, seen.get

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
 import json
+import random
 
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from metaloom.functions import terms
-from metaloom.operators import quads
+from metaloom.operators import labelling, quads
+from metaloom.operators.components import components
 from metaloom.sources.readers import parse_quads, unreadable_quads
 from metaloom.sources.writers import quad_line
 
@@ -198,6 +201,74 @@ def test_rings_that_differ_far_away_differ(spark):
     assert quads.compare_releases(make([0, 10]), make([0, 9])).count() > 0
 
 
+QUAD = "s string, p string, o string, value string, kind string, g string"
+
+
+def linked(spark, links, g="g"):
+    """Quads of (s, p, o); nodes that begin with `_:` are unnamed."""
+    rows = [(s, p, o, o, "bnode" if o[:2] == "_:" else "iri", g) for s, p, o in links]
+    return spark.createDataFrame(rows, QUAD)
+
+
+def wheel(*sizes, mark=""):
+    return [(f"_:{mark}{n}.{i}", "next", f"_:{mark}{n}.{(i + 1) % k}") for n, k in enumerate(sizes) for i in range(k)]
+
+
+def differ(spark, left, right):
+    return quads.compare_releases(linked(spark, left), linked(spark, right)).count()
+
+
+def test_rings_of_other_lengths_differ(spark):
+    assert differ(spark, wheel(6), wheel(3, 3)) == 2
+    assert differ(spark, wheel(6, 3, 3), wheel(3, 6, 3, mark="z")) == 0
+
+
+def test_shared_nodes_linked_crosswise_differ(spark):
+    straight = [("A", "p", "_:x"), ("A", "q", "_:x"), ("B", "p", "_:y"), ("B", "q", "_:y")]
+    crossed = [("A", "p", "_:x"), ("A", "q", "_:y"), ("B", "p", "_:y"), ("B", "q", "_:x")]
+    renamed = [(s, p, {"_:x": "_:2", "_:y": "_:1"}[o]) for s, p, o in crossed]
+    assert differ(spark, straight, crossed) > 0 and differ(spark, crossed, renamed) == 0
+    # The same two levels up, below unnamed nodes that are alike.
+    deep = lambda rows: [("_:" + s, p, o) for s, p, o in rows] + [("R", "r", "_:A"), ("R", "r", "_:B"), ("_:x", "n", "_:u"), ("_:y", "n", "_:u")]
+    assert differ(spark, deep(straight), deep(crossed)) > 0 and differ(spark, deep(crossed), deep(crossed[::-1])) == 0
+
+
+def test_long_rings_and_chains_settle(spark):
+    chain = [(f"_:c{i}", "rest", f"_:c{i + 1}") for i in range(400)] + [("_:c400", "end", "here"), ("list", "is", "_:c0")]
+    named = lambda rows, mark: [(s.replace("_:", mark), p, o.replace("_:", mark)) for s, p, o in rows]
+    left = wheel(3000) + chain + [("_:0.7", "at", "x"), ("_:0.1507", "at", "x")]
+    right = wheel(3000) + chain + [("_:0.1", "at", "x"), ("_:0.1501", "at", "x")]
+    other = wheel(3000) + chain + [("_:0.1", "at", "x"), ("_:0.1502", "at", "x")]
+    assert differ(spark, left, named(right, "_:q")) == 0 and differ(spark, left, other) > 0
+
+
+def test_labels_of_small_graphs_against_all_renamings():
+    rng = random.Random(4)
+    for _ in range(300):
+        n = rng.randrange(2, 6)
+        one, two = ([*{(rng.randrange(n), rng.choice("pq"), rng.randrange(n)) for _ in range(n)}] for _ in range(2))
+        colours = [rng.choice("xy") for _ in range(n)]
+        same = any(
+            sorted((p[a], k, p[b]) for a, k, b in one) == sorted(two) and all(colours[i] == colours[p[i]] for i in range(n))
+            for p in itertools.permutations(range(n))
+        )
+        assert same == (sorted(labelling.labels(colours, one)) == sorted(labelling.labels(colours, two)))
+        p = rng.sample(range(n), n)
+        turned = [""] * n
+        for i in range(n):
+            turned[p[i]] = colours[i]
+        moved = [(p[a], k, p[b]) for a, k, b in one]
+        assert [labelling.labels(turned, moved)[p[i]] for i in range(n)] == labelling.labels(colours, one)
+        assert [labelling.settled(turned, moved)[0][p[i]] for i in range(n)] == labelling.settled(colours, one)[0]
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(0, 999)] + [(2000, 2001), (3000, 3000), (2001, 2002)] + [(5000, 5000 + i) for i in range(1, 200)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(1000), 0), **dict.fromkeys((2000, 2001, 2002), 2000), 3000: 3000, **dict.fromkeys(range(5000, 5200), 5000)}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
 def test_odd_documents_give_what_they_can(spark):
     texts = [
         '{"@graph":null,"name":"n"}', '{"@graph":["s"]}', '{"@id":5,"name":"five"}', '{"@type":{"a":1},"name":"t"}',
