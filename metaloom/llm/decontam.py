@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from metaloom.functions.bind import let, once
 from metaloom.llm.arrays import before, total
-from metaloom.llm.landing import land
+from metaloom.llm.landing import land, unused
 from metaloom.llm.wordscan import Hasher, Texts, find_words, item_bytes, lower_bytes, slices, window_rows
 from metaloom.shipping import ship_by_value
 
@@ -162,26 +162,28 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str
         return docs.mapInArrow(_scan(blocks[0][0], text_place, kept, False), full)
     # Equal rows have equal hits, so the row's own hash is a key that needs no unique id.
     key = F.sha2(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"}), 256)
-    keyed = docs.withColumn("__key", key)
+    name = unused("key", docs.columns)
+    keyed = docs.withColumn(name, key)
     places = [len(docs.columns)]
     parts = [
-        keyed.mapInArrow(_scan(b, text_place, places, True), f"__key string, {HITS}").distinct() for b, _ in blocks
+        keyed.mapInArrow(_scan(b, text_place, places, True), f"{name} string, {HITS}").distinct() for b, _ in blocks
     ]
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
     found = land(
-        found.groupBy("__key").agg(
+        found.groupBy(name).agg(
             F.array_sort(F.flatten(F.collect_list("ranges"))).alias("ranges"),
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
         ),
         "hits",
     )
     empty = docs.sparkSession.sparkContext.broadcast([])
-    ended = f"__key string, n_words long, __none {RANGES}, __no array<long>"
+    none, no = unused("none", [*docs.columns, name]), unused("no", [*docs.columns, name])
+    ended = f"{name} string, n_words long, {none} {RANGES}, {no} array<long>"
     schema = T.StructType(plain + T.StructType.fromDDL(ended).fields)
-    counted = keyed.mapInArrow(_scan(empty, text_place, [*kept, places[0]], False), schema).drop("__none", "__no")
-    out = counted.join(found.hint("merge"), "__key", "left").drop("__key")
+    counted = keyed.mapInArrow(_scan(empty, text_place, [*kept, places[0]], False), schema).drop(none, no)
+    out = counted.join(found.hint("merge"), name, "left").drop(name)
     return out.withColumn("ranges", F.coalesce("ranges", F.array().cast(RANGES))).withColumn(
         "items", F.coalesce("items", F.array().cast("array<long>"))
     )

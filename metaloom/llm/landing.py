@@ -23,3 +23,11 @@ def land(df: DataFrame, name: str) -> DataFrame:
     folder = shared_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """`name`, with underscores before it until no column has it, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

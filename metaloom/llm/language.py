@@ -1,6 +1,7 @@
 """Language identification: script ranges narrow the candidates, per-word scores, Viterbi with a switching penalty.
 
-Letters are grouped into words; the script of a word's letters leaves only the languages that use this script. Each
+Letters are grouped into words, marks after a letter go on with its word; the script of a word's first letter leaves only
+the languages that use it. Each
 word is scored per candidate by its letter trigrams, and Viterbi over the words of a text, with a penalty for every
 change of language, labels spans. The language with the most letters in its spans is the text's.
 
@@ -15,6 +16,7 @@ labelled but not learned from. Repeated rows give repeated rows; only the named
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -61,15 +63,18 @@ UNKNOWN = "und"
 
 
 class Letters:
-    """Tables over all code points: the lower-case letter or 0, and the script."""
+    """Tables over all code points: the lower-case letter, the mark itself or 0, and the script."""
 
     def __init__(self) -> None:
         self.lower = np.zeros(0x110000, np.uint32)
+        self.mark = np.zeros(0x110000, bool)
         for code in range(0x110000):
             char = chr(code)
             if char.isalpha():
                 low = char.lower()
                 self.lower[code] = ord(low) if len(low) == 1 else code
+            elif unicodedata.category(char) in ("Mn", "Mc"):
+                self.lower[code], self.mark[code] = code, True
         self.script = np.full(0x110000, SCRIPTS.index("other"), np.uint8)
         for name, low, high in SCRIPT_RANGES:
             self.script[low : high + 1] = SCRIPTS.index(name)
@@ -79,7 +84,14 @@ class Letters:
         joined = "\n" + "\n".join(texts) + "\n"
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        return self.lower[codes], np.concatenate(([1], 1 + np.cumsum(sizes + 1)))
+        letters, marks = self.lower[codes], self.mark[codes]
+        if marks.any():
+            # A mark counts where a letter stands before it, with nothing but marks between.
+            at = np.arange(len(codes))
+            last = np.maximum.accumulate(np.where((letters > 0) & ~marks, at, -1))
+            gap = np.maximum.accumulate(np.where(letters == 0, at, -1))
+            letters[marks & (last < gap)] = 0
+        return letters, np.concatenate(([1], 1 + np.cumsum(sizes + 1)))
 
 
 def _grams(letters: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -141,11 +153,15 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
     shares = F.create_map(*[F.lit(v) for k in languages for v in (k, min(1.0, rows_per_language / sizes[k]))])
     place = F.expr("pmod(xxhash64(id, 'language'), 1000000) / 1000000d")
     sample = known.filter(place < shares[F.col("lang")]).select("lang", "text")
-    counted = sample.mapInArrow(_counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n"))
+    counted = sample.mapInArrow(_counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros((len(languages), BUCKETS + len(SCRIPTS)))
     place_of = {k: i for i, k in enumerate(languages)}
-    for lang, bucket, n in counted.collect():
-        counts[place_of[lang], bucket] = n
+    # A fixed number of sums a language, as columns.
+    sums = counted.toArrow()
+    if len(sums):
+        rows = np.array([place_of[lang] for lang in sums.column("lang").dictionary_encode().combine_chunks().dictionary.to_pylist()])
+        owner = rows[sums.column("lang").dictionary_encode().combine_chunks().indices.to_numpy()]
+        counts[owner, sums.column("bucket").to_numpy()] = sums.column("n").to_numpy()
     grams, scripts = counts[:, :BUCKETS] + 0.02, counts[:, BUCKETS:]
     logs = np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float32)
     uses = (scripts > 0) & (scripts >= SCRIPT_SHARE * scripts.sum(axis=1, keepdims=True))

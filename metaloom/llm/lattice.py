@@ -11,7 +11,7 @@ counts in a join on the word's 64-bit hash, where no key holds more than that sh
 
 Defined results: null and empty texts have the end as their only token. Rows without an id are training rows, as their
 remainder is not the held-out one. Without training rows N and V are 0 and base scores are those of the formula.
-Pieces longer than `MAX_PIECE` bytes take no part; single bytes cover everything. Repeated rows give repeated rows and
+Pieces of every length take part; single bytes cover everything. Repeated rows give repeated rows and
 count as often as they occur. Only the named columns are read.
 """
 
@@ -30,7 +30,6 @@ from metaloom.llm.wordscan import Hasher, Texts, find_words, lower_bytes, slices
 from metaloom.shipping import ship_by_value
 
 FREQUENT = 2e-6
-MAX_PIECE = 24
 #: Weight of the vocabulary's own order, in tokens.
 PRIOR = 50_000.0
 #: Distinct words that a training task holds before it passes its counts on.
@@ -61,7 +60,8 @@ class PieceTable:
     BITS = 20
 
     def __init__(self, pieces: list[bytes], logs: np.ndarray) -> None:
-        self.longest = max(map(len, pieces))
+        #: Only lengths that pieces have are looked up: the longest are few.
+        self.lengths = np.array(sorted({len(p) for p in pieces}))
         keys = np.zeros(len(pieces), np.uint64)
         for i, piece in enumerate(pieces):
             h = 0
@@ -95,14 +95,16 @@ class PieceTable:
 def marginal(words: np.ndarray, table: PieceTable) -> np.ndarray:
     """Log-probabilities of byte strings of one length (rows of a matrix), over all segmentations."""
     n, size = words.shape
-    longest = min(table.longest, size)
+    lengths = table.lengths[table.lengths <= size]
+    longest = int(lengths[-1])
+    column = {int(length): i for i, length in enumerate(lengths)}
     alpha = np.full((n, size + 1), -np.inf)
     alpha[:, 0] = 0
-    block = max(1, min(size, CELLS // max(1, n * longest)))
+    block = max(1, min(size, CELLS // max(1, n * len(lengths))))
     for low in range(0, size, block):
         high = min(size, low + block)
-        # logs[:, e, l]: the piece of l + 1 bytes that ends with byte low + e.
-        logs = np.full((n, high - low, longest), -np.inf)
+        # logs[:, e, i]: the piece of the i-th length that ends with byte low + e.
+        logs = np.full((n, high - low, len(lengths)), -np.inf)
         first = max(0, low - longest + 1)
         keys = np.zeros((n, high - first), np.uint64)
         own = words[:, first:high].astype(np.uint64) + np.uint64(1)
@@ -114,14 +116,17 @@ def marginal(words: np.ndarray, table: PieceTable) -> np.ndarray:
             # Piece at first + s ends with byte first + s + length - 1; only ends inside the block matter.
             skip = max(0, low - (first + length - 1))
             at = first + length - 1 + skip - low
-            if skip < count:
-                logs[:, at : at + count - skip, length - 1] = table(keys[:, skip:])
+            if skip < count and length in column:
+                logs[:, at : at + count - skip, column[length]] = table(keys[:, skip:])
         for e in range(high - low):
             j = low + e + 1
-            reach = min(longest, j)
-            terms = alpha[:, j - reach : j][:, ::-1] + logs[:, e, :reach]
-            top = terms.max(axis=1)
-            alpha[:, j] = top + np.log(np.exp(terms - np.where(np.isfinite(top), top, 0)[:, None]).sum(axis=1))
+            fit = lengths[: np.searchsorted(lengths, j, side="right")]
+            terms = alpha[:, j - fit] + logs[:, e, : len(fit)]
+            top = terms.max(axis=1, initial=-np.inf)
+            held = np.isfinite(top)
+            # No piece ends here: minus infinity stays.
+            sums = np.exp(terms[held] - top[held, None]).sum(axis=1)
+            alpha[held, j] = top[held] + np.log(sums)
     return alpha[:, size]
 
 
@@ -135,7 +140,7 @@ def word_logs(words: SliceWords, table: PieceTable) -> np.ndarray:
         if not len(group):
             continue
         size = int(sizes[group[0]])
-        step = max(1, CELLS // ((size + 1) * min(table.longest, size + 1)))
+        step = max(1, CELLS // ((size + 1) * int((table.lengths <= size + 1).sum())))
         for low in range(0, len(group), step):
             part = group[low : low + step]
             matrix = np.empty((len(part), size + 1), np.uint8)
@@ -192,7 +197,7 @@ def _triples(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
 
 def piece_logs(ranks: dict[bytes, int], counts: dict[int, int], texts: int, prior: float = PRIOR) -> tuple[list[bytes], np.ndarray, float]:
     """Pieces, the natural log of each one's probability, and that of the end. Counts are added to a Zipf prior."""
-    pieces = [p for p, _ in sorted(ranks.items(), key=lambda x: x[1]) if len(p) <= MAX_PIECE]
+    pieces = [p for p, _ in sorted(ranks.items(), key=lambda x: x[1])]
     zipf = 1 / (np.array([ranks[p] for p in pieces]) + 2.7)
     own = np.array([counts.get(ranks[p], 0) for p in pieces], float)
     mass = own + prior * zipf / zipf.sum()

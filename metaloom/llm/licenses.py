@@ -13,6 +13,7 @@ named columns are read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +45,8 @@ NOTICES = [
 CHARS_PER_EDIT = 12
 #: Spans are compared with those in the same blocks of so many characters.
 BLOCK_CHARS = 128
+#: Windows whose matches a task keeps in mind.
+KNOWN_WINDOWS = 4096
 
 
 def edits_of(notice: str) -> int:
@@ -72,6 +75,8 @@ class Scanner:
         for k, (text, _) in enumerate(notices):
             for at, piece in pieces_of(text):
                 seeds.setdefault(piece, []).append((k, at))
+        self.counts = [(Counter(text), Counter(zip(text, text[1:]))) for text, _ in notices]
+        self.known: dict[tuple[int, str], list[tuple[int, int, int]]] = {}
         self.automaton = ahocorasick.Automaton()
         for piece, owners in seeds.items():
             self.automaton.add_word(piece, (len(piece), owners))
@@ -88,21 +93,41 @@ class Scanner:
                 found.add((k, max(0, begin - spare), min(begin + len(notice) + spare, len(text))))
         return sorted(found)
 
+    def _possible(self, k: int, window: str) -> bool:
+        """Can the window hold the notice? An edit takes at most one character of it, and two of its pairs."""
+        edits = edits_of(self.notices[k][0])
+        chars, pairs = self.counts[k]
+        if sum(max(0, n - window.count(c)) for c, n in chars.items()) > edits:
+            return False
+        own = Counter(zip(window, window[1:]))
+        return sum(max(0, n - own[pair]) for pair, n in pairs.items()) <= 2 * edits
+
+    def matches(self, k: int, window: str) -> list[tuple[int, int, int]]:
+        """(start, end, edits) in a window: its best match first, then what lies on both sides of it in turn.
+
+        Repeated text has equal windows, so the last results are kept.
+        """
+        if (k, window) in self.known:
+            return self.known[k, window]
+        found, open_parts = [], [(0, len(window))] if self._possible(k, window) else []
+        while open_parts:
+            begin, end = open_parts.pop()
+            match = self.patterns[k].search(window, begin, end)
+            if match and match.end() > match.start():
+                found.append((match.start(), match.end(), sum(match.fuzzy_counts)))
+                open_parts += [(begin, match.start()), (match.end(), end)]
+        if len(self.known) >= KNOWN_WINDOWS:
+            self.known.clear()
+        self.known[k, window] = found
+        return found
+
     def spans(self, text: str) -> list[tuple[int, int, str, int, float]]:
         """(start, end, label, edits, score) by start; what overlaps is settled by fewest edits."""
         hits = set()
         for k, low, high in self.windows(text):
             notice, label = self.notices[k]
-            # The best match of a window comes first; what lies on both sides of it is searched in turn.
-            open_parts = [(low, high)]
-            while open_parts:
-                begin, end = open_parts.pop()
-                match = self.patterns[k].search(text, begin, end)
-                if not match or match.end() <= match.start():
-                    continue
-                edits = sum(match.fuzzy_counts)
-                hits.add((match.start(), match.end(), label, edits, 1 - edits / len(notice)))
-                open_parts += [(begin, match.start()), (match.end(), end)]
+            for start, end, edits in self.matches(k, text[low:high]):
+                hits.add((low + start, low + end, label, edits, 1 - edits / len(notice)))
         kept: list = []
         # Spans that stay, by each block of characters that they reach into: rivals share a block.
         near: dict[int, list] = {}

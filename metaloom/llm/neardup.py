@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from metaloom.functions.bind import shuffled
-from metaloom.llm.landing import land
+from metaloom.llm.landing import land, unused
 from metaloom.llm.wordscan import BASE, Hasher, Texts, find_words, lower_bytes, mix, slices, spaced_bytes
 from metaloom.shipping import ship_by_value
 
@@ -388,8 +388,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
     """`docs` with one document of each component. The ids to drop are written, so the planner knows their size."""
     dropped = land(near_duplicates(docs, width, percent).filter("not kept").select("doc_id").distinct(), "dropped")
-    names = dropped.withColumnRenamed("doc_id", "__dropped")
-    return docs.join(names, F.col("doc_id").cast("long") == F.col("__dropped"), "left_anti")
+    name = unused("dropped", docs.columns)
+    return docs.join(dropped.withColumnRenamed("doc_id", name), F.col("doc_id").cast("long") == F.col(name), "left_anti")
 
 
 ship_by_value(__name__)

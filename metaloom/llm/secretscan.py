@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from metaloom.functions.bind import let, once
 from metaloom.llm.arrays import before
-from metaloom.llm.landing import land
+from metaloom.llm.landing import land, unused
 
 #: The base patterns by kind, the least length and the group that it holds for.
 KINDS = [
@@ -134,11 +134,15 @@ def _read(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def learned(docs: DataFrame) -> list[float]:
-    """The model from a pass of the patterns over all texts; only rows with spans are written."""
+def learned(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> list[float]:
+    """The model from a pass of the patterns over all texts; only rows with spans are written.
+
+    All values that the patterns find are samples of random strings; words of about `sample_texts` texts, by hash of the
+    id, are samples of ordinary ones.
+    """
     given = _read(docs)
     found = once(given, base=base_spans(F.col("text"))).filter(F.size("base") > 0).select("base")
-    return fit(samples_of(given, land(found, "secrets"), docs.count()))
+    return fit(samples_of(given, land(found, "secrets"), docs.count(), sample_texts))
 
 
 def _joined(spans: Column) -> Column:
@@ -169,18 +173,19 @@ def _number(rank: int) -> Column:
 def redact(docs: DataFrame, ratio: list[float], mark: str = "[SECRET]") -> DataFrame:
     """`docs` with every span of its `text` replaced by `mark`; spans that touch become one. All columns stay."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    base, spans = unused("base", docs.columns), unused("spans", docs.columns)
     if "n_chars" in docs.columns:
-        size = F.when(F.size("__spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    with_base = once(docs, __base=base_spans(text))
-    both = F.array_sort(F.concat("__base", model_spans(text, F.col("__base"), ratio)), _in_order)
-    found = once(with_base, __spans=both)
+        size = F.when(F.size(spans) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    with_base = once(docs, **{base: base_spans(text)})
+    both = F.array_sort(F.concat(base, model_spans(text, F.col(base), ratio)), _in_order)
+    found = once(with_base, **{spans: both})
 
-    def rebuilt(spans: Column) -> Column:
-        ends = F.transform(spans, lambda s: s["end"])
+    def rebuilt(found: Column) -> Column:
+        ends = F.transform(found, lambda s: s["end"])
         pieces = let(
             before(ends, largest=True),
             lambda past: F.transform(
-                spans,
+                found,
                 lambda s, i: F.when(
                     (s["start"] >= F.get(past, i)) & ((i == 0) | (s["start"] > F.get(past, i))),
                     F.concat(text.substr((F.get(past, i) + 1).cast("int"), (s["start"] - F.get(past, i)).cast("int")), F.lit(mark)),
@@ -190,7 +195,7 @@ def redact(docs: DataFrame, ratio: list[float], mark: str = "[SECRET]") -> DataF
         tail = text.substr((F.array_max(ends) + 1).cast("int"), F.length(text))
         return F.concat(F.array_join(pieces, ""), tail)
 
-    changed = found.withColumn("text", F.when(F.size("__spans") > 0, let(F.col("__spans"), rebuilt)).otherwise(F.col("text")))
+    changed = found.withColumn("text", F.when(F.size(spans) > 0, let(F.col(spans), rebuilt)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", size)
     return changed.select(*docs.columns)
