@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from metaloom.functions import urls
 from metaloom.functions.bind import shuffled
-from metaloom.session import cut_and_measure, cut_lineage
+from metaloom.operators.ordering import with_sequence
+from metaloom.session import cut_and_measure, ensure_checkpoint_dir, written
 
-# A frontier, or a visited set, below this measured size is broadcast; a larger one is joined by a shuffle.
-BROADCAST_BYTES = 8 * 1024 * 1024
-# Levels that may stay separate before the visited set is written as one.
-LEVELS_PER_CUT = 8
+# A page with more than one of so many of all links is kept in parts.
+HUB_SHARE = 64
 
 
 def new_links(links: DataFrame, visited: DataFrame) -> DataFrame:
@@ -28,58 +29,141 @@ def crawl(
     """Breadth-first walk: every reachable url once, with its depth (seeds 0).
 
     `edges` has src, dst and, if the order of discovery matters, pos; then the result has `path`, the link
-    positions that lead to a page, which sort as a first-in-first-out queue would visit. With `domains`, links
-    to other hosts are not followed. A page without captured links ends the walk there.
+    positions that lead to a page, which sort as a first-in-first-out queue would visit; `crawl_queue` gives the place
+    itself without paths. With `domains`, links to other hosts are not followed. A page without captured links ends the
+    walk there.
+    """
+    return _walk(_followed(edges, domains), seeds, max_depth, "path" if "pos" in edges.columns else None)
+
+
+def crawl_queue(
+    edges: DataFrame, seeds: DataFrame, max_depth: int | None = None, domains: list[str] | None = None
+) -> DataFrame:
+    """The walk as a first-in-first-out queue visits it: url, depth and `place` from 1.
 
-    Each level is written to the checkpoint folder: the plan of a level never holds the levels before it.
+    A page is ordered by the place of the page that leads to it first and the position of that link there, two numbers,
+    however deep the walk is. Links of one page at equal positions go by url; seeds too.
     """
+    return _walk(_followed(edges, domains), seeds, max_depth, "place")
+
+
+def _followed(edges: DataFrame, domains: list[str] | None) -> DataFrame:
     links = edges.select("src", "dst", *(["pos"] if "pos" in edges.columns else []))
-    if domains:
-        links = links.filter(urls.in_domains(F.col("dst"), domains))
+    return links.filter(urls.in_domains(F.col("dst"), domains)) if domains else links
+
+
+class _Buckets:
+    """Tables of one walk, bucketed in the shared folder, so that joins on their keys move nothing of them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.names = spark, []
+        # Fewer buckets than shuffle partitions, and the planner would shuffle the table again.
+        self.count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/walk-{uuid.uuid4().hex}"
 
-    # Read by every level: written once, so that no level repeats the work that made the links.
-    return _walk(cut_lineage(links), seeds, max_depth)
+    def write(self, df: DataFrame, *keys: str) -> DataFrame:
+        name = f"metaloom_{uuid.uuid4().hex}"
+        writer = df.repartition(self.count, *keys).write.bucketBy(self.count, *keys).sortBy(*keys)
+        writer.option("path", f"{self.folder}/{name}").saveAsTable(name)
+        self.names.append(name)
+        return self.spark.table(name)
 
+    def drop(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-def _placed(side: DataFrame, size: int) -> DataFrame:
-    """A join side of measured size: broadcast while small, shuffled beyond."""
-    return F.broadcast(side) if size <= BROADCAST_BYTES else shuffled(side)
 
+def _hubs(links: DataFrame) -> list[tuple]:
+    """Pages with more than one of `HUB_SHARE` of all links, at most so many, and in how many parts each is kept."""
+    total = links.count()
+    counts = links.groupBy("src").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * HUB_SHARE > total)
+    return [(r["src"], -(-r["n"] * HUB_SHARE // total)) for r in counts.collect()]
 
-def _walk(links: DataFrame, seeds: DataFrame, max_depth: int | None) -> DataFrame:
-    keep = ["path"] if "pos" in links.columns else []
-    weight = F.length(F.col("url").cast("string")) + 64
-    if keep:
-        weight = weight + 4 * F.size("path")
-    metrics = {"n": F.count(F.lit(1)), "size": F.coalesce(F.sum(weight), F.lit(0))}
 
-    start = seeds.select("url").distinct().withColumn("depth", F.lit(0))
-    if keep:
+class _Visited:
+    """Pages met so far, in tables of growing size: two of about one size become one, so there are few."""
+
+    def __init__(self, tables: _Buckets) -> None:
+        self.tables, self.tiers = tables, []
+
+    def add(self, level: DataFrame, n: int) -> None:
+        self.tiers.append((n, level))
+        while len(self.tiers) > 1 and self.tiers[-2][0] <= 2 * self.tiers[-1][0]:
+            (n, level), (m, older) = self.tiers.pop(), self.tiers.pop()
+            self.tiers.append((n + m, self.tables.write(older.unionByName(level), "url")))
+
+    def without(self, reached: DataFrame) -> DataFrame:
+        # The planner pushes an anti join below the join that made the rows, onto all links; an outer join stays in its place.
+        for _, tier in self.tiers:
+            met = tier.select(F.col("url").alias("_url"), F.lit(True).alias("_met"))
+            reached = reached.join(shuffled(met), F.col("url") == F.col("_url"), "left").filter("_met is null").drop("_url", "_met")
+        return reached
+
+    def rows(self) -> DataFrame:
+        first, *rest = [tier for _, tier in self.tiers]
+        for tier in rest:
+            first = first.unionByName(tier)
+        return first
+
+
+def _walk(links: DataFrame, seeds: DataFrame, max_depth: int | None, order: str | None = None) -> DataFrame:
+    """Breadth-first levels over tables bucketed by key.
+
+    The links are written once, bucketed by page; a page with very many links lies in several parts by a salt. Visited pages are
+    bucketed by url. A level moves only its frontier, to the parts of its links, and what it reaches, to the urls'
+    buckets: no exchange stands above links or visited pages, so a level costs what it touches.
+    """
+    spark = links.sparkSession
+    tables = _Buckets(spark)
+    links = written(links)
+    hubs = _hubs(links)
+    src = links.schema["src"].dataType.simpleString()
+    parts = spark.createDataFrame(hubs, f"_hub {src}, _parts long")
+    # A share of all links bounds the number of hubs: at most HUB_SHARE rows.
+    salted = links.join(F.broadcast(parts), F.col("src") == F.col("_hub"), "left")
+    salt = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64("dst"), "_parts")).otherwise(F.lit(0)).cast("int")
+    stored = tables.write(salted.withColumn("salt", salt).drop("_hub", "_parts"), "src", "salt")
+
+    start = written(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
+    if order == "path":
         start = start.withColumn("path", F.array(F.lit(0)))
-    frontier, found = cut_and_measure(start, **metrics)
-    visited, total = frontier, found["size"]
-    depth = 0
-    while found["n"] and (max_depth is None or depth < max_depth):
+    elif order:
+        start = _placed(start.withColumn("_key", F.struct("url")), 0)
+    visited = _Visited(tables)
+    frontier = tables.write(start, "url")
+    n = frontier.count()
+    visited.add(frontier, n)
+    total, depth = n, 0
+    while n and (max_depth is None or depth < max_depth):
         depth += 1
-        near = frontier.select(F.col("url").alias("src"), *keep)
-        onward = links.join(_placed(near, found["size"]), "src").withColumnRenamed("dst", "url")
-        if keep:
-            reached = onward.groupBy("url").agg(
-                F.min(F.array_append("path", F.col("pos"))).alias("path")
-            )
+        near = frontier.join(F.broadcast(parts), F.col("url") == F.col("_hub"), "left")
+        copies = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)).cast("int") - 1)
+        near = near.select(F.col("url").alias("src"), *([order] if order else []), F.explode(copies).alias("salt"))
+        onward = stored.join(shuffled(near), ["src", "salt"]).withColumnRenamed("dst", "url")
+        if order == "path":
+            reached = onward.groupBy("url").agg(F.min(F.array_append("path", F.col("pos"))).alias("path"))
+        elif order:
+            reached = onward.groupBy("url").agg(F.min(F.struct("place", "pos")).alias("_lead"))
         else:
             reached = onward.select("url").distinct()
-        seen = _placed(visited.select("url"), total)
-        fresh = reached.join(seen, "url", "left_anti")
-        frontier, found = cut_and_measure(
-            fresh.select("url", F.lit(depth).alias("depth"), *keep), **metrics
-        )
-        if found["n"]:
-            visited = visited.unionByName(frontier)
-            total += found["size"]
-        if depth % LEVELS_PER_CUT == 0:
-            visited = cut_lineage(visited)
-    return visited
+        fresh = visited.without(reached).withColumn("depth", F.lit(depth))
+        if order == "place":
+            fresh = _placed(fresh.select("url", "depth", F.struct("_lead", "url").alias("_key")), total)
+        seen = Observation()
+        frontier = tables.write(fresh.observe(seen, F.count(F.lit(1)).alias("n")), "url")
+        n = seen.get["n"]
+        total += n
+        if n:
+            visited.add(frontier, n)
+    out = written(visited.rows())
+    tables.drop()
+    return out
+
+
+def _placed(level: DataFrame, before: int) -> DataFrame:
+    """Number the pages of a level in the order of `_key`, after the `before` pages of earlier levels."""
+    numbered = with_sequence(level, "_key", "place").drop("_key")
+    return numbered.withColumn("place", F.col("place") + before)
 
 
 def visit_order(walked: DataFrame) -> DataFrame:
@@ -92,9 +176,7 @@ def catalogue_walk(edges: DataFrame, roots: DataFrame, max_depth: int | None = N
 
     `edges` has parent_id and child_id. Depth 1 is what a flat reading of a catalogue gives.
     """
-    pairs = cut_lineage(
-        edges.select(F.col("parent_id").alias("src"), F.col("child_id").alias("dst")).distinct()
-    )
+    pairs = written(edges.select(F.col("parent_id").alias("src"), F.col("child_id").alias("dst")).distinct())
     walked = _walk(pairs, roots, max_depth)
     inner = pairs.select(F.col("src").alias("_src")).distinct()
     return walked.join(shuffled(inner), F.col("url") == F.col("_src"), "left").select(

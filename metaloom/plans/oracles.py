@@ -433,6 +433,12 @@ WALKS = {
         w AS (SELECT min(src) AS url, CAST(0 AS BIGINT) AS depth, '0' AS path FROM e
           UNION ALL SELECT e.dst, w.depth + 1, w.path || '/' || e.pos FROM w JOIN e ON e.src = w.url WHERE w.depth < 5)
         SELECT url, depth, path FROM w QUALIFY row_number() OVER (PARTITION BY url ORDER BY depth, path) = 1""",
+    "crawl_queue": f"""
+        WITH RECURSIVE e AS MATERIALIZED (SELECT src, dst, pos FROM {_EDGES}),
+        w AS (SELECT min(src) AS url, CAST(0 AS BIGINT) AS depth, '0' AS path FROM e
+          UNION ALL SELECT e.dst, w.depth + 1, w.path || '/' || e.pos FROM w JOIN e ON e.src = w.url WHERE w.depth < 5)
+        SELECT url, depth, row_number() OVER (ORDER BY depth, path) AS place FROM (
+          SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY url ORDER BY depth, path) = 1)""",
     "redirect_final": f"""
         WITH RECURSIVE r AS MATERIALIZED (SELECT from_id, to_id, status FROM {fixture_sql('redirects')} WHERE to_id IS NOT NULL),
         w AS (SELECT from_id, to_id AS final_id, CAST(1 AS BIGINT) AS hops, status = 303 AS seen, [from_id] AS past FROM r

@@ -569,6 +569,13 @@ def crawl_order(spark, sf):
     return walked.select("url", _long("depth"), F.array_join("path", "/").alias("path"))
 
 
+@query
+def crawl_queue(spark, sf):
+    """Every page reached, numbered as a first-in-first-out queue visits it."""
+    edges = fixture(spark, sf, "edges")
+    return crawl.crawl_queue(edges, _seeds(edges), max_depth=5).select("url", _long("depth"), "place")
+
+
 @query
 def redirect_final(spark, sf):
     return crawl.final_targets(fixture(spark, sf, "redirects")).select(

@@ -93,16 +93,44 @@ def test_walk_is_the_queue_walk(spark, monkeypatch, seed):
     rows = [(s, d, i) for s, ds in edges.items() for i, d in enumerate(ds)]
     df = spark.createDataFrame(rows, "src int, dst int, pos int")
     start = spark.createDataFrame([(0,)], "url int")
-    monkeypatch.setattr(crawl, "LEVELS_PER_CUT", 2)
     if seed == 2:
-        monkeypatch.setattr(crawl, "BROADCAST_BYTES", 0)  # the way beyond the size limit
+        monkeypatch.setattr(crawl, "HUB_SHARE", 1000)  # nearly every page is kept in parts
     order, depth = queue_order(edges, 0)
     walked = crawl.visit_order(crawl.crawl(df, start)).collect()
     assert [r.url for r in walked] == order and {r.url: r.depth for r in walked} == depth
+    queue = crawl.crawl_queue(df, start)
+    assert [r.url for r in queue.orderBy("place").collect()] == order
+    assert [r.place for r in queue.orderBy("place").collect()] == list(range(1, len(order) + 1))
     short = crawl.crawl(df.drop("pos"), start, max_depth=2).collect()
     assert {r.url: r.depth for r in short} == queue_order(edges, 0, 2)[1]
 
 
+def test_levels_move_neither_links_nor_visited_pages(spark, monkeypatch):
+    plans = []
+    write = crawl._Buckets.write
+
+    def watched(self, df, *keys):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, *keys)
+
+    monkeypatch.setattr(crawl._Buckets, "write", watched)
+    links = [(0, i) for i in range(1, 500)] + [(i, (i * 7) % 900) for i in range(1, 800)]
+    crawl.crawl(spark.createDataFrame(links, "src int, dst int"), spark.createDataFrame([(0,)], "url int"), 3)
+    levels = [p.splitlines() for p in plans if "salt" in p and "LeftOuter" in p and "Bucketed: true" in p]
+    assert len(levels) == 3
+    for lines in levels:
+        # One exchange for the frontier, one for what it reaches: links and visited pages stay in their buckets.
+        assert sum("Exchange hashpartitioning" in line for line in lines) == 2
+        links_at = next(i for i, line in enumerate(lines) if "FileScan" in line and "dst#" in line)
+        indent = lambda line: len(line) - len(line.lstrip(" :+-"))
+        depth, above = indent(lines[links_at]), []
+        for line in reversed(lines[:links_at]):
+            if indent(line) < depth:
+                depth = indent(line)
+                above.append(line)
+        assert [x for x in above if "Exchange" in x][:1] and "hashpartitioning(url" in [x for x in above if "Exchange" in x][0]
+
+
 def test_walk_from_nowhere(spark):
     edges = spark.createDataFrame([(1, 2)], "src int, dst int")
     assert crawl.crawl(edges, spark.createDataFrame([], "url int")).count() == 0
