@@ -7,7 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from metaloom.functions.bind import once, shuffled
 from metaloom.functions.geo import box_from_columns
 from metaloom.functions.prompts import detection_prompt, generation_prompt
-from metaloom.functions.text import with_reply_json
+from metaloom.functions.text import (
+    DEFAULT_WAIT_SECONDS,
+    failure_reason,
+    is_quota_error,
+    retry_delay,
+    with_reply_json,
+)
 from metaloom.functions.variants import any_text, array_at, child, has_key, kind
 
 
@@ -31,18 +37,26 @@ def _dataset_array() -> Column:
     )
 
 
+#: What an unreadable reply is reported as.
+NO_JSON = "no JSON in the reply"
+
+
 def detected_datasets(
     replies: DataFrame, key: str, site: Column, site_url: Column, reply: str = "response"
 ) -> DataFrame:
     """One row per detected dataset: key, j (from 1) of n, dataset, name and url with their defaults.
 
-    A default applies only where the key is missing; a null or empty value stays.
+    A default applies only where the key is missing; a null or empty value stays. A reply without JSON stays one row
+    without a dataset, and keeps its text as `raw_response` and why it gave nothing as `error`; both are null elsewhere.
     """
+    parsed = parse_replies(replies, reply)
+    unread = (F.col("kind") == "text") & F.col("v").isNull()
     rows = (
-        parse_replies(replies, reply)
+        parsed.withColumn("raw_response", F.when(unread, F.col(reply)))
+        .withColumn("error", F.when(unread, F.lit(NO_JSON)))
         .withColumn("_site", site)
         .withColumn("_site_url", site_url)
-        .select(key, "_site", "_site_url", _dataset_array().alias("_datasets"))
+        .select(key, "_site", "_site_url", "raw_response", "error", _dataset_array().alias("_datasets"))
     )
     rows = (
         once(rows, _found=F.col("_datasets"))
@@ -50,6 +64,8 @@ def detected_datasets(
             key,
             "_site",
             "_site_url",
+            "raw_response",
+            "error",
             F.size("_found").alias("n"),
             F.posexplode("_found").alias("_i", "dataset"),
         )
@@ -67,6 +83,8 @@ def detected_datasets(
         F.when(has_key(dataset, "$.url"), any_text(child(dataset, "$.url")))
         .otherwise(F.col("_site_url"))
         .alias("url"),
+        "raw_response",
+        "error",
     )
 
 
@@ -108,6 +126,7 @@ def merge_metadata(detected: DataFrame, registry: DataFrame, key: str, row_key:
         *[has_key(dataset, f"$.{f}").alias(f"_has_{f}") for f in fields],
         *[any_text(child(dataset, f"$.{f}")).alias(f"_said_{f}") for f in fields],
         dataset.alias("extracted"),
+        *[c for c in ("raw_response", "error") if c in detected.columns],
     )
     joined = said.join(sites, F.col(key) == F.col("_row"), "left")
 
@@ -130,6 +149,7 @@ def merge_metadata(detected: DataFrame, registry: DataFrame, key: str, row_key:
         preferred("keywords", F.col("_keywords")).alias("keywords"),
         preferred("spatialCoverage", box).alias("spatial_coverage"),
         "extracted",
+        *[c for c in ("raw_response", "error") if c in detected.columns],
     )
 
 
@@ -174,9 +194,12 @@ def generation_requests(merged: DataFrame, template: str, key: str, example: Col
         "spatial_coverage",
     ]
     metadata = {n: F.col(n) for n in names} | {"group": F.col("grp")}
-    extracted = F.coalesce(F.to_json("extracted"), F.lit("{}"))
+    given = F.to_json("extracted")
+    extracted = F.coalesce(given, F.lit("{}"))
     if "source_facts" in merged.columns:
-        # The facts become one more key at the end of the detected object.
+        # The facts become one more key at the end of the detected object; anything else is wrapped in one first.
+        is_object = F.startswith(extracted, F.lit("{"))
+        extracted = F.when(is_object, extracted).otherwise(F.concat(F.lit('{"dataset":'), extracted, F.lit("}")))
         inside = F.regexp_replace(extracted, r"\}$", "")
         comma = F.when(inside == "{", F.lit("")).otherwise(F.lit(","))
         extracted = F.concat(
@@ -185,3 +208,37 @@ def generation_requests(merged: DataFrame, template: str, key: str, example: Col
     return merged.select(
         key, "j", generation_prompt(template, metadata, extracted, example).alias("prompt")
     )
+
+
+def request_ledger(requests: DataFrame, attempts: DataFrame, key: str, most: int = 3) -> DataFrame:
+    """What became of each request: key, status (done, due, given_up), n_attempts, due_at, response, reason.
+
+    `attempts` are events: key, `at` (seconds), `response` and `message`, null where there was no error. The first
+    reply without an error is the accepted one, so a repeated reply changes nothing. A failure of a kind that passes by
+    (quota, timeout, server) is due again after its wait, at most `most` attempts in all; any other ends the request. Requests
+    without attempts are due at once. Attempts are partial aggregates, so a request tried very often meets as few rows.
+    """
+    message = F.col("message")
+    failed = message.isNotNull()
+    quota = is_quota_error(message)
+    reason = F.when(quota, F.lit("quota")).otherwise(failure_reason(message))
+    passing = quota | reason.isin("timeout", "server_error")
+    wait = F.when(quota, retry_delay(message)).otherwise(F.lit(DEFAULT_WAIT_SECONDS))
+    last = F.struct("at", reason.alias("reason"), passing.alias("passing"), (F.col("at") + wait).alias("due_at"))
+    tried = attempts.groupBy(F.col(key).alias("_key")).agg(
+        F.count(F.lit(1)).alias("n_attempts"),
+        F.min(F.when(~failed, F.struct("at", "response"))).alias("_reply"),
+        F.max(F.when(failed, last)).alias("_last"),
+    )
+    done = F.col("_reply").isNotNull()
+    ended = (F.col("n_attempts") >= most) | ~F.col("_last")["passing"]
+    status = F.when(done, F.lit("done")).when(F.coalesce(ended, F.lit(False)), F.lit("given_up")).otherwise(F.lit("due"))
+    joined = requests.select(key).join(shuffled(tried), F.col(key) == F.col("_key"), "left")
+    return joined.select(
+        key,
+        status.alias("status"),
+        F.coalesce("n_attempts", F.lit(0)).cast("long").alias("n_attempts"),
+        F.when(status == "due", F.coalesce(F.col("_last")["due_at"], F.lit(0.0))).alias("due_at"),
+        F.col("_reply")["response"].alias("response"),
+        F.when(~done, F.col("_last")["reason"]).alias("reason"),
+    )

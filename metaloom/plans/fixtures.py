@@ -242,7 +242,57 @@ SELECT p_partkey AS tile_id, p_brand AS collection, 100 AS width, 50 AS height,
 FROM @part@
 """
 
+HARVEST = """
+SELECT run, 'https://data.example.org/' || CAST(page_id AS VARCHAR(20)) AS loc,
+  '2024-01-' || lpad(CAST(page_id % 20 + 1 + CASE WHEN page_id % 3 = 0 THEN run ELSE 0 END AS VARCHAR(20)), 2, '0') || 'T10:00:00Z' AS lastmod,
+  CASE WHEN page_id % 4 = 0 THEN NULL ELSE sha1(url || CASE WHEN page_id % 7 < run THEN CAST(run AS VARCHAR(20)) ELSE '' END) END AS digest
+FROM @pages@ CROSS JOIN (SELECT 1 AS run UNION ALL SELECT 2 UNION ALL SELECT 3) AS runs
+WHERE page_id % (4 + run) <> run
+"""
+
+ATTEMPTS = f"""
+SELECT event_id % 3001 AS row_id, CAST(event_id AS DOUBLE) AS at,
+  CASE WHEN event_id % 11 < 3 THEN 'reply ' || CAST(event_id AS VARCHAR(20)) END AS response,
+  CASE WHEN event_id % 11 < 3 THEN NULL ELSE message END AS message
+FROM ({FAILURES}) AS failures
+"""
+
+TREE = """
+SELECT 'https://ex.org/s/' || CAST(c_custkey AS VARCHAR(20)) AS s, 'https://schema.org/name' AS p, c_name AS value, 'literal' AS kind, 'urn:ex:org:tree:data:0a' AS g FROM @customer@
+UNION ALL
+SELECT 'https://ex.org/s/' || CAST(c_custkey AS VARCHAR(20)), 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type',
+  'https://schema.org/' || CASE c_custkey % 3 WHEN 0 THEN 'Person' ELSE 'Organization' END, 'iri', 'urn:ex:org:tree:data:0a' FROM @customer@
+UNION ALL
+SELECT 'https://ex.org/s/' || CAST(c_custkey AS VARCHAR(20)), 'https://schema.org/isPartOf',
+  'https://ex.org/s/' || CAST(CAST(floor(c_custkey / 3) AS BIGINT) AS VARCHAR(20)), 'iri', 'urn:ex:org:tree:data:0a' FROM @customer@
+"""
+
+REFORMATTED = f"""
+SELECT doc_id, site, CASE WHEN doc_id % 4 = 1 THEN replace(raw, '":', '" : ') WHEN doc_id % 4 = 2 THEN replace(raw, '"name"', '"title"') ELSE raw END AS raw,
+  '/data/' || site || '/' || sha1(raw) || '.jsonld' AS path, raw AS first_raw
+FROM ({DOCS}) AS docs WHERE doc_id % 10 <> 1
+"""
+
+ROUND_RASTERS = """
+SELECT p_partkey AS tile_id, p_brand AS collection, 40 AS width, 50 AS height, CAST(0.25 AS DOUBLE) AS res_x, CAST(-0.5 AS DOUBLE) AS res_y,
+  CASE WHEN p_partkey % 2 = 0 THEN 150 + 5 * (p_partkey % 12) ELSE -180 + 3 * (p_size % 20) END AS origin_x, 90 - 5 * (p_size % 36) AS origin_y
+FROM @part@
+"""
+
+SPELT = """
+SELECT page_id, url, CASE page_id % 5 WHEN 0 THEN replace(url, 'https://', 'HTTPS://') WHEN 1 THEN url || '#part' WHEN 2 THEN replace(url, 'e', '%65')
+    WHEN 3 THEN regexp_replace(url, '^(https://[^/]+)', '\\1:443/x/..') ELSE url END AS loc,
+  page_id % 13 <> 0 AS listed, page_id % 11 <> 0 AS present
+FROM @pages@
+"""
+
 FIXTURES = {
+    "harvest": HARVEST,
+    "attempts": ATTEMPTS,
+    "tree": TREE,
+    "reformatted": REFORMATTED,
+    "round_rasters": ROUND_RASTERS,
+    "spelt": SPELT,
     "registry": REGISTRY,
     "boxes": BOXES,
     "docs": DOCS,

@@ -221,7 +221,7 @@ _OPEN = r"""CASE WHEN contains(response, '```json') AND regexp_matches(response,
 _REPLY = f"""
 (SELECT *, CASE WHEN contains(open, '{{') THEN regexp_extract(open, '(?s)\\{{.*\\}}') WHEN contains(open, '[') THEN regexp_extract(open, '(?s)\\[.*\\]') END AS cut
  FROM (SELECT *, {_OPEN} AS open FROM {_RESPONSES}))"""
-_PARSED = f"""
+PARSED_REPLIES = f"""
 (SELECT *, CASE WHEN json_valid(cut) THEN CAST(cut AS JSON) WHEN json_valid(open) THEN CAST(open AS JSON) END AS j,
    CASE WHEN json_valid(cut) THEN CASE WHEN cut LIKE '{{%' THEN 'object' ELSE 'array' END ELSE 'text' END AS kind FROM {_REPLY})"""
 _DETECTED = f"""
@@ -231,7 +231,7 @@ SELECT doc_id, j_ AS j, d,
 FROM (SELECT doc_id, site, site_url, CAST(unnest(range(1, len(l) + 1)) AS BIGINT) AS j_, unnest(l) AS d FROM (
   SELECT doc_id, site, site_url, CASE
     WHEN json_type(j) = 'OBJECT' AND json_type(j, '$.datasets') = 'ARRAY' THEN CAST(json_extract(j, '$.datasets') AS JSON[])
-    WHEN json_type(j) = 'ARRAY' THEN CAST(j AS JSON[]) ELSE [j] END AS l FROM {_PARSED}))
+    WHEN json_type(j) = 'ARRAY' THEN CAST(j AS JSON[]) ELSE [j] END AS l FROM {PARSED_REPLIES}))
 """
 
 
@@ -248,7 +248,7 @@ _PROMPT = f"{_HEAD + _TEXT_NOTE} + length('https://ex.org/d/' || doc_id) + lengt
 
 REPLIES = {
     "response_parse": f"""
-        SELECT doc_id, kind, CASE WHEN kind = 'object' THEN json_extract_string(CASE WHEN kind = 'object' THEN cut END, '$.name') END AS doc_name FROM {_PARSED}""",
+        SELECT doc_id, kind, CASE WHEN kind = 'object' THEN json_extract_string(CASE WHEN kind = 'object' THEN cut END, '$.name') END AS doc_name FROM {PARSED_REPLIES}""",
     "response_datasets": f"SELECT doc_id, j, name, url FROM ({_DETECTED})",
     "response_counts": f"SELECT doc_id, count(*) AS n_datasets FROM ({_DETECTED}) GROUP BY doc_id",
     "metadata_merge": f"""
