@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from metaloom.functions.bind import let
 from metaloom.functions.variants import child, kind, strip, text_at
@@ -192,3 +192,46 @@ def collection_extent(headers: DataFrame, key: str = "collection") -> DataFrame:
             F.max("north").alias("north"),
         )
     )
+
+
+def round_extent(headers: DataFrame, key: str = "collection") -> DataFrame:
+    """Extent of all rasters of a collection on the globe: west > east where it lies over the date line.
+
+    Longitudes are arcs of a circle. The union of all arcs leaves gaps; the extent is what lies outside the largest
+    (of equal ones the first east of -180). Without a gap it is the whole circle, -180 to 180. Arcs are first reduced to the longest
+    at each western edge, which partial aggregates do, so a collection of very many tiles on a grid meets as few rows.
+    """
+    tiles = with_footprint(headers)
+    width = F.least(F.col("east") - F.col("west"), F.lit(360.0))
+    west = F.pmod(F.col("west").cast("double") + 180, F.lit(360.0)) - 180
+    edges = tiles.groupBy(key, west.alias("_west")).agg(
+        F.max(width).alias("_width"), F.min("south").alias("south"), F.max("north").alias("north")
+    )
+    line = Window.partitionBy(key).orderBy("_west")
+    reach = F.max(F.col("_west") + F.col("_width"))
+    whole = Window.partitionBy(key)
+    # What the arcs over the date line cover of the circle's beginning counts as the first end.
+    placed = edges.select(
+        key,
+        "_west",
+        "south",
+        "north",
+        F.greatest(reach.over(line.rowsBetween(Window.unboundedPreceding, -1)), reach.over(whole) - 360).alias("_past"),
+        reach.over(whole).alias("_end"),
+        F.min("_west").over(whole).alias("_first"),
+    )
+    # The gap before each arc; that of the first reaches back over the date line to the last end.
+    gap = F.when(F.col("_west") > F.col("_first"), F.col("_west") - F.col("_past")).otherwise(F.col("_west") + 360 - F.col("_end"))
+    begin = F.when(F.col("_west") > F.col("_first"), F.col("_past")).otherwise(F.col("_end"))
+    normal = F.pmod(begin + 180, F.lit(360.0)) - 180
+    best = F.max_by(F.struct(F.col("_west").alias("west"), normal.alias("end")), F.struct(gap.alias("gap"), (-F.col("_west")).alias("place")))
+    found = placed.groupBy(key).agg(best.alias("_best"), F.max(gap).alias("_gap"), F.min("south").alias("south"), F.max("north").alias("north"))
+    open_ = F.col("_gap") > 0
+    east = F.when(F.col("_best")["end"] == -180, F.lit(180.0)).otherwise(F.col("_best")["end"])
+    return found.select(
+        key,
+        F.when(open_, F.col("_best")["west"]).otherwise(F.lit(-180.0)).alias("west"),
+        "south",
+        F.when(open_, east).otherwise(F.lit(180.0)).alias("east"),
+        "north",
+    )

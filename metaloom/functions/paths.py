@@ -33,7 +33,10 @@ def steps_of(path: str) -> list[re.Match]:
 
 
 def _quoted(key: str) -> str:
-    return "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
+    """The key as a step of Spark's own path syntax, which has two kinds of quotes and no escapes."""
+    if "'" in key and '"' in key:
+        raise ValueError(f"a key with both kinds of quotes: {key}")
+    return f'$["{key}"]' if "'" in key else f"$['{key}']"
 
 
 def _unescaped(name: str) -> str:

@@ -122,3 +122,43 @@ def address_below(path: Column, root: str, base: str) -> Column:
     below = F.regexp_replace(F.regexp_replace(path, "^file:/*", "/"), f"^\\Q{folder}\\E/", "")
     escaped = F.replace(F.replace(F.url_encode(below), F.lit("%2F"), F.lit("/")), F.lit("+"), F.lit("%20"))
     return F.concat(F.lit(base.rstrip("/") + "/"), escaped)
+
+
+# Characters that need no escape in a URL, and the ports that schemes imply.
+UNRESERVED = "[A-Za-z0-9._~-]"
+DEFAULT_PORTS = {"http": "80", "https": "443"}
+
+
+def _escapes(text: Column) -> Column:
+    """Escapes in one form: those of unreserved characters undone, the others in upper case."""
+
+    def piece(p: Column, i: Column) -> Column:
+        code = F.conv(F.substring(p, 1, 2), 16, 10).cast("int")
+        char = F.char(code)
+        undone = F.when(code.between(1, 126) & char.rlike(f"^{UNRESERVED}$"), F.concat(char, F.substring(p, 3, 1 << 30)))
+        escaped = F.concat(F.lit("%"), F.upper(F.substring(p, 1, 2)), F.substring(p, 3, 1 << 30))
+        return F.when(i == 0, p).when(p.rlike("^[0-9A-Fa-f]{2}"), F.coalesce(undone, escaped)).otherwise(F.concat(F.lit("%"), p))
+
+    undone = F.array_join(F.transform(F.split(text, "%", -1), piece), "")
+    return F.when(F.contains(text, F.lit("%")), undone).otherwise(text)
+
+
+def normal_form(url: Column) -> Column:
+    """One spelling for URLs that differ in the case of scheme and host, the scheme's own port, escapes, dot segments, an
+    empty path or a fragment. For http(s); any other text stays as it is. Case and order of paths and queries count.
+    """
+
+    def joined(p: Column) -> Column:
+        scheme, authority, path, query = (F.get(p, F.lit(i)) for i in range(4))
+        low = F.lower(scheme)
+        host = F.lower(_escapes(authority))
+        for name, port in DEFAULT_PORTS.items():
+            host = F.when(low == name, F.regexp_replace(host, f":({port})?$", "")).otherwise(host)
+        clean = _escapes(path)
+        whole = F.when(clean == "", F.lit("/")).otherwise(
+            F.when(clean.rlike(r"//|(^|/)\.\.?(/|$)"), _drop_dot_segments(clean, F.lit(False))).otherwise(clean)
+        )
+        own_query = F.when(query == "?", F.lit("")).otherwise(_escapes(query))
+        return F.concat(low, F.lit(":"), host, whole, own_query)
+
+    return F.when(is_http(F.lower(url)), let(_parts(url), joined)).otherwise(url)

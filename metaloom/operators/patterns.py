@@ -85,7 +85,7 @@ def _path(quads: DataFrame, pattern: Pattern) -> DataFrame:
 
 
 def match(quads: DataFrame, patterns: list[Pattern]) -> DataFrame:
-    """Bindings of a list of patterns within one graph: `g` and a column per variable, without its `?`.
+    """Bindings of a list of patterns within one graph: `g` and a column per variable, without its `?`, as they first occur.
 
     A term that begins with `?` is a variable, any other a constant; a predicate is a constant, with a `+` at its end a path
     of one or more such steps. Patterns with one subject are read as one star. Stars and paths are
@@ -110,7 +110,8 @@ def match(quads: DataFrame, patterns: list[Pattern]) -> DataFrame:
         rest = [d for d in rest if d is not near]
         shared = [c for c in out.columns if c in near.columns]
         out = out.join(shuffled(near), shared)
-    return out.select("g", *[_named(c) for c in out.columns if _is_name(c)]).distinct()
+    order = dict.fromkeys(t for s, _, o in patterns for t in (s, o) if _is_name(t))
+    return out.select("g", *[_named(v) for v in order]).distinct()
 
 
 def _named(variable: str) -> Column:

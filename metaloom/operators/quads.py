@@ -81,38 +81,118 @@ def read_document(text: str | None) -> tuple[object, str | None]:
         return None, type(error).__name__
 
 
+class Terms:
+    """What the inline contexts above a node say about names: terms, prefixes, `@vocab` and `@language`.
+
+    Contexts that stand somewhere else are not fetched; they leave names as they are.
+    """
+
+    def __init__(self) -> None:
+        self.known: dict[str, dict | None] = {}
+        self.vocabulary: str | None = None
+        self.language: str | None = None
+
+    def under(self, context) -> Terms:
+        """The terms below a node with this `@context`; null forgets all."""
+        if context is None:
+            return Terms()
+        if isinstance(context, list):
+            out = self
+            for item in context:
+                out = out.under(item)
+            return out
+        if not isinstance(context, dict):
+            return self
+        out = Terms()
+        out.known, out.vocabulary, out.language = dict(self.known), self.vocabulary, self.language
+        if "@vocab" in context:
+            out.vocabulary = out.iri(context["@vocab"]) if _text(context["@vocab"]) else None
+        if "@language" in context:
+            out.language = _text(context["@language"])
+        for name, given in context.items():
+            if name[:1] != "@":
+                out.known[name] = {"@id": given} if isinstance(given, str) else given if isinstance(given, dict) else None
+        return out
+
+    def of(self, name: str) -> dict:
+        return self.known.get(name) or {}
+
+    def dropped(self, name: str) -> bool:
+        return name in self.known and self.known[name] is None
+
+    def keyword(self, name: str) -> str:
+        """The keyword that a name stands for, else the name."""
+        given = _text(self.of(name).get("@id"))
+        return given if given and given[:1] == "@" else name
+
+    def name(self, name: str, steps: int = 8) -> str:
+        """A property, type or datatype: by its term, its prefix or the vocabulary. What none knows stays as it is."""
+        given = _text(self.of(name).get("@id")) or _text(self.of(name).get("@reverse"))
+        if given and given != name and steps:
+            return self.name(given, steps - 1)
+        whole = self.iri(name, steps)
+        return whole if whole != name or ":" in name or not self.vocabulary else self.vocabulary + name
+
+    def iri(self, name: str, steps: int = 8) -> str:
+        """An address, its prefix written out."""
+        prefix, mark, rest = name.partition(":")
+        if mark and steps and prefix != "_" and not rest.startswith("//") and _text(self.of(prefix).get("@id")):
+            return self.name(prefix, steps - 1) + rest
+        return name
+
+
 def statements(text: str | None) -> Iterator[tuple]:
     """The statements of one document as (s_id, s_path, p, kind, value, datatype, language, turned).
 
     A node is named by its `@id`, or by its path in the document. The kind tells how `value` is to be read:
     iri, path (of an unnamed node), type, string, boolean, integer or double. A `@list` is a chain of unnamed nodes.
-    Ids and types that are no strings, null values and members that are no nodes are passed over.
+    Inline contexts hold for the node they stand in and all below it. Ids and types that are no strings, null values and
+    members that are no nodes are passed over.
     """
     root, _ = read_document(text)
-    pending = [(f"{i}", node) for i, node in enumerate(_members(root)) if isinstance(node, dict)]
+    pending = [(f"{i}", node, Terms()) for i, node in enumerate(_members(root)) if isinstance(node, dict)]
     while pending:
-        path, node = pending.pop()
-        own = (_text(node.get("@id")), path)
-        for member in _members(node.get("@graph", [])):
+        path, node, above = pending.pop()
+        names = above.under(node["@context"]) if "@context" in node else above
+        fields, words = [], {}
+        for key, value in node.items():
+            word = names.keyword(key)
+            if word[:1] == "@":
+                words[word] = value
+            elif not names.dropped(key):
+                fields.append((key, value, "@reverse" in names.of(key)))
+        given = _text(words.get("@id"))
+        own = (names.iri(given) if given else None, path)
+        for member in _members(words.get("@graph", [])):
             if isinstance(member, dict):
-                pending.append((f"{path}/@graph/{len(pending)}", member))
-        fields = [(key, value, False) for key, value in node.items() if key[:1] != "@"]
-        inverse = node.get("@reverse")
+                pending.append((f"{path}/@graph/{len(pending)}", member, names))
+        inverse = words.get("@reverse")
         if isinstance(inverse, dict):
             fields += [(key, value, True) for key, value in inverse.items()]
-        for name in _members(node.get("@type", [])):
+        for name in _members(words.get("@type", [])):
             if _text(name):
-                yield (*own, "@type", "type", name, None, None, False)
+                yield (*own, "@type", "type", names.name(name), None, None, False)
         for key, value, turned in fields:
+            rule, property_ = names.of(key), names.name(key)
+            inner = names.under(rule["@context"]) if "@context" in rule else names
+            where = f"{path}/{'^' if turned else ''}{key}"
+            container = rule.get("@container")
+            if container == "@list" and not (isinstance(value, dict) and "@list" in value):
+                yield from _chain(own, property_, turned, f"{where}/0", _members(value), pending, inner, rule)
+                continue
+            if container == "@language" and isinstance(value, dict):
+                value = [{"@value": said, "@language": language} for language, some in value.items() for said in _members(some)]
+            elif container == "@index" and isinstance(value, dict):
+                value = [item for some in value.values() for item in _members(some)]
             for i, item in enumerate(_members(value)):
-                place = f"{path}/{'^' if turned else ''}{key}/{i}"
+                place = f"{where}/{i}"
                 if isinstance(item, dict) and "@list" in item:
-                    yield from _chain(own, key, turned, place, _members(item["@list"]), pending)
+                    yield from _chain(own, property_, turned, place, _members(item["@list"]), pending, inner, rule)
                 else:
-                    yield from _statement(own, key, turned, place, item, pending)
+                    yield from _statement(own, property_, turned, place, item, pending, inner, rule)
 
 
-def _chain(own: tuple, key: str, turned: bool, place: str, items: list, pending: list) -> Iterator[tuple]:
+def _chain(own: tuple, key: str, turned: bool, place: str, items: list, pending: list, names: Terms, rule: dict) -> Iterator[tuple]:
     """A list: one unnamed node per member, each with its value and the node after it."""
     at = [f"{place}/@list/{k}" for k in range(len(items))]
     for k, after in enumerate([*at, None]):
@@ -121,26 +201,35 @@ def _chain(own: tuple, key: str, turned: bool, place: str, items: list, pending:
             yield (*before, name, "iri", RDF + "nil", None, None, side)
         else:
             yield (*before, name, "path", after, None, None, side)
-            yield from _statement((None, after), RDF + "first", False, f"{after}/0", items[k], pending)
+            yield from _statement((None, after), RDF + "first", False, f"{after}/0", items[k], pending, names, rule)
 
 
-def _statement(own: tuple, key: str, turned: bool, place: str, item, pending: list) -> Iterator[tuple]:
+def _statement(own: tuple, key: str, turned: bool, place: str, item, pending: list, names: Terms, rule: dict) -> Iterator[tuple]:
+    wanted = _text(rule.get("@type"))
     if isinstance(item, dict) and "@value" in item:
         given = item["@value"]
         if isinstance(given, (str, bool, int, float)):
             kind = "boolean" if isinstance(given, bool) else "string"
             printed = str(given).lower() if isinstance(given, bool) else str(given)
-            yield (*own, key, kind, printed, _text(item.get("@type")), _text(item.get("@language")), turned)
+            datatype = _text(item.get("@type"))
+            yield (*own, key, kind, printed, names.name(datatype) if datatype else None, _text(item.get("@language")), turned)
     elif isinstance(item, dict):
-        name = _text(item.get("@id"))
-        yield (*own, key, "iri" if name else "path", name or place, None, None, turned)
-        pending.append((place, item))
+        words = {names.keyword(k): v for k, v in item.items() if k != "@context"}
+        inner = names.under(item["@context"]) if "@context" in item else names
+        name = _text(words.get("@id"))
+        yield (*own, key, "iri" if name else "path", inner.iri(name) if name else place, None, None, turned)
+        pending.append((place, item, names))
     elif isinstance(item, bool):
         yield (*own, key, "boolean", str(item).lower(), None, None, turned)
     elif isinstance(item, (int, float)):
         yield (*own, key, "integer" if isinstance(item, int) else "double", repr(item), None, None, turned)
+    elif isinstance(item, str) and wanted in ("@id", "@vocab"):
+        yield (*own, key, "iri", names.iri(item) if wanted == "@id" else names.name(item), None, None, turned)
+    elif isinstance(item, str) and wanted and wanted[:1] != "@":
+        yield (*own, key, "string", item, names.name(wanted), None, turned)
     elif isinstance(item, str):
-        yield (*own, key, "string", item, None, None, turned)
+        language = _text(rule["@language"]) if "@language" in rule else names.language
+        yield (*own, key, "string", item, None, language, turned)
 
 
 def rejected_documents(docs: DataFrame, graph: str = "g", raw: str = "raw") -> DataFrame:

@@ -280,10 +280,20 @@ FROM @part@
 """
 
 SPELT = """
-SELECT page_id, url, CASE page_id % 5 WHEN 0 THEN replace(url, 'https://', 'HTTPS://') WHEN 1 THEN url || '#part' WHEN 2 THEN replace(url, 'e', '%65')
-    WHEN 3 THEN regexp_replace(url, '^(https://[^/]+)', '\\1:443/x/..') ELSE url END AS loc,
+SELECT page_id, u AS url, CASE page_id % 6 WHEN 0 THEN replace(u, 'https://', 'HTTPS://') WHEN 1 THEN u || '#part' WHEN 2 THEN replace(u, 'e', '%65')
+    WHEN 3 THEN replace(u, '.example.', '.EXAMPLE.') WHEN 4 THEN replace(u, '.example.net/', '.example.net/a/./../') ELSE u END AS loc,
   page_id % 13 <> 0 AS listed, page_id % 11 <> 0 AS present
-FROM @pages@
+FROM (SELECT page_id, split_part(url, '#', 1) AS u FROM @pages@) AS plain
+"""
+
+CONTEXTS = """
+SELECT p_partkey AS doc_id, '{"@context":' || CASE p_partkey % 3
+    WHEN 0 THEN '{"dc":"http://purl.org/dc/terms/","title":"dc:title","@vocab":"https://own.example.org/","seeAlso":{"@id":"dc:relation","@type":"@id"}}'
+    WHEN 1 THEN '["https://schema.org/",{"dc":"http://purl.org/dc/terms/","title":{"@id":"dc:title","@language":"en"},"seeAlso":{"@id":"dc:relation","@type":"@id"},"id":"@id"}]'
+    ELSE '"https://schema.org/"' END
+  || CASE p_partkey % 3 WHEN 1 THEN ',"id":' ELSE ',"@id":' END || '"https://ex.org/d/' || CAST(p_partkey AS VARCHAR(20))
+  || '","title":"' || p_name || '","size":"' || CAST(p_size AS VARCHAR(20)) || '","seeAlso":"https://ex.org/f/' || p_brand || '"}' AS raw
+FROM @part@
 """
 
 FIXTURES = {
@@ -293,6 +303,7 @@ FIXTURES = {
     "reformatted": REFORMATTED,
     "round_rasters": ROUND_RASTERS,
     "spelt": SPELT,
+    "contexts": CONTEXTS,
     "registry": REGISTRY,
     "boxes": BOXES,
     "docs": DOCS,

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from metaloom.functions import geo, prompts, urls
 from metaloom.functions.paths import path_texts
 from metaloom.functions.variants import with_value
-from metaloom.operators import harvest, patterns, responses
+from metaloom.operators import catalog, documents, harvest, patterns, quads, responses
 from metaloom.plans.fixtures import fixture, fixture_sql
 from metaloom.plans.oracles import PARSED_REPLIES
 from metaloom.session import ensure_checkpoint_dir
+from metaloom.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,3 +132,90 @@ def response_failures(spark, sf):
     """Replies that hold no JSON, with their whole text."""
     found = responses.detected_datasets(fixture(spark, sf, "responses"), "doc_id", F.col("site"), F.col("site_url"))
     return found.filter("error is not null").select("doc_id", "raw_response")
+
+
+_FILES = fixture_sql("reformatted")
+
+
+@query(f"SELECT doc_id, CASE WHEN raw = first_raw THEN 'intact' WHEN doc_id % 4 = 1 THEN 'reformatted' ELSE 'changed' END AS state FROM {_FILES}")
+def doc_integrity_kinds(spark, sf):
+    """Files named by a hash: intact, printed anew, or changed, against an earlier release of the same files."""
+    files = fixture(spark, sf, "reformatted")
+    first = documents.with_structure(files.select(F.col("first_raw").alias("raw")))
+    known = first.select(F.sha1("raw").alias("stem"), "structure")
+    return documents.integrity_kinds(files, known).select("doc_id", "state")
+
+
+@query(f"""
+    SELECT count(*) AS n_structures, CAST(sum(n) AS BIGINT) AS n FROM (
+      SELECT first_raw, count(*) AS n FROM (SELECT first_raw, raw FROM {_FILES} WHERE doc_id % 4 = 1 UNION ALL SELECT first_raw, first_raw FROM {_FILES} WHERE doc_id % 4 = 1)
+      GROUP BY first_raw HAVING count(DISTINCT raw) > 1)""")
+def docs_reprinted(spark, sf):
+    """Documents that say the same in two texts."""
+    files = fixture(spark, sf, "reformatted").filter("doc_id % 4 = 1")
+    both = files.select("site", "raw").unionAll(files.select("site", F.col("first_raw").alias("raw")))
+    found = documents.reprinted(both)
+    return found.agg(F.count("*").alias("n_structures"), F.sum("n").alias("n"))
+
+
+@query(f"""
+    WITH t AS (SELECT collection, CAST(origin_x AS BIGINT) + 180 AS o, origin_y - height * 0.5 AS south, CAST(origin_y AS DOUBLE) AS north FROM {fixture_sql('round_rasters')}),
+    cell AS (SELECT DISTINCT collection, (o + u) % 360 AS c FROM t, (SELECT unnest(range(10)) AS u)),
+    gap AS (SELECT collection, c, lead(c, 1, first_c + 360) OVER (PARTITION BY collection ORDER BY c) AS n FROM (SELECT *, min(c) OVER (PARTITION BY collection) AS first_c FROM cell)),
+    best AS (SELECT * FROM gap QUALIFY row_number() OVER (PARTITION BY collection ORDER BY n - c DESC, n % 360) = 1)
+    SELECT b.collection, CAST(CASE WHEN n - c > 1 THEN n % 360 - 180 ELSE -180 END AS DOUBLE) AS west, CAST(s.south AS DOUBLE) AS south,
+      CAST(CASE WHEN n - c > 1 AND (c + 1) % 360 > 0 THEN (c + 1) % 360 - 180 ELSE 180 END AS DOUBLE) AS east, s.north
+    FROM best AS b JOIN (SELECT collection, min(south) AS south, max(north) AS north FROM t GROUP BY collection) AS s USING (collection)""")
+def round_extent(spark, sf):
+    """Extents on the globe; some collections lie over the date line."""
+    return geo.round_extent(fixture(spark, sf, "round_rasters"))
+
+
+@query(f"""
+    SELECT loc, CASE WHEN present AND listed THEN 'both' WHEN listed THEN 'missing' ELSE 'unlisted' END AS state FROM (
+      SELECT url AS loc, bool_or(listed) AS listed, bool_or(present) AS present FROM {fixture_sql('spelt')} GROUP BY url) WHERE listed OR present""")
+def sitemap_reconcile_normal(spark, sf):
+    """Listed and present pages, whatever the spelling of their addresses."""
+    rows = fixture(spark, sf, "spelt")
+    listed = rows.filter("listed").select(urls.normal_form(F.col("loc")).alias("loc"))
+    present = rows.filter("present").select(urls.normal_form(F.col("url")).alias("loc"))
+    return catalog.reconcile(listed, present)
+
+
+@query(f"""
+    WITH d AS (SELECT doc_id, CAST(raw AS JSON) AS j FROM {fixture_sql('contexts')})
+    SELECT p, kind, language, count(*) AS n FROM (
+      SELECT CASE WHEN doc_id % 3 < 2 THEN 'http://purl.org/dc/terms/title' ELSE '{SCHEMA}title' END AS p, 'literal' AS kind, CASE WHEN doc_id % 3 = 1 THEN 'en' END AS language FROM d
+      UNION ALL SELECT CASE WHEN doc_id % 3 = 0 THEN 'https://own.example.org/size' ELSE '{SCHEMA}size' END, 'literal', NULL FROM d
+      UNION ALL SELECT CASE WHEN doc_id % 3 < 2 THEN 'http://purl.org/dc/terms/relation' ELSE '{SCHEMA}seeAlso' END, CASE WHEN doc_id % 3 < 2 THEN 'iri' ELSE 'literal' END, NULL FROM d)
+    GROUP BY p, kind, language""")
+def doc_quads_contexts(spark, sf):
+    """Quads of documents with terms, prefixes, languages and a vocabulary of their own."""
+    docs = fixture(spark, sf, "contexts").withColumn("g", F.concat(F.lit("urn:ex:org:docs:data:"), F.col("doc_id").cast("string")))
+    flat = quads.quads_of_documents(docs)
+    return flat.groupBy("p", "kind", "language").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT loc, lastmod, CAST(4 AS BIGINT) AS level FROM {fixture_sql('sitemap')}")
+def sitemap_levels(spark, sf):
+    """Entries below an index of indexes of indexes, with one index listed on two ways."""
+    root, base = f"{ensure_checkpoint_dir(spark)}/levels-{_token()}", "https://maps.example.org"
+    writers.write_sitemap(fixture(spark, sf, "sitemap").select("loc", "lastmod"), f"{root}/maps")
+    for below, folder in (("maps", "one"), ("one", "two"), ("two", "again"), ("again", "three")):
+        writers.write_sitemap_index(spark, f"{root}/{below}", f"{base}/{below}", f"{root}/{folder}")
+    index = readers.read_sitemap_index(spark, root)
+    start = index.filter(F.contains("source_file", F.lit("/three/"))).agg(F.min("source_file").alias("file")).first()["file"]
+    found = readers.expand_index_levels(
+        index, readers.read_sitemap(spark, f"{root}/maps"), root, base, f"{base}/three/{start.rsplit('/', 1)[1]}"
+    )
+    return found.select("loc", "lastmod", _long("level"))
+
+
+@query(f"SELECT row_id, 'Read: ' || trim(name) || chr(10) AS prompt FROM {fixture_sql('registry')}")
+def template_prompts(spark, sf):
+    """Prompts from a template that is read from a file."""
+    folder = f"{ensure_checkpoint_dir(spark)}/template-{_token()}"
+    spark.createDataFrame([("Read: {DATASET_NAME}",)], "value string").coalesce(1).write.text(folder)
+    template = readers.read_template(spark, folder)
+    rows = fixture(spark, sf, "registry")
+    return rows.select("row_id", prompts.format_slots(template, {"DATASET_NAME": F.trim("name")}).alias("prompt"))

@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from metaloom.functions import terms
-from metaloom.functions.bind import once
+from metaloom.functions.bind import once, shuffled
 from metaloom.functions.text import sitemap_time
 from metaloom.functions.urls import address_below
 from metaloom.functions.variants import strict_json
+from metaloom.operators.crawl import crawl
 
 # Header names of a registry file and the column names used here.
 REGISTRY_COLUMNS = {
@@ -134,7 +135,7 @@ def _read_xml(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
         .option("rowTag", row_tag)
         .option("ignoreNamespace", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.xml")
+        .option("pathGlobFilter", "*.{xml,xml.gz}")
         .schema(schema)
         .load(path)
         .withColumn("source_file", file_path())
@@ -171,6 +172,24 @@ def expand_sitemap_index(index: DataFrame, entries: DataFrame, root: str, base:
     return entries.withColumn("_address", address).join(children, F.col("_address") == F.col("child_loc")).drop("_address")
 
 
+def index_levels(index: DataFrame, root: str, base: str, start: str) -> DataFrame:
+    """`url`, `depth` of every sitemap below the index at the address `start`, however many indexes lie between.
+
+    `index` has the entries of all index files below `root` (`read_sitemap_index`), whose addresses lie below `base`. Files that
+    list themselves or each other are met once, at their least depth.
+    """
+    links = index.select(address_below(F.col("source_file"), root, base).alias("src"), F.col("loc").alias("dst"))
+    seeds = index.sparkSession.createDataFrame([(start,)], "url string")
+    return crawl(links.filter(F.col("dst").isNotNull()), seeds)
+
+
+def expand_index_levels(index: DataFrame, entries: DataFrame, root: str, base: str, start: str) -> DataFrame:
+    """Entries of all sitemaps below an index of indexes, each entry of a file once, with the `level` of its file."""
+    levels = index_levels(index, root, base, start).select(F.col("url").alias("_url"), F.col("depth").alias("level"))
+    address = address_below(F.col("source_file"), root, base)
+    return entries.withColumn("_address", address).join(shuffled(levels), F.col("_address") == F.col("_url")).drop("_address", "_url")
+
+
 def read_quads(spark: SparkSession, path: str) -> DataFrame:
     return parse_quads(spark.read.text(path).select(F.col("value").alias("line")))
 
