@@ -47,6 +47,8 @@ CLASSES = {
     "long": bytes(range(0x80, 0x100)),
 }
 N_STATS = 22
+#: Labelled rows that a model is fitted on at most.
+FIT_ROWS = 200_000
 FEATURES = 256
 CELLS = 2000
 #: Ridge scores lie around 0 to 1; those outside fall in the outermost cells.
@@ -299,6 +301,24 @@ def scored(stats: DataFrame, model: Model) -> DataFrame:
     return stats.mapInArrow(rows, "id long, score double, predicted int")
 
 
+def labelled_sample(labels: DataFrame, rows: int = FIT_ROWS, label: str = "quality") -> DataFrame:
+    """About `rows` of the labelled ids at most, by hash of the id, with their label: what a classifier is fitted on.
+
+    The bound makes the ids small enough to be sent to every task, so only texts that are learned from are read for the fit.
+    """
+    given = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
+    share = min(1.0, rows / max(1, given.count()))
+    return given.filter(F.expr("pmod(xxhash64(cast(doc_id AS long), 'fit'), 1000000) / 1000000d") < share)
+
+
+def fitted(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
+    """The model from the labelled documents alone: statistics of no other text are taken."""
+    known = labelled_sample(labels, rows)
+    ids = known.select(F.col("doc_id").cast("long").alias("_labelled")).distinct()
+    own = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id").cast("long") == F.col("_labelled"), "left_semi")
+    return fit(land(document_statistics(own), "statistics"), known)
+
+
 def classify(docs: DataFrame, labels: DataFrame, parts: int = 3, part: int = 1) -> DataFrame:
     """`doc_id`, `held_out`, `score`, `predicted` per document; nothing is learned from held-out rows."""
     stats = land(document_statistics(docs), "statistics")
