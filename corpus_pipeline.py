@@ -12,10 +12,9 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the classifier, learned from all labelled ones, rejects."""
+    """Drop the documents that the classifier, learned from labelled ones (`quality.FIT_ROWS` at most), rejects."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    stats = land(quality.document_statistics(docs), "statistics")
-    return quality.kept_documents(docs, quality.fit(stats, labels))
+    return quality.kept_documents(docs, quality.fitted(docs, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

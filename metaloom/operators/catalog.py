@@ -99,12 +99,11 @@ def dangling(edges: DataFrame, known: DataFrame, known_id: str = "id") -> DataFr
 def with_target(edges: DataFrame, documents: DataFrame, doc_id: str, *fields: str) -> DataFrame:
     """References next to fields of the document they point to; NULL for a dangling one.
 
-    A repeated id shows its smallest field. The targets are written first: a join on plain exchanges can be split.
+    A repeated id shows the fields of one document, the smallest of them. The targets are written first: a join on plain
+    exchanges can be split.
     """
-    targets = cut_lineage(
-        documents.groupBy(F.col(doc_id).alias("_target"))
-        .agg(*[F.min(f).alias(f) for f in fields])
-    )
+    least = documents.groupBy(F.col(doc_id).alias("_target")).agg(F.min(F.struct(*fields)).alias("_fields"))
+    targets = cut_lineage(least.select("_target", *[F.col("_fields")[f].alias(f) for f in fields]))
     return edges.join(shuffled(targets), F.col("child_id") == F.col("_target"), "left").drop("_target")
 
 

@@ -10,11 +10,14 @@ from metaloom.functions.prompts import detection_prompt, generation_prompt
 from metaloom.functions.text import (
     DEFAULT_WAIT_SECONDS,
     failure_reason,
+    file_name,
     is_quota_error,
     retry_delay,
     with_reply_json,
 )
-from metaloom.functions.variants import any_text, array_at, child, has_key, kind
+from metaloom.functions.normalise import normalise_text
+from metaloom.functions.variants import any_text, array_at, child, has_key, kind, strict_json
+from metaloom.operators.validation import check_documents
 
 
 def parse_replies(replies: DataFrame, reply: str = "response") -> DataFrame:
@@ -242,3 +245,25 @@ def request_ledger(requests: DataFrame, attempts: DataFrame, key: str, most: int
         F.col("_reply")["response"].alias("response"),
         F.when(~done, F.col("_last")["reason"]).alias("reason"),
     )
+
+
+def generated_documents(
+    replies: DataFrame, comment: str, site: str = "site", url: str = "site_url", reply: str = "response"
+) -> DataFrame:
+    """Replies of the generation step as documents: `replies` with document, filename, ok, errors, message and reason.
+
+    The reply's object is repaired and checked as any document is; its file is named by its `name`, else by the site. A reply
+    that holds no object, and a document that fails a check, have a `message` and its failure class, so both
+    the files to write and the failure report are filters of this one table.
+    """
+    parsed = parse_replies(replies, reply).withColumnRenamed("text", "_said")
+    is_object = F.col("kind") == "object"
+    repaired = once(parsed.drop("v"), document=normalise_text(F.when(is_object, F.col("_said")), comment))
+    read = once(repaired, v=strict_json(F.col("document")))
+    checked = check_documents(read, "document")
+    name = F.coalesce(any_text(child(F.col("v"), "$.name")), F.col(site))
+    nothing = F.when(F.col("kind") == "text", F.lit(NO_JSON)).otherwise(F.lit("the reply is no object"))
+    message = F.when(~is_object, nothing).when(~F.col("ok"), F.array_join("errors", "; "))
+    out = checked.withColumn("filename", F.when(is_object, file_name(name, F.col(url)))).withColumn("message", message)
+    reason = F.when(F.col("message").isNotNull(), failure_reason(F.col("message"), "generation"))
+    return out.withColumn("ok", is_object & F.col("ok")).withColumn("reason", reason).drop("_said", "v", "warnings", "messages")

@@ -219,3 +219,23 @@ def template_prompts(spark, sf):
     template = readers.read_template(spark, folder)
     rows = fixture(spark, sf, "registry")
     return rows.select("row_id", prompts.format_slots(template, {"DATASET_NAME": F.trim("name")}).alias("prompt"))
+
+
+_NAME = "coalesce(json_extract_string(j, '$.name'), site)"
+_KEYS = ("@context", "@type", "name")
+_LACKING = " ".join(f"""WHEN NOT json_exists(j, '$."{k}"') THEN 'missing ' || chr(39) || '{k}' || chr(39)""" for k in _KEYS)
+_WHOLE = " AND ".join(f"""json_exists(j, '$."{k}"')""" for k in _KEYS)
+_SAFE = rf"left(replace(rtrim(regexp_replace({_NAME}, '[^\p{{L}}\p{{N}} _-]', '', 'g')), ' ', '_'), 50)"
+
+
+@query(f"""
+    SELECT doc_id, kind, CASE WHEN kind = 'object' THEN CASE WHEN {_SAFE} = '' THEN 'dataset' ELSE {_SAFE} END || '_' || left(sha1(site_url), 8) || '.jsonld' END AS filename,
+      CASE WHEN kind = 'text' THEN 'no JSON in the reply' WHEN kind = 'array' THEN 'the reply is no object' {_LACKING} END AS message,
+      CASE WHEN kind <> 'object' OR NOT ({_WHOLE}) THEN 'other_error' END AS reason
+    FROM {PARSED_REPLIES}""")
+def generation_run(spark, sf):
+    """From replies to named documents and failure records; of the checks' messages the first about missing keys."""
+    made = responses.generated_documents(fixture(spark, sf, "responses"), "checked")
+    missing = F.col("message").isNotNull() & ((F.col("kind") != "object") | F.startswith("message", F.lit("missing")))
+    shown = F.when(missing, F.regexp_extract("message", "^[^;]*", 0))
+    return made.select("doc_id", "kind", "filename", shown.alias("message"), F.when(missing, F.col("reason")).alias("reason"))
