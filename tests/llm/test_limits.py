@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from metaloom.llm import decontam, language, lattice, licenses, neardup, secretscan, tokens
+from metaloom.llm import decontam, language, lattice, licenses, neardup, quality, secretscan, tokens
 from metaloom.llm.bytebpe import read_ranks
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -133,3 +133,15 @@ def test_blocks_of_windows_beside_a_column_called_key(spark, monkeypatch):
     items = spark.createDataFrame([(1, "a b"), (2, "b c"), (3, "y")], "item_id long, text string")
     got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"]) for r in decontam.hits(docs, items).collect()}
     assert got == {1: (3, 3, 2), 2: (2, 1, 1)}
+
+
+def test_quality_model_reads_labelled_texts_only(spark):
+    rows = [(i, "good words stand here and go on. " * 5 if i % 2 else "BAD!! BAD!! " * 9) for i in range(200)] + [(None, "no id"), (900, "no label")]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(None, 1), (900, None), (3, 1)], "doc_id long, quality int")
+    assert quality.labelled_sample(labels).count() == 201
+    assert 0 < quality.labelled_sample(labels, rows=50).count() < 120
+    kept = quality.kept_documents(docs.filter("doc_id < 200"), quality.fitted(docs, labels))
+    assert {r["doc_id"] % 2 for r in kept.collect()} == {1} and kept.count() == 100
+    none = quality.fitted(docs.filter("false"), labels.filter("false"))
+    assert quality.kept_documents(docs, none).count() == docs.count()
