@@ -39,8 +39,9 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame) -> DataFrame:
     """`node`, `root` for every node of `links` (a, b): the smallest node that it is connected with.
 
-    Links of one partition are first reduced to a forest. Each round links the larger neighbours of a node with its smallest, then the smaller ones; the smallest neighbours are written
-    first, so plain exchanges stand below the joins and a node with very many links can be split.
+    Links of one partition are first reduced to a forest. Each round links the larger neighbours of a node with its
+    smallest, then the smaller ones; the smallest neighbours are written first, so plain exchanges stand below the joins
+    and a node with very many links can be split.
     """
 
     def least(pairs: DataFrame) -> DataFrame:

@@ -485,8 +485,10 @@ def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
     subjects = own.groupBy(*at).agg(*_sums(F.col("p"), outer), (F.count_if("_inner") == 0).alias("settled"))
     # Unnamed nodes that say nothing of themselves are nodes too.
     mute = quads.filter(inner_node).select(*keys, F.col("value").alias("node")).distinct()
-    mute = mute.withColumns({"_n": F.lit(0).cast("long"), "_a": F.lit(0).cast("decimal(30,0)"), "_b": F.lit(0).cast("decimal(30,0)"), "settled": F.lit(True)})
-    all_nodes = subjects.unionByName(mute).groupBy(*at).agg(F.sum("_n").alias("_n"), F.sum("_a").alias("_a"), F.sum("_b").alias("_b"), F.bool_and("settled").alias("settled"))
+    nought = F.lit(0).cast("decimal(30,0)")
+    mute = mute.withColumns({"_n": F.lit(0).cast("long"), "_a": nought, "_b": nought, "settled": F.lit(True)})
+    sums = [F.sum(c).alias(c) for c in ("_n", "_a", "_b")]
+    all_nodes = subjects.unionByName(mute).groupBy(*at).agg(*sums, F.bool_and("settled").alias("settled"))
     current, seen = written_and_measured(
         all_nodes.select(*at, F.concat_ws("|", "_n", "_a", "_b").alias("base"), "settled").withColumn("hash", F.sha1("base")),
         unsettled=unsettled,
