@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from metaloom.functions.bind import shuffled
 from metaloom.llm.landing import land, unused
@@ -33,6 +33,8 @@ SLOTS = BANDS * ROWS
 PERCENT = 80
 #: About so many members of a star, by hash, tell what most of it have in common. It decides only how many pairs are tried.
 SAMPLE = 64
+#: So many members of a star that share an element are met in one part; more take more parts.
+HOT = 1024
 _STEP = np.uint64(56)
 
 
@@ -258,7 +260,7 @@ def _sampled(width: int):
 
 
 def _against(width: int):
-    """Per member of a star: how many shingles of the star's usual set it lacks, and which further ones it has."""
+    """Per member of a star: the shingles in which it differs from the star's usual set, either way."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -268,19 +270,21 @@ def _against(width: int):
                 n = high - low
                 shingle, owner = elements(texts, width, hasher)
                 own = usual.slice(low, n)
-                sizes = np.array([len(u) if u.is_valid else 0 for u in own])
                 held = own.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-                known = np.isin(salted(shingle, owner), salted(held, np.repeat(np.arange(n), sizes)))
-                extra = ~known
-                counts = np.bincount(owner[extra], minlength=n)
+                holder = np.repeat(np.arange(n), [len(u) if u.is_valid else 0 for u in own])
+                mine, theirs = salted(shingle, owner), salted(held, holder)
+                more, lacked = ~np.isin(mine, theirs), ~np.isin(theirs, mine)
+                differs = np.concatenate([shingle[more], held[lacked]])
+                whose = np.concatenate([owner[more], holder[lacked]])
+                counts = np.bincount(whose, minlength=n)
                 lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(shingle[extra].view(np.int64))
+                    pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()),
+                    pa.array(differs[np.argsort(whose, kind="stable")].view(np.int64)),
                 )
-                lacks = sizes - np.bincount(owner[known], minlength=n)
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(k).slice(low, n) for k in ("hub", "rep", "n", "c", "main")], pa.array(sizes), pa.array(lacks), lists],
-                    ["hub", "rep", "n", "c", "main", "r", "lacks", "extra"],
-                )
+                    [*[batch.column(k).slice(low, n) for k in ("hub", "rep", "n", "c", "main")], lists],
+                    ["hub", "rep", "n", "c", "main", "differs"],
+                )
 
     return rows
 
@@ -309,7 +313,6 @@ def link(docs: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
     texts = given.join(shuffled(involved.withColumnRenamed("rep", "id")), ["id", "own"], "left_semi")
     links = _Links(land(texts.select(F.col("id").alias("rep"), "text"), "texts"), width, percent)
     possible = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    sizes = classes.select(F.col("rep").alias("hub"), F.col("n").alias("m"))
     star = land(members.select("hub", "rep", "n").distinct(), "star")
     sizes = classes.select(F.col("rep").alias("hub"), F.col("n").alias("m"))
     links.test(star.filter("rep <> hub").join(shuffled(sizes), "hub").filter(possible).select(*_pair("hub", "rep")))
@@ -318,13 +321,17 @@ def link(docs: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
 
 
 def _remaining(star: DataFrame, groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs of a star in different groups that can still be linked.
+    """Pairs of a star in different groups that join all groups which links inside the star join.
+
+    Members are described by the elements D in which they differ from a usual set of their star, which most of a small
+    sample share. Whatever that set is, two members differ in |D1| + |D2| - 2 |D1 and D2| elements, and are linked if these
+    are at most (100 - percent) / (100 + percent) of their summed sizes. With the excess e of a member, which is
+    (100 + percent) |D| - (100 - percent) n, that reads: 2 (100 + percent) |D1 and D2| >= e1 + e2. So
 
-    Members are described against a usual set of their star, which most of a small sample share: a member lacks A of
-    it and has B besides. Two members without a common element of B share at most r - max(|A|) shingles and have at
-    least r + |B1| + |B2| - min(|A|) together, whatever the usual set is. So a pair can only be linked if it has
-    an element of B in common, or if one member lacks so little that the other's shortness makes up for it. Both are
-    equi-joins, and members of a star's main group are never paired with each other.
+    - members with e1 + e2 <= 0 are linked, and each of them also with the member of least excess: one pair a member;
+    - all others share an element of D. With these ordered from rare to frequent, the first one that two members share has
+      as many behind it, itself included, as the link needs, in both. Pairs are met at such elements only (`_met`) and
+      judged by their whole D before any text is read again.
     """
     known = star.join(shuffled(groups.select(F.col("v").alias("rep"), "c")), "rep", "left")
     known = land(known.withColumn("c", F.coalesce("c", "rep")), "known")
@@ -340,28 +347,45 @@ def _remaining(star: DataFrame, groups: DataFrame, texts: DataFrame, width: int,
     usual = land(seen.filter("2 * k > taken").groupBy("hub").agg(F.collect_list("element").alias("usual")), "usual")
     full = stars.join(shuffled(texts), "rep").join(shuffled(usual), "hub", "left")
     facts = full.select("hub", "rep", "n", "c", "main", "text", "usual").mapInArrow(
-        _against(width), "hub long, rep long, n long, c long, main long, r long, lacks long, extra array<long>"
+        _against(width), "hub long, rep long, n long, c long, main long, differs array<long>"
     )
-    facts = land(facts.withColumn("more", F.size("extra").cast("long")), "facts")
-    # The shortness that the other one must have for a link without a common extra element.
-    need = F.ceil((percent * (F.col("r") + F.col("more")) - 100 * (F.col("r") - F.col("lacks"))) / percent)
-    zero = F.lit(0).cast("long")
-    odd = facts.filter("c <> main").select(
-        "hub", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("c").alias("c2"), F.greatest(zero, need).alias("short")
-    )
-    every = facts.select("hub", "rep", "n", "c", F.explode(F.sequence(zero, F.greatest(zero, F.expr("lacks - more")))).alias("short"))
-    other = F.expr("c <> c2") & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
-    near = every.join(shuffled(odd), ["hub", "short"]).filter(other).select(*_pair("rep", "rep2"))
-    spread = facts.select("hub", "rep", "n", "c", "r", "lacks", F.explode("extra").alias("element"))
-    common = spread.groupBy("hub", "element").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
-    met = land(spread.join(shuffled(land(common.select("hub", "element"), "common")), ["hub", "element"]), "met")
-    twin = met.toDF("hub", "rep2", "n2", "c2", "r2", "lacks2", "element")
-    pairs = met.join(shuffled(twin), ["hub", "element"]).filter("rep < rep2").filter(other)
-    pairs = pairs.groupBy("hub", "rep", "rep2", "n", "n2", "r", "lacks", "lacks2").agg(F.count("*").alias("both"))
-    # What both have in common is at most this; a link needs percent / (100 + percent) of the summed sizes.
-    most = F.expr("both + r - greatest(lacks, lacks2)")
-    pairs = pairs.filter((100 + percent) * most >= percent * (F.col("n") + F.col("n2")))
-    return near.union(pairs.select(*_pair("rep", "rep2")))
+    excess = (100 + percent) * F.size("differs").cast("long") - (100 - percent) * F.col("n")
+    facts = land(facts.withColumn("e", excess), "facts")
+    least = facts.groupBy("hub").agg(F.min(F.struct("e", "rep", "c")).alias("least"))
+    least = land(least.select("hub", F.col("least.e").alias("e2"), F.col("least.rep").alias("rep2"), F.col("least.c").alias("c2")), "least")
+    near = facts.select("hub", "rep", "c", "e").join(shuffled(least), "hub").filter("c <> c2 and e + e2 <= 0")
+    pairs = land(_met(facts, least, percent), "met")
+    sides = [
+        facts.select("hub", F.col("rep").alias(f"rep{i}"), F.col("e").alias(f"e{i}"), F.col("differs").alias(f"differs{i}"))
+        for i in "12"
+    ]
+    judged = pairs.join(shuffled(sides[0]), ["hub", "rep1"]).join(shuffled(sides[1]), ["hub", "rep2"])
+    linked = 2 * (100 + percent) * F.size(F.array_intersect("differs1", "differs2")) >= F.col("e1") + F.col("e2")
+    return near.select(*_pair("rep", "rep2")).union(judged.filter(linked).select(*_pair("rep1", "rep2")))
+
+
+def _met(facts: DataFrame, least: DataFrame, percent: int) -> DataFrame:
+    """(hub, rep1, rep2): members of different groups that may share enough of their differing elements.
+
+    Members of a star's main group are met with others only. Elements that one group alone has never count. An element
+    of many members is dealt out by salt, so no task pairs all of them.
+    """
+    spread = facts.select("hub", "rep", "n", "c", "main", "e", F.explode("differs").alias("element"))
+    common = spread.groupBy("hub", "element").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("k"))
+    common = land(common.filter("lo <> hi").select("hub", "element", "k"), "common")
+    shared = land(spread.join(shuffled(common), ["hub", "element"]), "shared")
+    behind = F.row_number().over(Window.partitionBy("hub", "rep").orderBy(F.desc("k"), "element"))
+    placed = shared.withColumn("room", 2 * (100 + percent) * behind.cast("long"))
+    placed = placed.join(shuffled(least.select("hub", "e2")), "hub").filter("room >= e + e2").drop("e2")
+    placed = land(placed.withColumn("parts", F.ceil(F.col("k") / HOT).cast("int")), "placed")
+    odd = placed.filter("c <> main").withColumn("part", F.expr("pmod(xxhash64(rep), parts)").cast("int")).drop("k", "parts")
+    odd = odd.toDF(*[c if c in ("hub", "main", "element", "part") else f"{c}1" for c in odd.columns])
+    every = placed.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("k", "parts", "main")
+    every = every.toDF(*[c if c in ("hub", "element", "part") else f"{c}2" for c in every.columns])
+    once = F.expr("c1 <> c2 and (c2 = main or rep1 < rep2) and e1 + e2 > 0 and room1 >= e1 + e2 and room2 >= e1 + e2")
+    sized = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
+    met = odd.join(shuffled(every), ["hub", "element", "part"]).filter(once & sized)
+    return met.select("hub", "rep1", "rep2").distinct()
 
 
 def _joined(signed: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
