@@ -192,14 +192,20 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()), pa.array(c, pa.int64())], ["v", "c"])
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every id points to one other id, which points to none."""
+    ends = edges.select(F.col("v").alias("x"), F.lit(1).alias("down")).union(edges.select("c", F.lit(0)))
+    ends = ends.groupBy("x").agg(F.sum("down").alias("down"), F.min("down").alias("least"))
+    return ends.filter("down > 1 or down = 1 and least = 0").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(v, c) for every id that is linked with a smaller one: c is the smallest id that it reaches.
 
     Large-star and small-star steps, each two hash aggregates and joins on plain scans, so hot ids can be split.
     """
     edges = land(links.select("a", "b").mapInArrow(_forest, "v long, c long"), "forest")
-    last = None
-    while True:
+    while not _stars(edges):
         both = edges.union(edges.select("c", "v"))
         least = land(both.groupBy("v").agg(F.min("c").alias("m")).withColumn("m", F.least("v", "m")), "least")
         large = both.filter("c > v").join(shuffled(least), "v").select(F.col("c").alias("v"), F.col("m").alias("c"))
@@ -207,10 +213,7 @@ def components(links: DataFrame) -> DataFrame:
         least = land(large.groupBy("v").agg(F.min("c").alias("m")), "least")
         small = large.join(shuffled(least), "v").select(F.col("c").alias("v"), F.col("m").alias("c"))
         edges = land(small.filter("v <> c").union(least).distinct(), "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "c").cast("decimal(38,0)"))).first()
-        if state == last:
-            return edges
-        last = state
+    return edges
 
 
 class _Links:
@@ -219,13 +222,12 @@ class _Links:
     def __init__(self, texts: DataFrame, width: int, percent: int) -> None:
         self.texts, self.width, self.percent = texts, width, percent
         self.tested: DataFrame | None = None
+        self.groups: DataFrame | None = None
 
     def test(self, pairs: DataFrame) -> None:
-        """Confirm `pairs` (a < b) that were not tested yet."""
-        pairs = pairs.distinct()
+        """Confirm pairs (a < b, each once), leave out those tested before, and bring the groups up to date."""
         if self.tested is not None:
             pairs = pairs.join(shuffled(self.tested.select("a", "b")), ["a", "b"], "left_anti")
-        pairs = land(pairs, "pairs")
         right = self.texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
         left = self.texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
         full = pairs.join(shuffled(right), "b").join(shuffled(left), "a")
@@ -233,10 +235,13 @@ class _Links:
             _confirmed(self.width, self.percent), "a long, b long, linked boolean"
         )
         found = land(found, "tested")
-        self.tested = found if self.tested is None else land(self.tested.unionByName(found), "tested")
-
-    def groups(self) -> DataFrame:
-        return components(self.tested.filter("linked"))
+        links = found.filter("linked").select("a", "b")
+        if self.groups is None:
+            self.groups = components(links)
+        elif not links.isEmpty():
+            # Known groups count as links of their members with the smallest one.
+            self.groups = components(self.groups.select(F.col("c").alias("a"), F.col("v").alias("b")).union(links))
+        self.tested = found if self.tested is None else self.tested.union(found)
 
 
 def _pair(x: str, y: str) -> list:
@@ -244,17 +249,16 @@ def _pair(x: str, y: str) -> list:
 
 
 def _sampled(width: int):
-    """(hub, element): the shingles of some members of a star."""
+    """(hub, taken, element): the shingles of some members of a star, and how many members these are."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            hubs = batch.column("hub").to_numpy(zero_copy_only=False)
+            hubs, taken = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("hub", "taken")]
             for low, _, texts in slices(batch.column("text")):
                 shingle, owner = elements(texts, width, hasher)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hubs[low + owner]), pa.array(shingle.view(np.int64))], ["hub", "element"]
-                )
+                columns = [hubs[low + owner], taken[low + owner], shingle.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hub", "taken", "element"])
 
     return rows
 
@@ -306,18 +310,19 @@ def link(docs: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
     classes = full.groupBy("f1", "f2", "n").agg(first, F.first("bands").alias("bands"))
     classes = land(classes.select("f1", "f2", "n", "first.id", "first.own", "bands").withColumnRenamed("id", "rep"), "classes")
     keyed = classes.select("rep", "own", "n", F.explode("bands").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).filter("hub <> top")
-    hubs = land(hubs.select("key", "hub"), "hubs")
-    members = land(keyed.join(shuffled(hubs), "key"), "buckets")
-    involved = land(members.select("rep", "own").distinct(), "involved")
-    texts = given.join(shuffled(involved.withColumnRenamed("rep", "id")), ["id", "own"], "left_semi")
+    hubs = keyed.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("hub"), F.max("rep").alias("top"))
+    hubs = hubs.filter("hub.rep <> top").select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("m"))
+    hubs = land(hubs, "hubs")
+    star = land(keyed.join(shuffled(hubs), "key").select("hub", "m", "rep", "own", "n").distinct(), "star")
+    # A text has a row for each of its buckets at most, so none is hot here.
+    involved = star.select(F.col("rep").alias("id"), "own")
+    texts = given.join(shuffled(involved), ["id", "own"], "left_semi")
     links = _Links(land(texts.select(F.col("id").alias("rep"), "text"), "texts"), width, percent)
     possible = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    star = land(members.select("hub", "rep", "n").distinct(), "star")
-    sizes = classes.select(F.col("rep").alias("hub"), F.col("n").alias("m"))
-    links.test(star.filter("rep <> hub").join(shuffled(sizes), "hub").filter(possible).select(*_pair("hub", "rep")))
-    links.test(_remaining(star, links.groups(), links.texts, width, percent))
-    return _joined(signed, classes, links.groups())
+    # A hub is the smallest id of its bucket, so each of these pairs stands here once.
+    links.test(star.filter("rep <> hub").filter(possible).select(F.col("hub").alias("a"), F.col("rep").alias("b")))
+    links.test(_remaining(star.select("hub", "rep", "n"), links.groups, links.texts, width, percent).distinct())
+    return _joined(signed, classes, links.groups)
 
 
 def _remaining(star: DataFrame, groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -340,10 +345,11 @@ def _remaining(star: DataFrame, groups: DataFrame, texts: DataFrame, width: int,
     mixed = land(mixed.filter("kinds > 1").drop("kinds"), "mixed")
     stars = land(known.join(shuffled(mixed), "hub"), "stars")
     place = F.expr("pmod(xxhash64(hub, rep), 1000000) / 1000000d")
-    some = land(stars.filter(place < SAMPLE / F.col("size")).select("hub", "rep"), "some")
-    taken = some.groupBy("hub").agg(F.count("*").alias("taken"))
-    seen = some.join(shuffled(texts), "rep").select("hub", "text").mapInArrow(_sampled(width), "hub long, element long")
-    seen = seen.groupBy("hub", "element").agg(F.count("*").alias("k")).join(shuffled(taken), "hub")
+    taken = F.count("*").over(Window.partitionBy("hub")).alias("taken")
+    some = stars.filter(place < SAMPLE / F.col("size")).select("hub", "rep", taken)
+    seen = some.join(shuffled(texts), "rep").select("hub", "taken", "text")
+    seen = seen.mapInArrow(_sampled(width), "hub long, taken long, element long")
+    seen = seen.groupBy("hub", "element").agg(F.count("*").alias("k"), F.first("taken").alias("taken"))
     usual = land(seen.filter("2 * k > taken").groupBy("hub").agg(F.collect_list("element").alias("usual")), "usual")
     full = stars.join(shuffled(texts), "rep").join(shuffled(usual), "hub", "left")
     facts = full.select("hub", "rep", "n", "c", "main", "text", "usual").mapInArrow(
@@ -354,7 +360,7 @@ def _remaining(star: DataFrame, groups: DataFrame, texts: DataFrame, width: int,
     least = facts.groupBy("hub").agg(F.min(F.struct("e", "rep", "c")).alias("least"))
     least = land(least.select("hub", F.col("least.e").alias("e2"), F.col("least.rep").alias("rep2"), F.col("least.c").alias("c2")), "least")
     near = facts.select("hub", "rep", "c", "e").join(shuffled(least), "hub").filter("c <> c2 and e + e2 <= 0")
-    pairs = land(_met(facts, least, percent), "met")
+    pairs = _met(facts, least, percent)
     sides = [
         facts.select("hub", F.col("rep").alias(f"rep{i}"), F.col("e").alias(f"e{i}"), F.col("differs").alias(f"differs{i}"))
         for i in "12"
@@ -373,7 +379,7 @@ def _met(facts: DataFrame, least: DataFrame, percent: int) -> DataFrame:
     spread = facts.select("hub", "rep", "n", "c", "main", "e", F.explode("differs").alias("element"))
     common = spread.groupBy("hub", "element").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("k"))
     common = land(common.filter("lo <> hi").select("hub", "element", "k"), "common")
-    shared = land(spread.join(shuffled(common), ["hub", "element"]), "shared")
+    shared = spread.join(shuffled(common), ["hub", "element"])
     behind = F.row_number().over(Window.partitionBy("hub", "rep").orderBy(F.desc("k"), "element"))
     placed = shared.withColumn("room", 2 * (100 + percent) * behind.cast("long"))
     placed = placed.join(shuffled(least.select("hub", "e2")), "hub").filter("room >= e + e2").drop("e2")
@@ -392,7 +398,7 @@ def _joined(signed: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
     named = classes.select("f1", "f2", "n", "rep").join(
         shuffled(groups.select(F.col("v").alias("rep"), "c")), "rep", "left"
     )
-    named = land(named.select("f1", "f2", "n", F.coalesce("c", "rep").alias("component")), "named")
+    named = named.select("f1", "f2", "n", F.coalesce("c", "rep").alias("component"))
     rows = signed.select("id", "n", "f1", "f2")
     some = F.expr("n > 0 and id is not null")
     linked = rows.filter(some).join(shuffled(named), ["f1", "f2", "n"]).select("id", "n", "component")
