@@ -20,6 +20,8 @@ ship_by_value(__name__)
 
 # Fixed value: the namespace of the sitemap protocol.
 SITEMAP_NAMESPACE = "http://www.sitemaps.org/schemas/sitemap/0.9"
+# Spark's names of stores that pyarrow knows by another.
+STORES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
 
 
 def name_outputs(docs: DataFrame, site: str, name: str, url: str) -> DataFrame:
@@ -60,15 +62,24 @@ def write_output_table(docs: DataFrame, folder: str) -> None:
     by_folder(docs, "folder").write.mode("overwrite").partitionBy("folder").parquet(folder)
 
 
+def store_address(root: str) -> str:
+    """`root`, a path or a URI as Spark writes it, as a URI of the same folder in pyarrow's names."""
+    scheme, mark, rest = root.partition("://")
+    if root.startswith("file:"):
+        return "file://" + urlparse(root).path
+    if mark:
+        return f"{STORES.get(scheme, scheme)}://{rest}"
+    return root if ":" in root.split("/")[0] else os.path.abspath(root)
+
+
 def publish_files(docs: DataFrame, root: str) -> DataFrame:
     """Write each document to `<root>/<folder>/<filename>` from the tasks; report what was written.
 
-    `root` is a folder all executors see: a path, or the URI of a store that pyarrow knows; another scheme is an error
-    before anything is written. A file is written under a name of its own and then moved, so a task that runs twice
+    `root` is a folder all executors see: a path, or the URI of a store by the name that Spark or pyarrow has for it; another
+    scheme is an error before anything is written. Stores take the credentials of the executors' environment. A file is written under a name of its own and then moved, so a task that runs twice
     leaves one whole file. Documents that share a name would overwrite each other: `name_collisions` lists them.
     """
-    store = root if ":" in root.split("/")[0] else os.path.abspath(root)
-    store = "file://" + urlparse(root).path if root.startswith("file:") else store
+    store = store_address(root)
     fs.FileSystem.from_uri(store)
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
