@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
@@ -96,75 +97,77 @@ def stamped_comment(doc: Column, comment: str) -> Column:
 # ---- whole documents -------------------------------------------------------------------------------
 
 
-def _pieces(text: str) -> list[str]:
-    return [p.strip() for p in re.split("[;,]", text) if p.strip()]
+_CUT = re.compile("[;,]")
 
 
-def _formats(value):
-    """Repaired value of an `encodingFormat` key."""
-    if isinstance(value, str):
-        return _pieces(value) if value.strip() else value
-    if not isinstance(value, list):
-        return value
-    found: list[str] = []
-    for item in filter(None, value):
-        listed = isinstance(item, str) and re.search("[;,]", item) and item.strip()
-        found += _pieces(item) if listed else [str(item).strip()]
-    return found
-
+def _texts(value, whole: bool):
+    """A listing value as a list of stripped texts; what is neither text nor list, and blank text, stays.
 
-def _keywords(value):
-    if isinstance(value, str):
-        return _pieces(value) if value.strip() else value
-    return [str(item).strip() for item in value if item] if isinstance(value, list) else value
+    Text falls into its pieces at each mark. So do the items of a list, unless they are `whole`; empty items go.
+    """
+    alone = isinstance(value, str)
+    if not (value.strip() if alone else isinstance(value, list)):
+        return value
+    out: list[str] = []
+    for item in [value] if alone else [i for i in value if i]:
+        text = str(item).strip()
+        if alone or (text and not whole and isinstance(item, str) and _CUT.search(item)):
+            out.extend(filter(None, map(str.strip, _CUT.split(text))))
+        else:
+            out.append(text)
+    return out
 
 
 def _box(value: str) -> str:
-    numbers = value.split()
-    if len(numbers) != 4 or "," in value:
-        return value
+    """Four numbers between blanks as two corners; other text stays."""
     try:
-        west, south, east, north = (float(n) for n in numbers)
+        corners = [float(n) for n in value.split()]
     except ValueError:
         return value
-    return f"{west},{south} {east},{north}"
+    return "{},{} {},{}".format(*corners) if len(corners) == 4 else value
 
 
-def _comment(value, comment: str):
-    if value is None or value == comment:
-        return comment
-    if isinstance(value, list):
-        return value if comment in value else [*value, comment]
-    return [value, comment]
+def _stamped(said, comment: str):
+    """The comment that stands there, if any, followed by `comment`, which stands there once."""
+    listed = said if isinstance(said, list) else [] if said is None else [said]
+    listed = listed if comment in listed else [*listed, comment]
+    return listed if isinstance(said, list) or len(listed) > 1 else comment
+
+
+def _objects(doc: dict) -> Iterator[dict]:
+    """Every object of a document, each before what it holds, so that changes to it are seen on the way down."""
+    waiting: list = [doc]
+    while waiting:
+        node = waiting.pop()
+        if isinstance(node, dict):
+            yield node
+        if isinstance(node, (dict, list)):
+            waiting.extend(node.values() if isinstance(node, dict) else node)
 
 
 def _normalise(doc: dict, comment: str) -> dict:
-    coverage = doc.get("spatialCoverage")
-    shape = coverage.get("geo") if isinstance(coverage, dict) else None
+    place = doc.get("spatialCoverage")
+    shape = place.get("geo") if isinstance(place, dict) else None
     if isinstance(shape, dict) and isinstance(shape.get("box"), str):
         shape["box"] = _box(shape["box"])
     if "keywords" in doc:
-        doc["keywords"] = _keywords(doc["keywords"])
-
-    pending: list = [doc]
-    while pending:
-        node = pending.pop()
-        if isinstance(node, dict):
-            if "encodingFormat" in node:
-                node["encodingFormat"] = _formats(node["encodingFormat"])
-            pending.extend(node.values())
-        elif isinstance(node, list):
-            pending.extend(node)
+        doc["keywords"] = _texts(doc["keywords"], whole=True)
+    for node in _objects(doc):
+        if "encodingFormat" in node:
+            node["encodingFormat"] = _texts(node["encodingFormat"], whole=False)
 
-    if doc.get("comment") == comment:
+    said = doc.get("comment")
+    if said == comment:
         return doc
-    stamped = _comment(doc.pop("comment", None), comment)
-    keys = list(doc)
-    place = keys.index("@type") + 1 if "@type" in keys else len(keys)
-    ordered = {k: doc[k] for k in keys[:place]}
-    ordered["comment"] = stamped
-    ordered.update((k, doc[k]) for k in keys[place:])
-    return ordered
+    # The comment stands right behind the type, or at the end.
+    out: dict = {}
+    for key, value in doc.items():
+        if key != "comment":
+            out[key] = value
+        if key == "@type":
+            out["comment"] = None
+    out["comment"] = _stamped(said, comment)
+    return out
 
 
 def normalise_one(raw: str | None, comment: str) -> str | None:
