@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from functools import reduce
 
@@ -53,21 +54,26 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     if not groups:
         names = [f"{name} string" for name in REGISTRY_COLUMNS.values()]
         return spark.createDataFrame([], ", ".join([*names, "row_id long"]))
-    order = F.lit(sorted(f for files in groups.values() for f in files))
-    parts = [_read_registry_files(spark, files, order) for files in groups.values()]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _read_registry_files(spark: SparkSession, files: list[str], order: Column) -> DataFrame:
-    """Files with one header. A file of a multi-line format is read by one task, so its rows are numbered in order."""
-    raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv([re.sub(r"([\[\]{}*?\\])", r"\\\1", f) for f in files])
-    )
+    rows = reduce(DataFrame.unionByName, [_read_registry_files(spark, *group) for group in groups.items()])
+    names = sorted(f for files in groups.values() for f in files)
+    places = spark.createDataFrame(list(enumerate(names, 1)), "_place long, _file string")
+    # Rows of one file share a key, so a side too large to broadcast still leaves them to be split.
+    placed = rows.join(places, "_file")
+    return placed.withColumn("row_id", F.shiftleft("_place", 33) + F.col("_in_task")).drop("_file", "_place", "_in_task")
+
+
+def _read_registry_files(spark: SparkSession, head: str, files: list[str]) -> DataFrame:
+    """Files with one header. A file of a multi-line format is read by one task, so its rows are numbered in order.
+
+    The header names the columns, the first of a repeated name counts; no job looks at the files for that.
+    """
+    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+    given_names = next(csv.reader([head]), [])
+    if given_names:
+        plain = [n.lower() for n in given_names]
+        unique = [n if n and n.lower() not in plain[:i] else f"_c{i}" for i, n in enumerate(given_names)]
+        reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in unique]))
+    raw = reader.csv([re.sub(r"([\[\]{}*?\\])", r"\\\1", f) for f in files])
     columns = [
         F.coalesce(F.col(f"`{given}`"), F.lit("")).alias(name)
         if given in raw.columns
@@ -75,8 +81,7 @@ def _read_registry_files(spark: SparkSession, files: list[str], order: Column) -
         for given, name in REGISTRY_COLUMNS.items()
     ]
     in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    row_id = F.shiftleft(F.array_position(order, file_path()).cast("long"), 33) + in_task
-    return raw.select(*columns, row_id.alias("row_id"))
+    return raw.select(*columns, file_path().alias("_file"), in_task.alias("_in_task"))
 
 
 def file_path() -> Column:

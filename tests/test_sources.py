@@ -118,6 +118,26 @@ def test_publish(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "table")).count() == 2
 
 
+def test_store_addresses(tmp_path):
+    assert writers.store_address("s3a://bucket/a") == "s3://bucket/a" and writers.store_address("gs://b/c") == "gs://b/c"
+    assert writers.store_address("abfss://c@acc.dfs.core.windows.net/d") == "abfs://c@acc.dfs.core.windows.net/d"
+    assert writers.store_address(f"file:{tmp_path}") == f"file://{tmp_path}"
+    assert writers.store_address(str(tmp_path)) == str(tmp_path)
+
+
+def test_registry_rows_are_numbered_by_file_over_headers(spark, tmp_path):
+    heads = {"b x.csv": ["Dataset Name", "Group"], "a[1].csv": ["Group", "Dataset Name"], "c.csv": ["Dataset Name"]}
+    for file, head in heads.items():
+        rows = [",".join(f"{file[0]}{i}" if h == "Dataset Name" else "g" for h in head) for i in range(3)]
+        (tmp_path / file).write_text("\n".join([",".join(head), *rows]) + "\n")
+    (tmp_path / "d.csv").write_text("Dataset Name\n")
+    (tmp_path / "e.csv").write_text("Dataset Name,GROUP,group,,\n")
+    got = readers.read_registry(spark, str(tmp_path)).orderBy("row_id").collect()
+    assert [r["name"] for r in got] == [f"{f}{i}" for f in "abc" for i in range(3)]
+    assert [r["grp"] for r in got] == ["g"] * 6 + [""] * 3 and len({r["row_id"] for r in got}) == 9
+    assert list(got[0].asDict())[-1] == "row_id"
+
+
 def test_template_pages_and_text(spark, tmp_path):
     (tmp_path / "t.txt").write_text("a {X}\nb")
     assert readers.read_template(spark, str(tmp_path / "t.txt")) == "a {X}\nb"
