@@ -97,3 +97,23 @@ def test_unlinked_texts_of_a_template_meet_nowhere(spark, monkeypatch):
         rows = _rows(_template(n, 18, 0, 1))
         assert _found(spark, rows, 2) == {i: i for i in range(n)}
         assert compared[0] <= neardup.BANDS * n and compared[1] == 0
+
+
+def test_components_of_chains_rings_and_stars(spark):
+    """Links dealt over partitions at random: a long chain, a ring, a star, a repeated link, and stars from the start."""
+    rng = random.Random(3)
+    chain = [(i, i + 1) for i in range(1000, 1300)]
+    ring = [(i, i + 1) for i in range(10, 40)] + [(10, 40)]
+    star = [(500, 500 + i) for i in range(1, 200)]
+    for links in [chain + ring + star + ring[:5], star, []]:
+        wanted = {v: 500 for _, v in star} if links else {}
+        if len(links) > len(star):
+            wanted |= {v: 1000 for _, v in chain} | {v: 10 for v in range(11, 41)}
+        names = list(range(1000, 1301))
+        rng.shuffle(names)
+        # The chain's ids in any order; its smallest id is still 1000.
+        renamed = [tuple(sorted(names[x - 1000] if 1000 <= x <= 1300 else x for x in p)) for p in links]
+        rng.shuffle(renamed)
+        given = spark.createDataFrame(renamed, "a long, b long").repartition(7)
+        got = [(r["v"], r["c"]) for r in neardup.components(given).collect()]
+        assert len(got) == len(wanted) and dict(got) == wanted
