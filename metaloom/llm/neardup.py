@@ -310,9 +310,10 @@ def link(docs: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
     classes = full.groupBy("f1", "f2", "n").agg(first, F.first("bands").alias("bands"))
     classes = land(classes.select("f1", "f2", "n", "first.id", "first.own", "bands").withColumnRenamed("id", "rep"), "classes")
     keyed = classes.select("rep", "own", "n", F.explode("bands").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("hub"), F.max("rep").alias("top"))
-    hubs = hubs.filter("hub.rep <> top").select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("m"))
-    hubs = land(hubs, "hubs")
+    hubs = keyed.groupBy("key").agg(
+        F.min("rep").alias("hub"), F.min_by("n", "rep").alias("m"), F.max("rep").alias("top")
+    )
+    hubs = land(hubs.filter("hub <> top").drop("top"), "hubs")
     star = land(keyed.join(shuffled(hubs), "key").select("hub", "m", "rep", "own", "n").distinct(), "star")
     # A text has a row for each of its buckets at most, so none is hot here.
     involved = star.select(F.col("rep").alias("id"), "own")
