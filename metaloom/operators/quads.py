@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -47,6 +49,8 @@ _STATEMENT_DDL = (
 
 # Documents whose statements are held at a time.
 DOCUMENTS_AT_ONCE = 200
+# Labelled nodes that a task gathers before it hands them on: components may be very many and very small.
+LABELS_AT_ONCE = 10000
 # Fixed value: the namespace of list nodes.
 RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 
@@ -440,30 +444,42 @@ def _node_ids(keys: tuple[str, ...], node: Column) -> Column:
     return F.sha1(F.to_json(F.struct(*[F.col(k).cast("string") for k in keys], node.alias("_node"))))
 
 
-def _by_component(nodes: DataFrame, links: DataFrame, label: Callable) -> DataFrame:
+def _by_component(nodes: DataFrame, links: DataFrame, label: Callable, roots: DataFrame | None = None) -> DataFrame:
     """`label(colours, links)` over each connected component: `id` and the columns that `label` gives.
 
     `nodes` has id and colour, `links` has id, p and to. A component is held by one task, as text per node
-    and numbers per link; nodes outside all links are left out.
+    and numbers per link; nodes outside all links are left out. The rows of a task come component after component, so
+    millions of small ones cost what their rows cost. `roots` (id, root) has the components if they are known.
     """
-    roots = components(links.select(F.col("id").alias("a"), F.col("to").alias("b")))
-    roots = written(roots.select(F.col("node").alias("id"), "root"))
+    if roots is None:
+        found = components(links.select(F.col("id").alias("a"), F.col("to").alias("b")))
+        roots = written(found.select(F.col("node").alias("id"), "root"))
     onward = links.groupBy("id").agg(F.collect_list(F.struct("p", "to")).alias("links"))
     whole = roots.join(shuffled(nodes), "id").join(shuffled(onward), "id", "left")
 
-    def of_component(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_pylist()
-        number = {name: i for i, name in enumerate(ids)}
-        inner = [
-            (i, link["p"], number[link["to"]])
-            for i, found in enumerate(table.column("links").to_pylist())
-            for link in found or []
-        ]
-        hashes, rings = label(table.column("colour").to_pylist(), inner)
-        return pa.table({"id": ids, "hash": pa.array(hashes, pa.string()), "ring": pa.array(rings, pa.bool_())})
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*[column.to_pylist() for column in batch.columns]))
+        done: tuple[list, list, list] = ([], [], [])
 
-    parts = whole.select("root", "id", "colour", "links").groupBy("root")
-    return parts.applyInArrow(of_component, "id string, hash string, ring boolean")
+        def handed_on() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(done, (pa.string(), pa.string(), pa.bool_()))], ["id", "hash", "ring"])
+            for column in done:
+                column.clear()
+            return out
+
+        for _, component in groupby(rows, itemgetter(0)):
+            _, ids, colours, linked = zip(*component)
+            number = {name: i for i, name in enumerate(ids)}
+            inner = [(i, link["p"], number[link["to"]]) for i, found in enumerate(linked) for link in found or []]
+            for column, given in zip(done, (ids, *label(list(colours), inner))):
+                column.extend(given)
+            if len(done[0]) >= LABELS_AT_ONCE:
+                yield handed_on()
+        if done[0]:
+            yield handed_on()
+
+    parts = whole.select("root", "id", "colour", "links").repartition("root").sortWithinPartitions("root")
+    return parts.mapInArrow(of_task, "id string, hash string, ring boolean")
 
 
 def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
@@ -559,19 +575,18 @@ def node_labels(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
     roots = components(among.select(F.col("id").alias("a"), F.col("to").alias("b")).unionAll(selves))
     roots = written(equal.join(shuffled(roots.withColumnRenamed("node", "id")), "id"))
     hard = written(roots.groupBy("root").agg(F.bool_or("tangled").alias("_hard")).filter("_hard").select("root"))
-    core = written(roots.join(shuffled(hard), "root").select(*at, "id", "hash"))
+    core = written(roots.join(shuffled(hard), "root").select(*at, "id", "hash", "root"))
     # Who leads to a node from outside its component: named subjects, and unnamed ones that are told by their hash.
     outside = to_equal.filter("id is null").join(shuffled(hashes.select(*keys, F.col("node").alias("s"), "hash")), [*keys, "s"], "left")
     lead = outside.groupBy(F.col("to").alias("id")).agg(*_sums(F.col("p"), F.coalesce("hash", "s")))
     lead = lead.select("id", F.concat_ws("|", "_n", "_a", "_b").alias("_lead"))
     coloured = core.join(shuffled(lead), "id", "left").select("id", F.concat_ws("/", "hash", F.coalesce("_lead", F.lit(""))).alias("colour"))
-    ids = core.select("id")
-    inside = written(among.join(shuffled(ids), "id", "left_semi").unionAll(core.select("id", F.lit("").alias("p"), F.col("id").alias("to"))))
+    inside = written(among.join(shuffled(core.select("id")), "id", "left_semi"))
 
     def labels(colours: list[str], links: list[tuple[int, str, int]]) -> tuple[list[str], list[bool]]:
         return labelling.labels(colours, [link for link in links if link[1]]), [False] * len(colours)
 
-    labelled = _by_component(coloured, inside, labels).select("id", F.col("hash").alias("_label"))
+    labelled = _by_component(coloured, inside, labels, core.select("id", "root")).select("id", F.col("hash").alias("_label"))
     labelled = written(core.select(*at, "id").join(shuffled(labelled), "id").select(*at, "_label"))
     return hashes.join(shuffled(labelled), at, "left").select(*at, F.coalesce("_label", "hash").alias("hash"))
 

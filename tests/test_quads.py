@@ -242,6 +242,35 @@ def test_long_rings_and_chains_settle(spark):
     assert differ(spark, left, named(right, "_:q")) == 0 and differ(spark, left, other) > 0
 
 
+def test_a_node_that_leaves_a_long_cell_does_not_walk_it():
+    class Counted(list):
+        n = 0
+
+        def __setitem__(self, at, value):
+            Counted.n += 1
+            super().__setitem__(at, value)
+
+    n = 2000
+    ring = [(i, "p", (i + 1) % n) for i in range(n)]
+    cells = labelling.stable_cells([""] * n, ring)
+    cells.start = Counted(cells.start)
+    cells.refine(labelling._meets(n, ring), [cells.single_out(0)])
+    assert len(cells.size) == n and Counted.n < 10 * n
+
+
+def test_many_small_components_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(quads, "LABELS_AT_ONCE", 7)
+    nodes = spark.createDataFrame([(f"{i}{side}", str(i % 3)) for i in range(500) for side in "ab"], "id string, colour string")
+    links = spark.createDataFrame([(f"{i}a", "p", f"{i}b") for i in range(500)], "id string, p string, to string")
+    found = quads._by_component(nodes, links, labelling.settled)
+    # Not a Python call for each component.
+    assert "MapInArrow" in (plan := found._jdf.queryExecution().executedPlan().toString()) and "FlatMapGroups" not in plan
+    got = {r["id"]: (r["hash"], r["ring"]) for r in found.collect()}
+    assert len(got) == 1000 and {ring for _, ring in got.values()} == {False}
+    assert all((got[f"{i}{s}"] == got[f"{j}{s}"]) == (i % 3 == j % 3) for s in "ab" for i, j in ((0, 3), (1, 499), (2, 3)))
+    assert len({h for h, _ in got.values()}) == 6
+
+
 def test_labels_of_small_graphs_against_all_renamings():
     rng = random.Random(4)
     for _ in range(300):
