@@ -42,6 +42,45 @@ def test_documents(spark, corpus, tmp_path):
     assert readers.with_example(spark.range(1), docs, "/none.jsonld").head().example == ""
 
 
+def test_documents_are_listed_by_tasks_as_a_scan_lists_them(spark, tmp_path, monkeypatch):
+    root = tmp_path / "a b#%"
+    texts = {
+        "x.jsonld": b"{}", "s 1/a+b.jsonld": b'{"a":"\xc3\xa9"}', "s2/deep/%41.jsonld": b"\xff bad", "s2/empty.jsonld": b"",
+        "s2/_h.jsonld": b"1", "s2/_h=1.jsonld": b"1", ".hid/a.jsonld": b"1", "_x/a.jsonld": b"1", "s2/A.JSONLD": b"1",
+        "s2/a.txt": b"1", "s2/a\nb.jsonld": b"2", "s2/c._COPYING_": b"1", "_p=1/a.jsonld": b"4",
+    }
+    for name, data in texts.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(data)
+
+    def rows(docs):
+        shown = docs.select("path", "site", F.hex(F.col("raw").cast("binary")).alias("raw"), F.col("v").isNull().alias("bad"), "modified")
+        return sorted(map(tuple, shown.collect()))
+
+    cases = [(f, p) for f in (str(root), f"file:{root}", f"file://{root}/") for p in ("*.jsonld", "a?b.jsonld", "*", "[!a]*")]
+    read = [readers.read_documents(spark, *case) for case in cases]
+    # No file is known to the driver.
+    assert read[0].inputFiles() == [] and read[0].rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed = [rows(docs) for docs in read]
+    monkeypatch.setattr(readers, "_documents_of_folder", lambda *given: None)
+    assert listed == [rows(readers.read_documents(spark, *case)) for case in cases]
+    assert len(listed[0]) == 6
+
+
+def test_a_batch_of_a_stream_writes_few_files(spark, tmp_path):
+    for i in range(400):
+        (tmp_path / "in" / f"s{i % 2}").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / f"s{i % 2}" / f"{i}.jsonld").write_text('{"name":1}')
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    stream = stream_documents(spark, str(tmp_path / "in"))
+    assert int(stream.sparkSession.conf.get(name)) <= 32 and spark.conf.get(name) == before
+    assert stream.sparkSession.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    run_available(check_stream(stream), str(tmp_path / "out"), str(tmp_path / "mark")).awaitTermination()
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 400 and len(back.inputFiles()) == 2
+
+
 def test_registry(spark, tmp_path):
     path = tmp_path / "r.csv"
     path.write_text(
