@@ -248,5 +248,8 @@ def inverse_quads(spark, sf):
         F.struct(F.array(node("p"), node("q")).alias("about")).alias("@reverse"),
     )
     raw = F.regexp_replace(F.to_json(doc), r"\}$", ',"comment":{"@value":null}}')
-    docs = table(spark, sf, "part").select(F.concat(F.lit("urn:ex:org:inverse:data:"), key).alias("g"), raw.alias("raw"))
+    # A small file is one task: its narrow columns are dealt out before documents are made of them.
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    parts = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    docs = parts.select(F.concat(F.lit("urn:ex:org:inverse:data:"), key).alias("g"), raw.alias("raw"))
     return quads.quads_of_documents(docs).select("s", "p", "value", "kind")
