@@ -132,6 +132,51 @@ def test_levels_move_neither_links_nor_visited_pages(spark, monkeypatch):
         assert [x for x in above if "Exchange" in x][:1] and "hashpartitioning(url" in [x for x in above if "Exchange" in x][0]
 
 
+def test_levels_of_texts_stream_past_hash_tables(spark, monkeypatch):
+    plans = []
+    write = crawl._Buckets.write
+
+    def watched(self, df, *keys):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, *keys)
+
+    monkeypatch.setattr(crawl._Buckets, "write", watched)
+    links = [(f"p{i}", f"p{(i * k + 1) % 300}") for i in range(300) for k in (2, 3)]
+    edges = spark.createDataFrame(links, "src string, dst string")
+    crawl.crawl(edges, spark.createDataFrame([("p0",)], "url string"), 3)
+    levels = [p for p in plans if "_met" in p]
+    assert len(levels) == 3
+    for plan in levels:
+        # Neither links nor visited pages are sorted or moved, and no text is read.
+        assert "Sort" not in plan and plan.count("Exchange hashpartitioning") == 1
+        assert "string" not in plan and plan.count("ShuffledHashJoin") >= 2
+
+
+def test_walk_over_many_levels_and_addresses_that_share_a_hash(spark, monkeypatch):
+    tried = []
+
+    def clashing(page, attempt):
+        tried.append(attempt)
+        return F.length(page).cast("long") if attempt < 2 else F.xxhash64(page, F.lit(attempt))
+
+    monkeypatch.setattr(crawl, "_hash", clashing)
+    monkeypatch.setattr(crawl, "TIERS", 2)
+    links = [(f"n{i}", f"n{i + 1}") for i in range(9)] + [("n4", "n1"), ("n0", "x"), (None, "n7"), ("n0", None), ("n2", None)]
+    edges = spark.createDataFrame(links, "src string, dst string")
+    walked = crawl.crawl(edges, spark.createDataFrame([("n0",)], "url string")).collect()
+    # A link to nothing is met at every level that has one.
+    wanted = [(f"n{i}", i) for i in range(10)] + [("x", 1), (None, 1), (None, 3)]
+    assert sorted((str(r.url), r.depth) for r in walked) == sorted((str(u), d) for u, d in wanted)
+    assert set(tried) == {0, 1, 2}
+
+
+def test_walk_in_sorted_joins_gives_the_same(spark, monkeypatch):
+    monkeypatch.setattr(crawl, "HASHED_ROWS", 0)
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("c", "d"), ("d", "a")], "src string, dst string")
+    walked = crawl.crawl(edges, spark.createDataFrame([("a",)], "url string")).collect()
+    assert {r.url: r.depth for r in walked} == {"a": 0, "b": 1, "c": 1, "d": 2}
+
+
 def test_walk_from_nowhere(spark):
     edges = spark.createDataFrame([(1, 2)], "src int, dst int")
     assert crawl.crawl(edges, spark.createDataFrame([], "url int")).count() == 0
