@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from metaloom.functions.bind import shuffled
-from metaloom.session import written, written_and_measured
+from metaloom.session import removed, written, written_and_measured
 from metaloom.shipping import ship_by_value
 
 ship_by_value(__name__)
@@ -41,7 +41,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Links of one partition are first reduced to a forest. Each round links the larger neighbours of a node with its
     smallest, then the smaller ones; the smallest neighbours are written first, so plain exchanges stand below the joins
-    and a node with very many links can be split.
+    and a node with very many links can be split. What a round wrote goes when the next step has read it.
     """
 
     def least(pairs: DataFrame) -> DataFrame:
@@ -61,11 +61,14 @@ def components(links: DataFrame) -> DataFrame:
     while seen != last:
         last = seen
         both = edges.unionAll(edges.select("c", "v"))
-        large = both.filter("c > v").join(shuffled(least(both)), "v").select(F.col("c").alias("v"), F.col("m").alias("c"))
+        smallest = least(both)
+        large = both.filter("c > v").join(shuffled(smallest), "v").select(F.col("c").alias("v"), F.col("m").alias("c"))
         large = written(large.filter("v <> c").distinct())
+        removed(edges, smallest)
         nearest = least(large)
         small = large.join(shuffled(nearest), "v").select(F.col("c").alias("v"), F.col("m").alias("c"))
         kept = nearest.select("v", F.col("m").alias("c"))
         edges, seen = written_and_measured(forest(small.unionAll(kept).filter("v <> c").distinct()), **state)
+        removed(large, nearest)
     roots = edges.groupBy("v").agg(F.min("c").alias("root"))
     return selves.join(shuffled(roots), "v", "left").select(F.col("v").alias("node"), F.coalesce("root", "v").alias("root"))

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
-from itertools import groupby
+from itertools import count, groupby
 from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from metaloom.functions import terms
 from metaloom.functions.bind import shuffled
 from metaloom.operators import labelling
 from metaloom.operators.components import components
-from metaloom.session import cut_lineage, written, written_and_measured
+from metaloom.session import cut_lineage, removed, written, written_alone, written_and_measured
 from metaloom.shipping import ship_by_value
 
 ship_by_value(__name__)
@@ -439,9 +440,22 @@ def _sums(*parts: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("_n"), F.sum(one).alias("_a"), F.sum(two).alias("_b")]
 
 
-def _node_ids(keys: tuple[str, ...], node: Column) -> Column:
-    """One text for a node of a graph: the components of different graphs never meet."""
-    return F.sha1(F.to_json(F.struct(*[F.col(k).cast("string") for k in keys], node.alias("_node"))))
+def _node_ids(keys: tuple[str, ...], node: Column, attempt: int) -> Column:
+    """One number for a node of a graph: the components of different graphs never meet."""
+    return F.xxhash64(F.to_json(F.struct(*[F.col(k).cast("string") for k in keys], node.alias("_node"))), F.lit(attempt))
+
+
+def _numbered(nodes: DataFrame, keys: tuple[str, ...], **metrics: Column) -> tuple[DataFrame, dict]:
+    """`nodes` (keys, node and more), written with `id`, a number of eight bytes that no two of them share, and measured."""
+    for attempt in count():
+        named = nodes.withColumn("id", _node_ids(keys, F.col("node"), attempt))
+        out, seen = written_and_measured(named, **metrics) if metrics else (written(named), {})
+        clashes = written(out.groupBy("id").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select("id"))
+        clash = not clashes.isEmpty()
+        removed(clashes)
+        if not clash:
+            return out, seen
+        removed(out)
 
 
 def _by_component(nodes: DataFrame, links: DataFrame, label: Callable, roots: DataFrame | None = None) -> DataFrame:
@@ -452,8 +466,9 @@ def _by_component(nodes: DataFrame, links: DataFrame, label: Callable, roots: Da
     millions of small ones cost what their rows cost. `roots` (id, root) has the components if they are known.
     """
     if roots is None:
-        found = components(links.select(F.col("id").alias("a"), F.col("to").alias("b")))
-        roots = written(found.select(F.col("node").alias("id"), "root"))
+        ends = links.select(F.col("id").alias("a"), F.col("to").alias("b"))
+        roots = written_alone(lambda: components(ends).select(F.col("node").alias("id"), "root"))
+    kind = nodes.schema["id"].dataType
     onward = links.groupBy("id").agg(F.collect_list(F.struct("p", "to")).alias("links"))
     whole = roots.join(shuffled(nodes), "id").join(shuffled(onward), "id", "left")
 
@@ -462,7 +477,7 @@ def _by_component(nodes: DataFrame, links: DataFrame, label: Callable, roots: Da
         done: tuple[list, list, list] = ([], [], [])
 
         def handed_on() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(done, (pa.string(), pa.string(), pa.bool_()))], ["id", "hash", "ring"])
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(done, (to_arrow_type(kind), pa.string(), pa.bool_()))], ["id", "hash", "ring"])
             for column in done:
                 column.clear()
             return out
@@ -479,7 +494,7 @@ def _by_component(nodes: DataFrame, links: DataFrame, label: Callable, roots: Da
             yield handed_on()
 
     parts = whole.select("root", "id", "colour", "links").repartition("root").sortWithinPartitions("root")
-    return parts.mapInArrow(of_task, "id string, hash string, ring boolean")
+    return parts.mapInArrow(of_task, f"id {kind.simpleString()}, hash string, ring boolean")
 
 
 def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
@@ -489,8 +504,13 @@ def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
     many properties stays a partial aggregate. A few rounds fold the hashes of unnamed children into their parents;
     that settles what is at most `FOLDS` levels above the last one. Nodes on rings, above them, or on longer chains are
     settled by connected components, which take as many rounds as the logarithm of their size: inside one, children come
-    before parents, and a ring with all between its nodes counts as a whole (`ring`).
+    before parents, and a ring with all between its nodes counts as a whole (`ring`). The rows are written; what was written
+    on the way is gone.
     """
+    return written_alone(lambda: _node_hashes(quads, keys))
+
+
+def _node_hashes(quads: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     at = [*keys, "node"]
     inner_node = (F.col("kind") != "literal") & is_anonymous(F.col("value"))
     own = quads.filter(is_anonymous(F.col("s"))).select(
@@ -525,6 +545,7 @@ def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
             )
             .select(*at, F.concat_ws("|", "_n", "_a", "_b").alias("_folded"), "_ready")
         )
+        last = current
         current, seen = written_and_measured(
             current.join(shuffled(folded), at, "left").select(
                 *at,
@@ -534,15 +555,17 @@ def node_hashes(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
             ),
             unsettled=unsettled,
         )
+        removed(last)
         if not seen["unsettled"]:
             return current.select(*at, "hash", never)
     # What is left already holds all that it says of settled nodes; the links among the rest decide.
-    rest = written(current.filter("not settled").select(*at, _node_ids(keys, F.col("node")).alias("id"), F.col("hash").alias("colour")))
+    rest, _ = _numbered(current.filter("not settled").select(*at, F.col("hash").alias("colour")), keys)
     ends = rest.select(*keys, F.col("node").alias("inner"), F.col("id").alias("to"))
-    among = links.join(shuffled(rest.select(*at, "id")), at).join(shuffled(ends), [*keys, "inner"]).select("id", "p", "to")
-    found = _by_component(rest.select("id", "colour"), written(among), labelling.settled)
+    among = written(links.join(shuffled(rest.select(*at, "id")), at).join(shuffled(ends), [*keys, "inner"]).select("id", "p", "to"))
+    removed(links)
+    found = _by_component(rest.select("id", "colour"), among, labelling.settled)
     named = rest.select(*at, "id").join(shuffled(found), "id").select(*at, "hash", "ring")
-    return written(current.filter("settled").select(*at, "hash", never).unionByName(named))
+    return current.filter("settled").select(*at, "hash", never).unionByName(named)
 
 
 def node_labels(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
@@ -560,40 +583,46 @@ def node_labels(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
     twins = written(hashes.groupBy(*keys, "hash").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select(*keys, "hash"))
     equal = hashes.join(shuffled(twins), [*keys, "hash"]).join(shuffled(times), at, "left")
     tangled = F.col("ring") | (F.coalesce("_in", F.lit(0)) > 1)
-    equal, seen = written_and_measured(
-        equal.select(*at, "hash", _node_ids(keys, F.col("node")).alias("id"), tangled.alias("tangled")), tangled=F.count_if("tangled")
-    )
+    equal, seen = _numbered(equal.select(*at, "hash", tangled.alias("tangled")), keys, tangled=F.count_if("tangled"))
+    removed(twins)
     if not seen["tangled"]:
         return hashes.select(*at, "hash")
     ends = equal.select(*keys, F.col("node").alias("value"), F.col("id").alias("to"))
     to_equal = quads.filter(inner_node).select(*keys, "s", "p", "value").join(shuffled(ends), [*keys, "value"])
     starts = equal.select(*keys, F.col("node").alias("s"), "id")
-    to_equal = written(to_equal.join(shuffled(starts), [*keys, "s"], "left").select(*keys, "s", "p", "id", "to"))
+    from_outside = F.when(F.col("id").isNull(), F.col("s")).alias("s")
+    to_equal = written(to_equal.join(shuffled(starts), [*keys, "s"], "left").select(*keys, from_outside, "p", "id", "to"))
     among = to_equal.filter("id is not null").select("id", "p", "to")
     # Every equal node stands in a component, if only with itself; those with a tangled node in them are labelled.
     selves = equal.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    roots = components(among.select(F.col("id").alias("a"), F.col("to").alias("b")).unionAll(selves))
-    roots = written(equal.join(shuffled(roots.withColumnRenamed("node", "id")), "id"))
+    ends = among.select(F.col("id").alias("a"), F.col("to").alias("b")).unionAll(selves)
+    roots = written_alone(lambda: equal.join(shuffled(components(ends).withColumnRenamed("node", "id")), "id"))
+    removed(equal)
     hard = written(roots.groupBy("root").agg(F.bool_or("tangled").alias("_hard")).filter("_hard").select("root"))
     core = written(roots.join(shuffled(hard), "root").select(*at, "id", "hash", "root"))
+    removed(roots, hard)
     # Who leads to a node from outside its component: named subjects, and unnamed ones that are told by their hash.
     outside = to_equal.filter("id is null").join(shuffled(hashes.select(*keys, F.col("node").alias("s"), "hash")), [*keys, "s"], "left")
     lead = outside.groupBy(F.col("to").alias("id")).agg(*_sums(F.col("p"), F.coalesce("hash", "s")))
     lead = lead.select("id", F.concat_ws("|", "_n", "_a", "_b").alias("_lead"))
-    coloured = core.join(shuffled(lead), "id", "left").select("id", F.concat_ws("/", "hash", F.coalesce("_lead", F.lit(""))).alias("colour"))
+    colour = F.sha1(F.concat_ws("/", "hash", F.coalesce("_lead", F.lit(""))))
+    coloured = written(core.join(shuffled(lead), "id", "left").select("id", colour.alias("colour")))
     inside = written(among.join(shuffled(core.select("id")), "id", "left_semi"))
 
     def labels(colours: list[str], links: list[tuple[int, str, int]]) -> tuple[list[str], list[bool]]:
         return labelling.labels(colours, [link for link in links if link[1]]), [False] * len(colours)
 
-    labelled = _by_component(coloured, inside, labels, core.select("id", "root")).select("id", F.col("hash").alias("_label"))
-    labelled = written(core.select(*at, "id").join(shuffled(labelled), "id").select(*at, "_label"))
+    removed(to_equal)
+    found = written(_by_component(coloured, inside, labels, core.select("id", "root")).select("id", F.col("hash").alias("_label")))
+    removed(coloured, inside)
+    labelled = written(core.select(*at, "id").join(shuffled(found), "id").select(*at, "_label"))
+    removed(core, found)
     return hashes.join(shuffled(labelled), at, "left").select(*at, F.coalesce("_label", "hash").alias("hash"))
 
 
 def canonical(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
     """Quads with every unnamed node replaced by `_:` and its label."""
-    hashes = written(node_labels(quads, keys))
+    hashes = written_alone(lambda: node_labels(quads, keys))
     as_subject = hashes.select(*keys, F.col("node").alias("_from"), F.col("hash").alias("_s"))
     as_object = hashes.select(*keys, F.col("node").alias("_to"), F.col("hash").alias("_o"))
     outer = is_anonymous(F.col("s"))
@@ -603,7 +632,11 @@ def canonical(quads: DataFrame, keys: tuple[str, ...] = ("g",)) -> DataFrame:
     # A row that needs one of the two joins only takes a key of its own to the other: equal keys would meet in one task.
     apart = F.concat(F.lit("\u0001"), F.xxhash64("s", "p", "o").cast("string"))
     touched = quads.filter(outer | inner).select(
-        *columns,
+        # A node that is replaced travels as a key only.
+        F.when(outer, F.lit(None)).otherwise(F.col("s")).alias("s"),
+        "p",
+        F.when(inner, F.lit(None)).otherwise(F.col("o")).alias("o"),
+        *keys,
         outer.alias("_outer"),
         inner.alias("_inner"),
         F.when(outer, F.col("s")).otherwise(apart).alias("_from"),

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import itertools
 import json
+import os
 import random
+import time
 
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from metaloom.functions import terms
 from metaloom.operators import labelling, quads
 from metaloom.operators.components import components
+from metaloom.session import ensure_checkpoint_dir, written
 from metaloom.sources.readers import parse_quads, unreadable_quads
 from metaloom.sources.writers import quad_line
 
@@ -298,6 +301,36 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_what_a_comparison_wrote_on_the_way_is_gone(spark):
+    def shuffled():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    tables = lambda: {name for name in os.listdir(folder) if name.startswith("rows-")}
+    before, setting = tables(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    shared = [("A", "p", "_:x"), ("A", "q", "_:x"), ("B", "p", "_:y"), ("B", "q", "_:y")]
+    found = quads.compare_releases(linked(spark, wheel(9, 9) + shared), linked(spark, wheel(18) + shared))
+    # The releases and the labels of their nodes are all that the result reads.
+    assert len(tables() - before) == 2 and found.count() > 0
+    one, two = (spark.range(100).groupBy((F.col("id") % n).alias("k")).agg(F.count("*").alias(f"n{n}")) for n in (7, 9))
+    given = shuffled()
+    rows = written(one.join(two.hint("merge"), "k"))
+    deadline = time.time() + 20
+    while shuffled() - given and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - given and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    assert rows.count() == 7
+
+
+def test_nodes_are_numbered_without_clashes(spark, monkeypatch):
+    numbers = quads._node_ids
+    monkeypatch.setattr(quads, "_node_ids", lambda keys, node, attempt: numbers(keys, node, attempt) % (3 if attempt == 0 else 1 << 62))
+    nodes = spark.createDataFrame([(None, f"_:{i}") for i in range(20)] + [("g", f"_:{i}") for i in range(20)], "g string, node string")
+    named, seen = quads._numbered(nodes, ("g",), n=F.count(F.lit(1)))
+    assert dict(named.dtypes)["id"] == "bigint" and seen["n"] == named.select("id").distinct().count() == 40
+
+
 def test_odd_documents_give_what_they_can(spark):
     texts = [
         '{"@graph":null,"name":"n"}', '{"@graph":["s"]}', '{"@id":5,"name":"five"}', '{"@type":{"a":1},"name":"t"}',
