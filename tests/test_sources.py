@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from metaloom.operators.validation import check_documents
 from metaloom.sources import readers, writers
+from metaloom.streaming import folder
 from metaloom.streaming.folder import check_stream, run_available, stream_documents
 
 
@@ -81,6 +82,76 @@ def test_a_batch_of_a_stream_writes_few_files(spark, tmp_path):
     assert back.count() == 400 and len(back.inputFiles()) == 2
 
 
+def checked_now(spark, folder, target, mark, **given):
+    run_available(check_stream(stream_documents(spark, str(folder), **given)), str(target), str(mark)).awaitTermination()
+    return sorted(tuple(r) for r in spark.read.parquet(str(target)).select("path", "site", "ok", "errors").collect())
+
+
+def test_a_stream_knows_lists_of_names_and_no_documents(spark, tmp_path, monkeypatch):
+    root = tmp_path / "a b#%"
+    texts = {
+        "x.jsonld": "{}", "s 1/a+b.jsonld": '{"a":"é"}', "s2/deep/%41.jsonld": "bad", "s2/empty.jsonld": "", "s2/_h.jsonld": "1",
+        ".hid/a.jsonld": "1", "s2/a.txt": "1", "s2/c._COPYING_": "1", "s2/d.jsonld": '{"@context":"c","@type":"Dataset","name":"n"}',
+        "s3/e.jsonld": "[]", "s3/f.jsonld": "{}",
+    }
+    for name, text in texts.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(text, encoding="utf-8")
+    got = checked_now(spark, root, tmp_path / "out", tmp_path / "mark", files_per_batch=3)
+    # Seven files of at most three a batch, one of them empty; the source's log has the lists only.
+    assert len(got) == 6 and len([f for f in os.listdir(tmp_path / "mark" / "commits") if f.isdigit()]) == 3
+    logged = "".join((tmp_path / "mark" / "sources" / "0" / f).read_text() for f in os.listdir(tmp_path / "mark" / "sources" / "0") if f[0] != ".")
+    assert "part-" in logged and "jsonld" not in logged
+    # A stream of its own sees all of them, however many a batch; a file that is gone since has no row.
+    (root / "s3" / "f.jsonld").unlink()
+    assert len(checked_now(spark, root, tmp_path / "out2", tmp_path / "mark2")) == 5
+    (root / "s3" / "f.jsonld").write_text("{}")
+    assert checked_now(spark, root, tmp_path / "out", tmp_path / "mark") == got
+    monkeypatch.setattr(folder, "files_of_folder", lambda *given: None)
+    assert got == checked_now(spark, root, tmp_path / "out3", tmp_path / "mark3")
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="begun by a stream of files"):
+        checked_now(spark, root, tmp_path / "out3", tmp_path / "mark3")
+
+
+def test_a_stream_that_is_kept_sees_what_came_later(spark, corpus, tmp_path):
+    checked = check_stream(stream_documents(spark, str(corpus), names=str(tmp_path / "names")))
+    for n in (3, 4):
+        run_available(checked, str(tmp_path / "out"), str(tmp_path / "mark")).awaitTermination()
+        assert spark.read.parquet(str(tmp_path / "out")).count() == n
+        (corpus / "s2" / f"{n}.jsonld").write_text("{}")
+    assert not (corpus / "_names").exists()
+
+
+def test_a_name_is_listed_once_by_runs_at_a_time(spark, corpus, tmp_path, monkeypatch):
+    names = f"{tmp_path}/names/list"
+    store = folder._Store(spark, names)
+    assert store.made()
+    last, seen = folder._Store.last, []
+
+    def late(self):
+        if not seen:
+            # Another run lists the folder after this one saw the last number and before it takes the next.
+            seen.append(0)
+            was = last(self)
+            take = folder._Store.take
+
+            def first(self, source, name):
+                monkeypatch.setattr(folder._Store, "take", take)
+                folder.list_names(spark, str(corpus), "*.jsonld", names, 2)
+                return take(self, source, name)
+
+            monkeypatch.setattr(folder._Store, "take", first)
+            return was
+        return last(self)
+
+    monkeypatch.setattr(folder._Store, "last", late)
+    folder.list_names(spark, str(corpus), "*.jsonld", names, 2)
+    rows = spark.read.option("recursiveFileLookup", True).parquet(names)
+    assert sorted(r.path for r in rows.collect()) == ["s 1/a.jsonld", "s2/b+c.jsonld", "s2/bad.jsonld"] and len(rows.inputFiles()) == 2
+    assert os.listdir(names) == ["00000001"]
+
+
 def test_registry(spark, tmp_path):
     path = tmp_path / "r.csv"
     path.write_text(
