@@ -149,7 +149,7 @@ def test_a_name_is_listed_once_by_runs_at_a_time(spark, corpus, tmp_path, monkey
     folder.list_names(spark, str(corpus), "*.jsonld", names, 2)
     rows = spark.read.option("recursiveFileLookup", True).parquet(names)
     assert sorted(r.path for r in rows.collect()) == ["s 1/a.jsonld", "s2/b+c.jsonld", "s2/bad.jsonld"] and len(rows.inputFiles()) == 2
-    assert os.listdir(names) == ["00000001"]
+    assert os.listdir(names) == ["00000001"] and os.listdir(tmp_path / "names") == ["list"]
 
 
 def test_registry(spark, tmp_path):
